@@ -1,0 +1,101 @@
+"""Run registered queries in Spark and their oracle SQL in DuckDB, compare results
+order-insensitively (columns sorted by name, values canonicalised).
+
+    python tests/oracle_check.py [sf_dir] [query ...]
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+import math
+import os
+import sys
+import time
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings "
+    "pages benchmark labels conversations"
+).split()
+
+
+def duck(sf_dir: str):
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute("SET TimeZone = 'UTC'")
+    for t in TABLES:
+        p = f"{sf_dir}/{t}.parquet"
+        if os.path.exists(p):
+            con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{p}')")
+    return con
+
+
+def _canon(v):
+    if v is None:
+        return "NULL"
+    if isinstance(v, float):
+        if math.isnan(v):
+            return "NULL"
+        return f"{v:.9g}"
+    if isinstance(v, dt.datetime):
+        if v.tzinfo is not None:
+            v = v.astimezone(dt.timezone.utc).replace(tzinfo=None)
+        return v.isoformat(sep=" ")
+    if isinstance(v, (dt.date, dt.time)):
+        return v.isoformat()
+    if isinstance(v, dict):
+        return repr(sorted((k, _canon(x)) for k, x in v.items()))
+    return str(v)
+
+
+def rows_of(columns, records):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return sorted(tuple(_canon(r[i]) for i in order) for r in records), sorted(columns)
+
+
+def compare(spark, con, name, fn, sql, sf_dir):
+    t0 = time.time()
+    sdf = fn(spark, sf_dir)
+    srows = [tuple(r) for r in sdf.collect()]
+    t1 = time.time()
+    res = con.execute(sql)
+    dcols = [d[0] for d in res.description]
+    drows = res.fetchall()
+    s, scols = rows_of(sdf.columns, srows)
+    d, dcols_sorted = rows_of(dcols, drows)
+    ok = s == d and scols == dcols_sorted
+    detail = ""
+    if not ok:
+        if scols != dcols_sorted:
+            detail = f"columns spark={scols} duck={dcols_sorted}"
+        else:
+            only_s = sorted(set(s) - set(d))[:3]
+            only_d = sorted(set(d) - set(s))[:3]
+            detail = f"rows spark={len(s)} duck={len(d)} only_spark={only_s} only_duck={only_d}"
+    return ok, len(s), len(d), t1 - t0, detail
+
+
+def main(argv):
+    from callsight.plans.registry import ORACLE, QUERIES
+    from callsight.session import local_session
+
+    sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
+    names = argv[1:] or list(QUERIES)
+    spark = local_session()
+    con = duck(sf_dir)
+    bad = 0
+    for n in names:
+        try:
+            ok, ns, nd, sec, detail = compare(spark, con, n, QUERIES[n], ORACLE[n], sf_dir)
+        except Exception as e:  # report and go on
+            ok, ns, nd, sec, detail = False, -1, -1, 0.0, f"{type(e).__name__}: {str(e)[:400]}"
+        bad += not ok
+        print(f"{'OK ' if ok else 'BAD'} {n:26s} spark={ns:7d} duck={nd:7d} {sec:6.2f}s {detail}", flush=True)
+    return bad
+
+
+if __name__ == "__main__":
+    sys.exit(1 if main(sys.argv[1:]) else 0)
