@@ -1,0 +1,179 @@
+"""Call-record operators: totals, hourly, profiles, top-k, enrichment, detections."""
+
+import datetime as dt
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from callsight.operators import calls as C
+from callsight.schemas import CDR_SCHEMA
+
+T0 = dt.datetime(2024, 1, 1, 10, 15)
+
+
+def cdr_rows(spark, rows):
+    """Rows as (minutes after T0 or None, type, number, imsi, imei)."""
+    full = []
+    for i, (m, typ, num, imsi, imei) in enumerate(rows):
+        r = {
+            "xdr_start_datetime": None if m is None else T0 + dt.timedelta(minutes=m),
+            "xdr_type": typ,
+            "served_phone_number": num,
+            "served_imsi": imsi,
+            "served_imei": imei,
+            "filename": f"f{i % 3}",
+        }
+        full.append(tuple(r.get(f.name) for f in CDR_SCHEMA.fields))
+    return spark.createDataFrame(full, CDR_SCHEMA)
+
+
+ROWS = [
+    (0, "MOC", "100", "i100", None),
+    (5, "MOC", "100", None, "e1"),
+    (70, "MOC", "100", "i100b", "e0"),
+    (None, "MOC", "100", "i100", "e9"),  # no time: in totals, not in hourly/profile
+    (1, "MTC", "100", "i100", "e1"),  # incoming: ignored
+    (2, "MOC", "200", "i200", "e2"),
+    (3, "MOC", None, "i300", "e3"),
+    (4, "MOC", None, "i300", "e3"),
+    (1440 + 1, "MOC", "200", "i200", "e2"),  # next day
+]
+
+
+def test_total_keeps_rows_without_time(spark):
+    got = {r.msisdn: r.moc_count for r in C.total_by_subscriber(cdr_rows(spark, ROWS)).collect()}
+    assert got == {"i100": 2, None: 1, "i100b": 1, "i200": 2, "i300": 2}
+    cdr = cdr_rows(spark, ROWS)
+    cdr.createOrReplaceTempView("xdr_test")
+    sql = {r.msisdn: r.moc_count for r in C.total_moc_sql(spark, "xdr_test").collect()}
+    assert sql == got
+
+
+def test_hourly_drops_rows_without_time(spark):
+    h = C.hourly_counts(C.outgoing(cdr_rows(spark, ROWS))).collect()
+    got = sorted(((r.event_date.isoformat(), r.event_hour.hour, r.msisdn, r.outgoing_calls_count) for r in h), key=str)
+    want = sorted(
+        [
+            ("2024-01-01", 10, "100", 2),
+            ("2024-01-01", 11, "100", 1),
+            ("2024-01-01", 10, "200", 1),
+            ("2024-01-01", 10, None, 2),
+            ("2024-01-02", 10, "200", 1),
+        ],
+        key=str,
+    )
+    assert got == want
+
+
+def test_profile_earliest_non_null_samples(spark):
+    p = {r.msisdn: r for r in C.subscriber_profile(C.outgoing(cdr_rows(spark, ROWS))).collect()}
+    r = p["100"]
+    assert (r.imsi, r.imei) == ("i100", "e1")  # imei at minute 0 is NULL -> minute 5
+    assert r.first_seen_on_network == T0 and r.last_seen_on_network == T0 + dt.timedelta(minutes=70)
+    assert p[None].imsi == "i300"
+
+
+def test_sample_tie_on_time_takes_smallest_value(spark):
+    rows = [(0, "MOC", "1", "b", "y"), (0, "MOC", "1", "a", "z")]
+    r = C.subscriber_profile(C.outgoing(cdr_rows(spark, rows))).first()
+    assert (r.imsi, r.imei) == ("a", "y")
+
+
+@settings(max_examples=6, deadline=None)
+@given(
+    st.lists(
+        st.tuples(
+            st.integers(0, 3000),
+            st.sampled_from(["1", "2", "3", None]),
+            st.sampled_from(["a", "b", None]),
+            st.sampled_from(["x", "y", None]),
+            st.integers(0, 3),
+        ),
+        min_size=1,
+        max_size=25,
+    )
+)
+def test_split_batches_merge_to_one_shot(spark, rows):
+    """Any split of the rows into batches: summed hourly partials and merged profile
+    partials equal the one-shot result."""
+    whole = cdr_rows(spark, [(m, "MOC", n, i, e) for m, n, i, e, _ in rows])
+    batches = {}
+    for m, n, i, e, b in rows:
+        batches.setdefault(b, []).append((m, "MOC", n, i, e))
+    hourly_parts = None
+    prof_parts = None
+    for part in batches.values():
+        moc = C.outgoing(cdr_rows(spark, part))
+        h, p = C.hourly_counts(moc), C.profile_partials(moc)
+        hourly_parts = h if hourly_parts is None else hourly_parts.unionByName(h)
+        prof_parts = p if prof_parts is None else prof_parts.unionByName(p)
+    one_moc = C.outgoing(whole)
+
+    def rows_of(df):
+        return sorted((tuple(str(v) for v in r) for r in df.collect()))
+
+    assert rows_of(C.daily_totals(hourly_parts)) == rows_of(C.daily_totals(C.hourly_counts(one_moc)))
+    assert rows_of(C.finish_profile(C.merge_profiles(prof_parts))) == rows_of(C.subscriber_profile(one_moc))
+
+
+def test_top_caller_tie_break_and_null_winner(spark):
+    daily = spark.createDataFrame(
+        [
+            (dt.date(2024, 1, 1), "b", 5),
+            (dt.date(2024, 1, 1), "a", 5),
+            (dt.date(2024, 1, 1), "c", 1),
+            (dt.date(2024, 1, 2), None, 9),
+            (dt.date(2024, 1, 2), "z", 9),
+            (dt.date(2024, 1, 3), None, 4),
+            (dt.date(2024, 1, 3), "q", 2),
+        ],
+        "event_date date, msisdn string, daily_outgoing_calls bigint",
+    )
+    got = sorted((r.event_date.day, r.msisdn) for r in C.top_caller_per_day(daily).collect())
+    assert got == [(1, "a"), (2, "z"), (3, None)]
+    ties = sorted((r.event_date.day, str(r.msisdn)) for r in C.top_caller_per_day(daily, ties=True).collect())
+    assert ties == [(1, "a"), (1, "b"), (2, "None"), (2, "z"), (3, "None")]
+    top2 = C.top_caller_per_day(daily, k=2).filter(F.col("event_date") == dt.date(2024, 1, 1)).collect()
+    assert sorted(r.msisdn for r in top2) == ["a", "b"]
+
+
+def test_enrich_null_never_matches_and_repeats(spark):
+    daily = spark.createDataFrame([("1", 3), (None, 4)], "msisdn string, daily_outgoing_calls bigint")
+    prof = spark.createDataFrame([("1", "x"), ("1", "y"), (None, "n")], "msisdn string, imsi string")
+    got = sorted((str(r.msisdn), str(r.imsi)) for r in C.enrich(daily, prof).collect())
+    assert got == [("1", "x"), ("1", "y"), ("None", "None")]
+
+
+def test_detections_merge_partials_and_match_lazy_path(spark):
+    moc_a = C.outgoing(cdr_rows(spark, ROWS[:3]))
+    moc_b = C.outgoing(cdr_rows(spark, ROWS[3:]))
+    partials = C.profile_partials(moc_a).unionByName(C.profile_partials(moc_b))
+    hourly = C.hourly_counts(moc_a).unionByName(C.hourly_counts(moc_b))
+    daily = C.daily_totals(hourly)
+    eager = C.detections(daily, partials)
+    lazy = C.detections(daily, partials, materialize=False)
+    assert eager.columns == [
+        "msisdn",
+        "event_date",
+        "daily_outgoing_calls",
+        "first_seen_on_network",
+        "last_seen_on_network",
+        "imsi",
+        "imei",
+        "detection_type",
+        "rule_name",
+    ]
+    a = sorted(tuple(str(v) for v in r) for r in eager.collect())
+    b = sorted(tuple(str(v) for v in r) for r in lazy.collect())
+    assert a == b
+    day1 = [r for r in eager.collect() if r.event_date == dt.date(2024, 1, 1)][0]
+    assert (day1.msisdn, day1.daily_outgoing_calls, day1.imsi, day1.imei) == ("100", 3, "i100", "e1")
+    # forcing the shuffle-join path gives the same answer
+    c = sorted(tuple(str(v) for v in r) for r in C.detections(daily, partials, max_broadcast_rows=0).collect())
+    assert c == a
+
+
+def test_distinct_files(spark):
+    got = sorted(r.filename for r in C.distinct_files(cdr_rows(spark, ROWS)).collect())
+    assert got == ["f0", "f1", "f2"]
