@@ -6,6 +6,8 @@ from callsight.functions.codes import (
     classify_fee,
     code_label,
     expected_fee,
+    fee_sign,
+    sign_label,
     transfer_type,
 )
 from callsight.functions.time import day_label, day_window, epoch_ms, event_date, event_hour
@@ -23,5 +25,7 @@ __all__ = [
     "event_date",
     "event_hour",
     "expected_fee",
+    "fee_sign",
+    "sign_label",
     "transfer_type",
 ]

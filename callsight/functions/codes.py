@@ -67,16 +67,30 @@ def expected_fee(ttype: Column, flow: Column) -> Column:
     return out
 
 
+def fee_sign(ttype: Column, flow: Column, fee: Column) -> Column:
+    """``signum(fee - expected)``: -1.0 under, 0.0 exact, 1.0 over; NULL when the fee
+    or the expected fee is unknown. For finite doubles the sign of the difference
+    is exactly the order of the two values.
+
+    One expression instead of three comparisons keeps the generated code small when
+    the type and flow are themselves derived columns that Catalyst inlines.
+    """
+    return F.signum(fee - expected_fee(ttype, flow))
+
+
+def sign_label(sign: Column, labels: FeeLabels) -> Column:
+    return (
+        F.when(sign == F.lit(0.0), F.lit(labels.equal))
+        .when(sign > F.lit(0.0), F.lit(labels.over))
+        .when(sign < F.lit(0.0), F.lit(labels.under))
+        .otherwise(F.lit(None).cast("string"))
+    )
+
+
 def classify_fee(ttype: Column, flow: Column, fee: Column, labels: FeeLabels) -> Column:
     """Label a fee against the expected fee of its (type, flow).
 
     The label depends only on the sign of ``fee - expected``; a NULL fee or a
     (type, flow) with no expected fee gives NULL.
     """
-    exp = expected_fee(ttype, flow)
-    return (
-        F.when(fee == exp, F.lit(labels.equal))
-        .when(fee > exp, F.lit(labels.over))
-        .when(fee < exp, F.lit(labels.under))
-        .otherwise(F.lit(None).cast("string"))
-    )
+    return sign_label(fee_sign(ttype, flow, fee), labels)

@@ -22,6 +22,12 @@ def day_label(epoch_ms: str | Column) -> Column:
     return F.from_unixtime((_col(epoch_ms) / 1000).cast("long"), "yyyy-MM-dd")
 
 
+def day_date(epoch_ms: str | Column) -> Column:
+    """The day of :func:`day_label` as a ``date`` (same truncation, same zone);
+    ``date_format(day_date(c), 'yyyy-MM-dd') == day_label(c)``."""
+    return F.to_date(F.timestamp_seconds((_col(epoch_ms) / 1000).cast("long")))
+
+
 def event_hour(ts: str | Column) -> Column:
     """Start of the hour of ``ts`` (session time zone); a timestamp."""
     return F.date_trunc("hour", _col(ts))

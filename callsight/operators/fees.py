@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from callsight.functions.codes import (
     EXCEPTION_LABELS,
     FEE_UNIT,
+    INTERNATIONAL,
+    LOCAL,
     PAY_TYPES,
     SUMMARY_LABELS,
     TRANSFER_FLOWS,
@@ -22,9 +24,11 @@ from callsight.functions.codes import (
     as_code,
     classify_fee,
     code_label,
+    fee_sign,
+    sign_label,
     transfer_type,
 )
-from callsight.functions.time import day_label
+from callsight.functions.time import day_date, day_label
 from callsight.schemas import TRANSFER_PASSTHROUGH
 
 ENTRY_TIME = "CUST_LOCAL_ENTRY_DATE"
@@ -96,8 +100,38 @@ def summarize_fees(classified: DataFrame) -> DataFrame:
 
 
 def fee_summary(log: DataFrame, start_ms: int, end_ms: int) -> DataFrame:
-    """Daily handling-fee summary of a transfer log for ``[start_ms, end_ms)``."""
-    return summarize_fees(classify_transfers(label_transfers(valid_transfers(log, start_ms, end_ms))))
+    """Daily handling-fee summary of a transfer log for ``[start_ms, end_ms)``.
+
+    Same result as ``summarize_fees(classify_transfers(label_transfers(valid)))``, but
+    grouped on compact fixed-width keys — day as a date, the pay code (NULL when
+    unknown), the international flag, the flow code and the fee sign, each one-to-one
+    with its label — and labelled after the aggregate. Per input row that leaves
+    integer work only; date formatting and label strings are built once per group.
+    """
+    valid = valid_transfers(log, start_ms, end_ms)
+    pay, flow = _code(valid, "PAY_TYPE"), _code(valid, "TRANSFER_TYPE")
+    international = F.col("EXT_TRANS_ID").isNull()
+    sign = fee_sign(transfer_type(F.col("EXT_TRANS_ID")), code_label(flow, TRANSFER_FLOWS), fee_amount())
+    keys = valid.select(
+        day_date(ENTRY_TIME).alias("day"),
+        F.when(pay.isin(*PAY_TYPES), pay).alias("pay_code"),
+        international.alias("international"),
+        flow.alias("flow_code"),
+        sign.alias("fee_sign"),
+        "HANDLING_CHARGE",
+    )
+    groups = keys.groupBy("day", "pay_code", "international", "flow_code", "fee_sign").agg(
+        F.count(F.lit(1)).alias("call_count"), F.sum("HANDLING_CHARGE").alias("total_fee_charge_raw")
+    )
+    return groups.select(
+        F.date_format("day", "yyyy-MM-dd").alias("date"),
+        code_label(F.col("pay_code"), PAY_TYPES).alias("pay_type"),
+        F.when(F.col("international"), F.lit(INTERNATIONAL)).otherwise(F.lit(LOCAL)).alias("transfer_type"),
+        code_label(F.col("flow_code"), TRANSFER_FLOWS).alias("transfer_flow"),
+        sign_label(F.col("fee_sign"), SUMMARY_LABELS).alias("charge_status"),
+        "call_count",
+        fee_amount("total_fee_charge_raw").alias("total_fee_charge"),
+    )
 
 
 def fee_exceptions(
@@ -116,7 +150,8 @@ def fee_exceptions(
     """
     valid = valid_transfers(log, start_ms, end_ms)
     lab = _label_columns(valid)
-    status = classify_fee(lab["transfer_type"], lab["transfer_flow"], fee_amount(), labels)
+    sign = fee_sign(lab["transfer_type"], lab["transfer_flow"], fee_amount())
+    status = sign_label(sign, labels)
     passthrough: list[Column] = []
     for name in TRANSFER_PASSTHROUGH:
         if name == "STATUS":
@@ -125,8 +160,9 @@ def fee_exceptions(
                 passthrough.append(F.col(name).alias("source_status"))
         else:
             passthrough.append(F.col(name))
-    # A NULL charge can never be over or under: saying so lets the scan skip it.
-    flagged = valid.filter(F.col("HANDLING_CHARGE").isNotNull() & status.isin(labels.under, labels.over))
+    # Over or under charged = a non-zero sign (NULL sign drops out). A NULL charge
+    # can never be flagged: saying so lets the scan skip it.
+    flagged = valid.filter(F.col("HANDLING_CHARGE").isNotNull() & (sign != F.lit(0.0)))
     return flagged.select(
         lab["date"].alias("date"),
         lab["pay_type"].alias("pay_type"),

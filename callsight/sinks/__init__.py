@@ -20,7 +20,14 @@ def write_partitioned(
     replace: bool = True,
 ) -> None:
     """Write partitioned by ``partition_by``. With ``replace`` only the partitions
-    present in ``df`` are overwritten (dynamic overwrite); otherwise rows are added."""
+    present in ``df`` are overwritten (dynamic overwrite); otherwise rows are added.
+
+    Rows are first rebalanced on the partition columns, so each output partition is
+    written by few tasks (not one small file per task per partition), while AQE still
+    splits a partition that holds a large share of the rows.
+    """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     w = df.write.format(fmt).partitionBy(*partition_by)
     if replace:
         w = w.mode("overwrite").option("partitionOverwriteMode", "dynamic")

@@ -172,3 +172,26 @@ def test_label_depends_only_on_sign(spark, cases):
         want = EXCEPTION_LABELS.over if fee > expected else EXCEPTION_LABELS.under if fee < expected else None
         assert got.get(str(i)) == want
 
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.integers(-(10**13), 10**13), min_size=1, max_size=40))
+def test_day_date_formats_to_day_label(spark, values):
+    from callsight.functions.time import day_date
+
+    df = spark.createDataFrame([(v,) for v in values + [-500, -1000, -1001, 0]], "ms bigint")
+    out = df.select(day_label("ms").alias("a"), F.date_format(day_date("ms"), "yyyy-MM-dd").alias("b")).collect()
+    assert all(r.a == r.b for r in out)
+
+
+def test_compact_summary_equals_label_first_summary(spark):
+    from callsight.plans import fixtures as FX
+    from conftest import SF_SMALL
+
+    rows = [tx((i % 9 - 4) * 1250, ext=None if i % 4 == 0 else "e", flow=i % 2, pay=i % 5, TRANSFER_LOG_ID=str(i)) for i in range(40)]
+    rows += [tx(None, pay=None, TRANSFER_LOG_ID="n"), tx(5000, pay=7, ms=DAY - 86_400_000 + 5)]
+    for log in (log_rows(spark, rows), FX.transfers(spark, SF_SMALL)):
+        fast = FE.fee_summary(log, 0, 4102444800000)
+        slow = FE.summarize_fees(FE.classify_transfers(FE.label_transfers(FE.valid_transfers(log, 0, 4102444800000))))
+        assert fast.columns == slow.columns
+        assert sorted(map(str, fast.collect())) == sorted(map(str, slow.collect()))
