@@ -28,6 +28,7 @@ from callsight.sources.tables import (
     read_hourly,
     read_profile_partials,
     read_table,
+    read_totals,
     register_view,
 )
 from callsight.streaming.jobs import hourly_stream, total_stream
@@ -127,6 +128,14 @@ def stream_total_moc(spark, d):
     return read_table(spark, f"{base}/totals")
 
 
+def stream_total_partials(spark, d):
+    base = _landed(spark, d, "stream-total-partials")
+    src = read_cdr_stream(spark, f"{base}/in", max_files_per_trigger=FILES_PER_BATCH)
+    q = total_stream(src, f"{base}/totals", f"{base}/ckpt", output="partials", trigger={"availableNow": True})
+    q.awaitTermination()
+    return read_totals(spark, f"{base}/totals", partials=True)
+
+
 def _run_hourly(spark, d) -> str:
     base = _landed(spark, d, "stream-hourly", CDR_HOURLY_SCHEMA)
     src = read_cdr_stream(spark, f"{base}/in", schema=CDR_HOURLY_SCHEMA, max_files_per_trigger=FILES_PER_BATCH)
@@ -204,6 +213,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "distinct_files_cdr": distinct_files_cdr,
     "distinct_files_recharge": distinct_files_recharge,
     "stream_total_moc": stream_total_moc,
+    "stream_total_partials": stream_total_partials,
     "stream_hourly_moc": stream_hourly_moc,
     "stream_profile": stream_profile,
     "stream_detections": stream_detections,
@@ -331,6 +341,7 @@ ORACLE: dict[str, str] = {
     "distinct_files_cdr": f"WITH {FX.duck_cdr_cte()} SELECT DISTINCT filename FROM cdr",
     "distinct_files_recharge": f"WITH {FX.duck_recharge_cte()} SELECT DISTINCT filename FROM recharge",
     "stream_total_moc": _TOTAL,
+    "stream_total_partials": _TOTAL,
     "stream_hourly_moc": _HOURLY,
     "stream_profile": _PROFILE,
     "stream_detections": _DETECTIONS,

@@ -4,6 +4,7 @@ from callsight.sources.tables import (
     read_hourly,
     read_profile_partials,
     read_table,
+    read_totals,
     register_view,
 )
 
@@ -13,5 +14,6 @@ __all__ = [
     "read_hourly",
     "read_profile_partials",
     "read_table",
+    "read_totals",
     "register_view",
 ]

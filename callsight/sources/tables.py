@@ -8,6 +8,7 @@ on the classpath.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from callsight.schemas import CDR_SCHEMA, HOURLY_SCHEMA, PROFILE_PARTIAL_SCHEMA
@@ -70,3 +71,12 @@ def read_profile_partials(spark: SparkSession, path: str, fmt: str = "parquet")
     """Profile partials written per micro-batch; merge them with ``merge_profiles``."""
     schema = T.StructType(list(PROFILE_PARTIAL_SCHEMA.fields) + [BATCH_ID])
     return read_table(spark, path, fmt, schema=schema if fmt != "delta" else None)
+
+
+def read_totals(spark: SparkSession, path: str, fmt: str = "parquet", partials: bool = False) -> DataFrame:
+    """Running MOC totals written by ``total_stream``; with ``partials`` the per-batch
+    counts are summed (partial aggregate before the shuffle, so hot keys are cheap)."""
+    df = read_table(spark, path, fmt)
+    if not partials:
+        return df
+    return df.groupBy("msisdn").agg(F.sum("moc_count").cast("bigint").alias("moc_count"))

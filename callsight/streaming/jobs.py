@@ -1,7 +1,9 @@
 """Structured Streaming jobs over landing call-record files.
 
 * :func:`total_stream` — running outgoing-call total per subscriber key, SQL over a
-  watermarked view, complete output mode, whole result replaced each trigger.
+  watermarked view, complete output mode, whole result replaced each trigger; or,
+  with ``output="partials"``, stateless per-batch counts that readers sum
+  (:func:`callsight.sources.tables.read_totals`).
 * :func:`hourly_stream` — ``foreachBatch`` fan-out: each micro-batch writes its hourly
   partial counts and its partial subscriber profiles. Both writes are replay-safe
   (dynamic overwrite of partitions tagged with the batch id), so a batch re-run after a
@@ -17,7 +19,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from callsight.operators.calls import hourly_counts, outgoing, profile_partials, total_moc_sql
+from callsight.operators.calls import hourly_counts, outgoing, profile_partials, total_by_subscriber, total_moc_sql
 from callsight.sinks import overwrite, write_batch
 from callsight.sources.tables import register_view
 
@@ -44,13 +46,29 @@ def total_stream(
     options: dict[str, str] | None = None,
     trigger: dict | None = None,
     name: str | None = None,
+    output: str = "complete",
 ) -> StreamingQuery:
-    """Running MOC count per ``key`` (default IMSI), written whole every trigger.
+    """Running MOC count per ``key`` (default IMSI).
 
-    The watermark is declared on the event time as the feed defines it; because the
-    grouping key is not event time, it neither drops late rows nor frees state: the
-    state holds one count per subscriber.
+    ``output="complete"``: SQL over the watermarked view, the whole result rewritten
+    every trigger. The watermark is declared on the event time as the feed defines
+    it; because the grouping key is not event time, it neither drops late rows nor
+    frees state: the state store holds one count per subscriber, and each trigger
+    rewrites all of them.
+
+    ``output="partials"``: no state at all. Each micro-batch writes its own counts per
+    key, tagged with the batch id (a replay replaces them); ``read_totals`` sums
+    them. Work per trigger is proportional to the batch, not to all subscribers.
     """
+    if output == "partials":
+
+        def write_counts(batch: DataFrame, batch_id: int) -> None:
+            write_batch(total_by_subscriber(batch, key), sink_path, batch_id, fmt=fmt, options=options)
+
+        writer = source.writeStream.outputMode("update").foreachBatch(write_counts)
+        return _start(writer, checkpoint, trigger, name)
+    if output != "complete":
+        raise ValueError(f"output must be 'complete' or 'partials', not {output!r}")
     spark = source.sparkSession
     register_view(source.withWatermark(EVENT_TIME, watermark), view)
     counts = total_moc_sql(spark, view=view, key=key)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from callsight.operators import calls as C
 from callsight.plans import fixtures as FX
 from callsight.schemas import CDR_HOURLY_SCHEMA, CDR_SCHEMA
-from callsight.sources.tables import read_cdr_stream, read_hourly, read_profile_partials, read_table
+from callsight.sources.tables import read_cdr_stream, read_hourly, read_profile_partials, read_table, read_totals
 from callsight.streaming.jobs import hourly_stream, process_hourly_batch, total_stream
 from conftest import SF_SMALL
 
@@ -91,3 +91,14 @@ def test_detections_from_stored_tables(spark, tmp_dir):
     first = daily.agg(F.min("event_date")).first()[0]
     bounded = C.daily_totals(read_hourly(spark, f"{tmp_dir}/hourly"), start_date=str(first), end_date=str(first))
     assert bounded.count() == 0
+
+
+def test_total_stream_partials_equal_batch_without_state(spark, tmp_dir):
+    inp = f"{tmp_dir}/in"
+    FX.write_cdr_files(spark, SF_SMALL, inp)
+    src = read_cdr_stream(spark, inp, schema=CDR_SCHEMA, max_files_per_trigger=3)
+    q = total_stream(src, f"{tmp_dir}/totals", f"{tmp_dir}/ckpt", output="partials", trigger=NOW)
+    q.awaitTermination()
+    want = rows_of(C.total_by_subscriber(FX.cdr(spark, SF_SMALL)))
+    assert rows_of(read_totals(spark, f"{tmp_dir}/totals", partials=True)) == want
+    assert not q.lastProgress["stateOperators"]  # nothing kept between triggers
