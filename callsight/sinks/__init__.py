@@ -18,16 +18,19 @@ def write_partitioned(
     partition_by: Sequence[str],
     fmt: str = "parquet",
     replace: bool = True,
+    rebalance_by: Sequence[str] | None = None,
 ) -> None:
     """Write partitioned by ``partition_by``. With ``replace`` only the partitions
     present in ``df`` are overwritten (dynamic overwrite); otherwise rows are added.
 
-    Rows are first rebalanced on the partition columns, so each output partition is
-    written by few tasks (not one small file per task per partition), while AQE still
-    splits a partition that holds a large share of the rows.
+    Rows are first rebalanced on ``rebalance_by`` (default: the partition columns), so
+    each output partition is written by few tasks (not one small file per task per
+    partition), while AQE still splits a partition that holds a large share of the
+    rows. Columns that are constant in ``df`` should be left out of ``rebalance_by``.
     """
-    if partition_by:
-        df = df.hint("rebalance", *partition_by)
+    layout = list(partition_by if rebalance_by is None else rebalance_by)
+    if layout:
+        df = df.hint("rebalance", *layout)
     w = df.write.format(fmt).partitionBy(*partition_by)
     if replace:
         w = w.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -47,12 +50,14 @@ def write_batch(
     """Replay-safe append of one micro-batch's output, tagged with ``batch_id``.
 
     Files: partitioned by ``(*partition_by, batch_id)`` with dynamic overwrite, so a
-    replay replaces exactly what the first attempt wrote. Document stores: upsert by
-    ``(*partition_by keys given in options, batch_id)`` through the connector options.
+    replay replaces exactly what the first attempt wrote. Other formats (document
+    stores) are appended through the connector with ``options``; configure them as
+    upserts keyed on the row key and ``batch_id`` to keep replays idempotent.
     """
     out = df.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
     if fmt in FILE_FORMATS:
-        write_partitioned(out, path, [*partition_by, "batch_id"], fmt=fmt, replace=True)
+        # batch_id is one value per call: lay files out by the other columns only
+        write_partitioned(out, path, [*partition_by, "batch_id"], fmt=fmt, replace=True, rebalance_by=partition_by)
         return
     w = out.write.format(fmt).mode("append")
     if options:
