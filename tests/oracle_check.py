@@ -51,6 +51,29 @@ def _canon(v):
     return str(v)
 
 
+SPARK_FAMILY = {
+    "long": "int", "integer": "int", "short": "int", "byte": "int",
+    "double": "float", "float": "float", "string": "string", "date": "date",
+    "timestamp": "timestamp", "timestamp_ntz": "timestamp", "boolean": "bool", "decimal": "decimal",
+}
+
+
+def duck_family(t: str) -> str:
+    t = str(t).upper()
+    if t.startswith(("BIGINT", "INTEGER", "HUGEINT", "SMALLINT", "TINYINT", "UBIGINT", "UINTEGER")):
+        return "int"
+    if t.startswith(("DOUBLE", "FLOAT")):
+        return "float"
+    if t.startswith("VARCHAR"):
+        return "string"
+    if t.startswith("TIMESTAMP"):
+        return "timestamp"
+    for k in ("DATE", "BOOLEAN", "DECIMAL"):
+        if t.startswith(k):
+            return {"DATE": "date", "BOOLEAN": "bool", "DECIMAL": "decimal"}[k]
+    return t.lower()
+
+
 def rows_of(columns, records):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     return sorted(tuple(_canon(r[i]) for i in order) for r in records), sorted(columns)
@@ -66,10 +89,15 @@ def compare(spark, con, name, fn, sql, sf_dir):
     drows = res.fetchall()
     s, scols = rows_of(sdf.columns, srows)
     d, dcols_sorted = rows_of(dcols, drows)
-    ok = s == d and scols == dcols_sorted
+    stypes = {f.name: SPARK_FAMILY.get(f.dataType.typeName(), f.dataType.typeName()) for f in sdf.schema.fields}
+    dtypes = {desc[0]: duck_family(desc[1]) for desc in res.description}
+    types_ok = stypes == dtypes
+    ok = s == d and scols == dcols_sorted and types_ok
     detail = ""
     if not ok:
-        if scols != dcols_sorted:
+        if not types_ok and scols == dcols_sorted:
+            detail = f"types spark={stypes} duck={dtypes}"
+        elif scols != dcols_sorted:
             detail = f"columns spark={scols} duck={dcols_sorted}"
         else:
             only_s = sorted(set(s) - set(d))[:3]
