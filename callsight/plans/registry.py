@@ -32,6 +32,7 @@ from callsight.sources.tables import (
     register_view,
 )
 from callsight.streaming.jobs import hourly_stream, total_stream
+from callsight.streaming.snapshots import compact_profiles, current_profile_partials
 
 # Windows (UTC wall clock). "All" covers every generated ship date.
 WINDOW = ("1997-01-01", "1998-01-01")
@@ -158,6 +159,15 @@ def stream_profile(spark, d):
     return C.finish_profile(C.merge_profiles(read_profile_partials(spark, f"{base}/profile")))
 
 
+def stream_profile_compacted(spark, d):
+    """Profiles after folding the first two micro-batches into a snapshot: the reader
+    takes the snapshot plus the later partials."""
+    base = _run_hourly(spark, d)
+    compact_profiles(spark, f"{base}/profile", f"{base}/snapshots", upto=1)
+    parts = current_profile_partials(spark, f"{base}/profile", f"{base}/snapshots")
+    return C.finish_profile(C.merge_profiles(parts))
+
+
 def stream_detections(spark, d):
     base = _run_hourly(spark, d)
     daily = C.daily_totals(read_hourly(spark, f"{base}/hourly"))
@@ -216,6 +226,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_total_partials": stream_total_partials,
     "stream_hourly_moc": stream_hourly_moc,
     "stream_profile": stream_profile,
+    "stream_profile_compacted": stream_profile_compacted,
     "stream_detections": stream_detections,
     "sink_overwrite": sink_overwrite,
     "sink_guarded": sink_guarded,
@@ -344,6 +355,7 @@ ORACLE: dict[str, str] = {
     "stream_total_partials": _TOTAL,
     "stream_hourly_moc": _HOURLY,
     "stream_profile": _PROFILE,
+    "stream_profile_compacted": _PROFILE,
     "stream_detections": _DETECTIONS,
     "sink_overwrite": _DETECTIONS,
     "sink_guarded": _exceptions_sql(),

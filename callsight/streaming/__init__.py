@@ -1,3 +1,11 @@
 from callsight.streaming.jobs import hourly_stream, process_hourly_batch, total_stream
+from callsight.streaming.snapshots import compact_profiles, current_profile_partials, latest_snapshot
 
-__all__ = ["hourly_stream", "process_hourly_batch", "total_stream"]
+__all__ = [
+    "compact_profiles",
+    "current_profile_partials",
+    "hourly_stream",
+    "latest_snapshot",
+    "process_hourly_batch",
+    "total_stream",
+]

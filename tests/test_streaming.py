@@ -9,11 +9,22 @@ from callsight.plans import fixtures as FX
 from callsight.schemas import CDR_HOURLY_SCHEMA, CDR_SCHEMA
 from callsight.sources.tables import read_cdr_stream, read_hourly, read_profile_partials, read_table, read_totals
 from callsight.streaming.jobs import hourly_stream, process_hourly_batch, total_stream
+from callsight.streaming.snapshots import compact_profiles, current_profile_partials, latest_snapshot
 from conftest import SF_SMALL
 
 NOW = {"availableNow": True}
 
 
+def plan_of(df) -> str:
+    import contextlib
+    import io
+
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("formatted")
+    return buf.getvalue()
+
+
 def rows_of(df):
     return sorted(tuple(str(v) for v in r) for r in df.collect())
 
@@ -102,3 +113,27 @@ def test_total_stream_partials_equal_batch_without_state(spark, tmp_dir):
     want = rows_of(C.total_by_subscriber(FX.cdr(spark, SF_SMALL)))
     assert rows_of(read_totals(spark, f"{tmp_dir}/totals", partials=True)) == want
     assert not q.lastProgress["stateOperators"]  # nothing kept between triggers
+
+
+def test_profile_snapshots_fold_partials_exactly(spark, tmp_dir):
+    cdr = FX.cdr(spark, SF_SMALL, columns=set(CDR_HOURLY_SCHEMA.fieldNames()))
+    files = sorted(r.filename for r in cdr.select("filename").distinct().collect())
+    parts, snaps = f"{tmp_dir}/profile", f"{tmp_dir}/snap"
+    want = rows_of(C.subscriber_profile(C.outgoing(cdr)))
+
+    def current():
+        return rows_of(C.finish_profile(C.merge_profiles(current_profile_partials(spark, parts, snaps))))
+
+    assert compact_profiles(spark, parts, snaps) is None  # nothing stored yet
+    for b, group in enumerate([files[0:4], files[4:8], files[8:12]]):
+        process_hourly_batch(cdr.filter(F.col("filename").isin(group)), b, f"{tmp_dir}/hourly", parts)
+        if b == 0:
+            assert compact_profiles(spark, parts, snaps) == 0
+    assert current() == want  # snapshot(0) + partials 1, 2
+    assert compact_profiles(spark, parts, snaps) == 2
+    assert compact_profiles(spark, parts, snaps) == 2  # nothing new: no new snapshot
+    snap, upto = latest_snapshot(spark, snaps)
+    assert upto == 2 and snap.count() == len(want)
+    assert current() == want  # snapshot(2) only
+    p = plan_of(current_profile_partials(spark, parts, snaps))
+    assert "PartitionFilters: [isnotnull(batch_id" in p or "(batch_id" in p
