@@ -177,3 +177,27 @@ def test_detections_merge_partials_and_match_lazy_path(spark):
 def test_distinct_files(spark):
     got = sorted(r.filename for r in C.distinct_files(cdr_rows(spark, ROWS)).collect())
     assert got == ["f0", "f1", "f2"]
+
+
+@settings(max_examples=6, deadline=None)
+@given(
+    st.lists(st.tuples(st.integers(1, 3), st.sampled_from(["a", "b", "c", "d", None]), st.integers(0, 4)), max_size=30),
+    st.integers(1, 3),
+    st.booleans(),
+)
+def test_top_k_matches_brute_force(spark, rows, k, ties):
+    seen = {}
+    for day, num, calls in rows:  # one total per (day, number)
+        seen[(day, num)] = calls
+    data = [(dt.date(2024, 1, d), n, c) for (d, n), c in seen.items()]
+    daily = spark.createDataFrame(data, "event_date date, msisdn string, daily_outgoing_calls bigint")
+    got = sorted((str(r.event_date), str(r.msisdn)) for r in C.top_caller_per_day(daily, k=k, ties=ties).collect())
+    want = []
+    for day in {d for d, _, _ in data}:
+        group = [(n, c) for d, n, c in data if d == day]
+        if ties:
+            want += [(str(day), str(n)) for n, c in group if sum(1 for _, c2 in group if c2 > c) < k]
+        else:
+            group.sort(key=lambda x: (-x[1], x[0] is None, x[0] or ""))
+            want += [(str(day), str(n)) for n, _ in group[:k]]
+    assert got == sorted(want)
