@@ -1,0 +1,41 @@
+"""The command-line jobs end to end: land files, stream, fold, detect; fee reports."""
+
+from pyspark.sql import functions as F
+
+from callsight import jobs
+from callsight.operators import calls as C
+from callsight.operators import fees as FE
+from callsight.plans import fixtures as FX
+from callsight.schemas import CDR_HOURLY_SCHEMA
+from callsight.sources.tables import read_table
+from conftest import SF_SMALL
+
+
+def rows_of(df):
+    return sorted(tuple(str(v) for v in r) for r in df.collect())
+
+
+def test_cdr_jobs_end_to_end(spark, tmp_dir):
+    inp = FX.write_cdr_files(spark, SF_SMALL, f"{tmp_dir}/in", columns=set(CDR_HOURLY_SCHEMA.fieldNames()))
+    common = ["--input", inp, "--files-per-trigger", "3", "--available-now"]
+    jobs.main(["hourly-stream", *common, "--hourly", f"{tmp_dir}/h", "--profiles", f"{tmp_dir}/p",
+               "--checkpoint", f"{tmp_dir}/c1"], spark)
+    jobs.main(["compact-profiles", "--profiles", f"{tmp_dir}/p", "--snapshots", f"{tmp_dir}/s"], spark)
+    jobs.main(["top-callers", "--hourly", f"{tmp_dir}/h", "--profiles", f"{tmp_dir}/p", "--snapshots",
+               f"{tmp_dir}/s", "--out", f"{tmp_dir}/det"], spark)
+    moc = C.outgoing(FX.cdr(spark, SF_SMALL))
+    want = C.detections(C.daily_totals(C.hourly_counts(moc)), C.profile_partials(moc), materialize=False)
+    assert rows_of(read_table(spark, f"{tmp_dir}/det")) == rows_of(want)
+
+
+def test_fee_jobs(spark, tmp_dir):
+    log = f"{tmp_dir}/log"
+    FX.transfers(spark, SF_SMALL).write.parquet(log)
+    day = ["--log", log, "--day", "1997-03-01", "--end-day", "1997-03-08"]
+    for _ in range(2):
+        jobs.main(["fee-summary", *day, "--out", f"{tmp_dir}/sum", "--replace-dates"], spark)
+    jobs.main(["fee-exceptions", *day, "--out", f"{tmp_dir}/exc"], spark)
+    stored = spark.read.parquet(log)
+    s, e = 857174400000, 857779200000  # 1997-03-01 .. 1997-03-08 UTC
+    assert read_table(spark, f"{tmp_dir}/sum").agg(F.sum("call_count")).first()[0] == FE.valid_transfers(stored, s, e).count()
+    assert read_table(spark, f"{tmp_dir}/exc").count() == FE.fee_exceptions(stored, s, e).count()
