@@ -69,7 +69,7 @@ def top_callers_job(spark, a) -> None:
 
 
 def compact_profiles_job(spark, a) -> None:
-    upto = compact_profiles(spark, a.profiles, a.snapshots, fmt=a.format)
+    upto = compact_profiles(spark, a.profiles, a.snapshots, upto=a.upto, fmt=a.format)
     print(f"profiles folded up to batch {upto}")
 
 
@@ -130,6 +130,7 @@ def parser() -> argparse.ArgumentParser:
     c = sub.add_parser("compact-profiles", help="fold profile partials into a snapshot")
     c.add_argument("--profiles", required=True)
     c.add_argument("--snapshots", required=True)
+    c.add_argument("--upto", type=int, help="last batch to fold; default: newest stored minus one")
     c.add_argument("--format", default="parquet")
     c.set_defaults(fn=compact_profiles_job)
     return p

@@ -59,16 +59,23 @@ def compact_profiles(
     upto: int | None = None,
     fmt: str = "parquet",
 ) -> int | None:
-    """Fold the newest snapshot and the partials up to batch ``upto`` (default: the
-    highest stored) into a new snapshot folder. Returns the batch id it covers."""
+    """Fold the newest snapshot and the partials up to batch ``upto`` into a new
+    snapshot folder. Returns the batch id it covers (None when there is nothing).
+
+    By default ``upto`` is the newest stored batch minus one: the stream commits
+    batches in order, so only the newest one can still be half-written while this
+    runs (file stores without atomic rename). Pass ``upto`` when the stream is known
+    to be stopped or its committed batch id is known.
+    """
     try:
         parts = read_profile_partials(spark, partials_path, fmt)
     except AnalysisException:  # the stream has not written any partial yet
         return None
     if upto is None:
-        upto = parts.agg(F.max("batch_id")).first()[0]
-        if upto is None:
+        newest = parts.agg(F.max("batch_id")).first()[0]
+        if newest is None or newest < 1:
             return None
+        upto = newest - 1
     snap, done = latest_snapshot(spark, snapshot_path, fmt)
     if done is not None and done >= upto:
         return done

@@ -128,10 +128,13 @@ def test_profile_snapshots_fold_partials_exactly(spark, tmp_dir):
     for b, group in enumerate([files[0:4], files[4:8], files[8:12]]):
         process_hourly_batch(cdr.filter(F.col("filename").isin(group)), b, f"{tmp_dir}/hourly", parts)
         if b == 0:
+            assert compact_profiles(spark, parts, snaps) is None  # newest batch is never folded by default
+        if b == 1:
             assert compact_profiles(spark, parts, snaps) == 0
     assert current() == want  # snapshot(0) + partials 1, 2
-    assert compact_profiles(spark, parts, snaps) == 2
-    assert compact_profiles(spark, parts, snaps) == 2  # nothing new: no new snapshot
+    assert compact_profiles(spark, parts, snaps) == 1
+    assert compact_profiles(spark, parts, snaps, upto=2) == 2  # stream stopped: fold everything
+    assert compact_profiles(spark, parts, snaps, upto=2) == 2  # nothing new: no new snapshot
     snap, upto = latest_snapshot(spark, snaps)
     assert upto == 2 and snap.count() == len(want)
     assert current() == want  # snapshot(2) only
