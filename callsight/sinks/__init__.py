@@ -19,6 +19,7 @@ def write_partitioned(
     fmt: str = "parquet",
     replace: bool = True,
     rebalance_by: Sequence[str] | None = None,
+    spread: int | None = None,
 ) -> None:
     """Write partitioned by ``partition_by``. With ``replace`` only the partitions
     present in ``df`` are overwritten (dynamic overwrite); otherwise rows are added.
@@ -27,9 +28,15 @@ def write_partitioned(
     each output partition is written by few tasks (not one small file per task per
     partition), while AQE still splits a partition that holds a large share of the
     rows. Columns that are constant in ``df`` should be left out of ``rebalance_by``.
+
+    ``spread`` instead hash-partitions on the partition columns into that many tasks:
+    for tables with few rows per partition but many partitions (each still one file),
+    so the per-file cost of a wide backfill is paid in parallel, not by one task.
     """
     layout = list(partition_by if rebalance_by is None else rebalance_by)
-    if layout:
+    if spread and layout:
+        df = df.repartition(int(spread), *layout)
+    elif layout:
         df = df.hint("rebalance", *layout)
     w = df.write.format(fmt).partitionBy(*partition_by)
     if replace:
@@ -83,5 +90,12 @@ def write_if_any(df: DataFrame, write: Callable[[DataFrame], None]) -> bool:
 
 def append_summary(df: DataFrame, path: str, fmt: str = "parquet", replace_dates: bool = False) -> None:
     """Add a fee summary to a table partitioned by ``date``. With ``replace_dates`` the
-    days in ``df`` replace what was there, so a rerun of a day does not double it."""
-    write_partitioned(df, path, ["date"], fmt=fmt, replace=replace_dates)
+    days in ``df`` replace what was there, so a rerun of a day does not double it.
+
+    A day of summary is a few dozen rows, so days are spread over the shuffle width
+    (one file per day, written in parallel) rather than rebalanced by size."""
+    try:
+        width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    except ValueError:  # e.g. "auto"
+        width = 200
+    write_partitioned(df, path, ["date"], fmt=fmt, replace=replace_dates, spread=width)

@@ -32,6 +32,8 @@ def test_summary_append_doubles_replace_does_not(spark, tmp_dir):
     total = lambda p: read_table(spark, p).agg(F.sum("call_count")).first()[0]
     assert total(f"{tmp_dir}/append") == 2 * n
     assert total(f"{tmp_dir}/replace") == n
+    days = summ.select("date").distinct().count()
+    assert len(glob.glob(f"{tmp_dir}/replace/date=*/*.parquet")) == days  # one file per day
     # replacing one day leaves the other days alone
     one_day = summ.filter(F.col("date") == summ.agg(F.min("date")).first()[0])
     assert one_day.count() > 0
