@@ -195,3 +195,29 @@ def test_compact_summary_equals_label_first_summary(spark):
         slow = FE.summarize_fees(FE.classify_transfers(FE.label_transfers(FE.valid_transfers(log, 0, 4102444800000))))
         assert fast.columns == slow.columns
         assert sorted(map(str, fast.collect())) == sorted(map(str, slow.collect()))
+
+
+@settings(max_examples=8, deadline=None)
+@given(
+    st.lists(
+        st.tuples(
+            st.one_of(st.none(), st.integers(-3, 3).map(lambda x: x * 2500)),
+            st.booleans(),
+            st.sampled_from([0, 1, 2, None]),
+            st.sampled_from([0, 1, 2, 3, None]),
+            st.integers(0, 3 * 86_400_000),
+        ),
+        min_size=1,
+        max_size=40,
+    )
+)
+def test_compact_summary_property(spark, cases):
+    rows = [
+        tx(c, ext=None if intl else "e", flow=f, pay=p, ms=DAY + off, TRANSFER_LOG_ID=str(i))
+        for i, (c, intl, f, p, off) in enumerate(cases)
+    ]
+    log = log_rows(spark, rows)
+    end = DAY + 3 * 86_400_000
+    fast = FE.fee_summary(log, DAY, end)
+    slow = FE.summarize_fees(FE.classify_transfers(FE.label_transfers(FE.valid_transfers(log, DAY, end))))
+    assert sorted(map(str, fast.collect())) == sorted(map(str, slow.collect()))
