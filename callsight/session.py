@@ -47,7 +47,13 @@ def shared_dir(spark: SparkSession) -> str:
     Read from the session (``spark.checkpoint.dir`` or an already-set checkpoint dir).
     Only when nothing is set and the master is local is a temporary folder created.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext, only the session's configuration
+        conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+        if not conf_dir:
+            raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder") from None
+        return conf_dir.rstrip("/")
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
