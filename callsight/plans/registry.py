@@ -31,7 +31,7 @@ from callsight.sources.tables import (
     read_totals,
     register_view,
 )
-from callsight.streaming.jobs import hourly_stream, total_stream
+from callsight.streaming.jobs import files_stream, hourly_stream, total_stream
 from callsight.streaming.snapshots import compact_profiles, current_profile_partials
 
 # Windows (UTC wall clock). "All" covers every generated ship date.
@@ -137,6 +137,14 @@ def stream_total_partials(spark, d):
     return read_totals(spark, f"{base}/totals", partials=True)
 
 
+def stream_distinct_files(spark, d):
+    base = _landed(spark, d, "stream-files")
+    src = read_cdr_stream(spark, f"{base}/in", max_files_per_trigger=FILES_PER_BATCH)
+    q = files_stream(src, f"{base}/files", f"{base}/ckpt", trigger={"availableNow": True})
+    q.awaitTermination()
+    return read_table(spark, f"{base}/files").select("filename")
+
+
 def _run_hourly(spark, d) -> str:
     base = _landed(spark, d, "stream-hourly", CDR_HOURLY_SCHEMA)
     src = read_cdr_stream(spark, f"{base}/in", schema=CDR_HOURLY_SCHEMA, max_files_per_trigger=FILES_PER_BATCH)
@@ -224,6 +232,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "distinct_files_recharge": distinct_files_recharge,
     "stream_total_moc": stream_total_moc,
     "stream_total_partials": stream_total_partials,
+    "stream_distinct_files": stream_distinct_files,
     "stream_hourly_moc": stream_hourly_moc,
     "stream_profile": stream_profile,
     "stream_profile_compacted": stream_profile_compacted,
@@ -353,6 +362,7 @@ ORACLE: dict[str, str] = {
     "distinct_files_recharge": f"WITH {FX.duck_recharge_cte()} SELECT DISTINCT filename FROM recharge",
     "stream_total_moc": _TOTAL,
     "stream_total_partials": _TOTAL,
+    "stream_distinct_files": f"WITH {FX.duck_cdr_cte()} SELECT DISTINCT filename FROM cdr",
     "stream_hourly_moc": _HOURLY,
     "stream_profile": _PROFILE,
     "stream_profile_compacted": _PROFILE,

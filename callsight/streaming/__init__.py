@@ -1,9 +1,10 @@
-from callsight.streaming.jobs import hourly_stream, process_hourly_batch, total_stream
+from callsight.streaming.jobs import files_stream, hourly_stream, process_hourly_batch, total_stream
 from callsight.streaming.snapshots import compact_profiles, current_profile_partials, latest_snapshot
 
 __all__ = [
     "compact_profiles",
     "current_profile_partials",
+    "files_stream",
     "hourly_stream",
     "latest_snapshot",
     "process_hourly_batch",

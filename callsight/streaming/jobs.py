@@ -10,7 +10,10 @@
   failure replaces its own output; readers sum / merge partials
   (:func:`callsight.operators.calls.daily_totals`, ``merge_profiles``).
 
-Both return the started :class:`StreamingQuery`; waiting on it is the caller's choice.
+* :func:`files_stream` — names of the files processed so far, as streaming
+  deduplication (append mode), so each name is emitted once.
+
+All return the started :class:`StreamingQuery`; waiting on it is the caller's choice.
 """
 
 from __future__ import annotations
@@ -19,7 +22,14 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from callsight.operators.calls import hourly_counts, outgoing, profile_partials, total_by_subscriber, total_moc_sql
+from callsight.operators.calls import (
+    distinct_files,
+    hourly_counts,
+    outgoing,
+    profile_partials,
+    total_by_subscriber,
+    total_moc_sql,
+)
 from callsight.sinks import overwrite, write_batch
 from callsight.sources.tables import register_view
 
@@ -134,3 +144,26 @@ def hourly_stream(
 
     writer = source.writeStream.outputMode("update").foreachBatch(each_batch)
     return _start(writer, checkpoint, trigger, name)
+
+
+def files_stream(
+    source: DataFrame,
+    sink_path: str,
+    checkpoint: str,
+    column: str = "filename",
+    fmt: str = "parquet",
+    trigger: dict | None = None,
+    name: str | None = None,
+) -> StreamingQuery:
+    """Distinct processed file names, each written once (replay-safe per batch).
+
+    The deduplication state holds one entry per file name seen, so it grows with the
+    number of files, not with the number of records.
+    """
+    names = distinct_files(source, column)
+
+    def write_new(batch: DataFrame, batch_id: int) -> None:
+        write_batch(batch, sink_path, batch_id, fmt=fmt)
+
+    writer = names.writeStream.outputMode("append").foreachBatch(write_new)
+    return _start(writer, checkpoint, trigger, name)

@@ -8,7 +8,7 @@ from callsight.operators import calls as C
 from callsight.plans import fixtures as FX
 from callsight.schemas import CDR_HOURLY_SCHEMA, CDR_SCHEMA
 from callsight.sources.tables import read_cdr_stream, read_hourly, read_profile_partials, read_table, read_totals
-from callsight.streaming.jobs import hourly_stream, process_hourly_batch, total_stream
+from callsight.streaming.jobs import files_stream, hourly_stream, process_hourly_batch, total_stream
 from callsight.streaming.snapshots import compact_profiles, current_profile_partials, latest_snapshot
 from conftest import SF_SMALL
 
@@ -140,3 +140,14 @@ def test_profile_snapshots_fold_partials_exactly(spark, tmp_dir):
     assert current() == want  # snapshot(2) only
     p = plan_of(current_profile_partials(spark, parts, snaps))
     assert "PartitionFilters: [isnotnull(batch_id" in p or "(batch_id" in p
+
+
+def test_files_stream_emits_each_name_once(spark, tmp_dir):
+    inp = f"{tmp_dir}/in"
+    FX.write_cdr_files(spark, SF_SMALL, inp)
+    src = read_cdr_stream(spark, inp, schema=CDR_SCHEMA, max_files_per_trigger=3)
+    q = files_stream(src, f"{tmp_dir}/files", f"{tmp_dir}/ckpt", trigger=NOW)
+    q.awaitTermination()
+    got = read_table(spark, f"{tmp_dir}/files")
+    assert got.count() == 12 and got.select("filename").distinct().count() == 12
+    assert got.select("batch_id").distinct().count() >= 4  # names arrive over several batches
