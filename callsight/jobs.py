@@ -5,7 +5,7 @@
     python -m callsight.jobs hourly-stream --input s3://…/cdr --hourly … --profiles … \\
         --checkpoint s3://…/ckpt/hourly
 
-Jobs: ``fee-summary``, ``fee-exceptions``, ``total-stream``, ``hourly-stream``,
+Jobs: ``fee-summary``, ``fee-exceptions``, ``total-stream``, ``hourly-stream``, ``files-stream``,
 ``top-callers`` (one run of the detection rule; schedule it externally) and
 ``compact-profiles``. The session comes from ``SparkSession.builder.getOrCreate()``, so
 cluster settings are the submitter's.
@@ -24,7 +24,7 @@ from callsight.operators import fees as FE
 from callsight.schemas import CDR_HOURLY_SCHEMA, CDR_SCHEMA
 from callsight.sinks import append_summary, overwrite, write_if_any
 from callsight.sources.tables import read_cdr_stream, read_hourly, read_table
-from callsight.streaming.jobs import hourly_stream, total_stream
+from callsight.streaming.jobs import files_stream, hourly_stream, total_stream
 from callsight.streaming.snapshots import compact_profiles, current_profile_partials
 
 
@@ -62,6 +62,12 @@ def hourly_stream_job(spark, a) -> None:
     q.awaitTermination()
 
 
+def files_stream_job(spark, a) -> None:
+    src = read_cdr_stream(spark, a.input, CDR_SCHEMA, a.files_per_trigger)
+    q = files_stream(src, a.out, a.checkpoint, column=a.key, fmt=a.format, trigger=_trigger(a))
+    q.awaitTermination()
+
+
 def top_callers_job(spark, a) -> None:
     daily = C.daily_totals(read_hourly(spark, a.hourly, a.format), a.start_date, a.end_date)
     partials = current_profile_partials(spark, a.profiles, a.snapshots, a.format)
@@ -100,7 +106,7 @@ def parser() -> argparse.ArgumentParser:
         s.add_argument("--input", required=True, help="landing folder of CDR parquet files")
         s.add_argument("--checkpoint", required=True)
         s.add_argument("--files-per-trigger", type=int, default=1000)
-        s.add_argument("--key", default=key, help="subscriber key column")
+        s.add_argument("--key", default=key, help="key column (subscriber, or file name for files-stream)")
         s.add_argument("--format", default="parquet")
         s.add_argument("--available-now", action="store_true", help="process what is there, then stop")
         s.add_argument("--every", help="processing-time trigger, e.g. '1 minute'")
@@ -113,6 +119,8 @@ def parser() -> argparse.ArgumentParser:
     h = stream("hourly-stream", hourly_stream_job, "hourly MOC partials and profile partials", "served_phone_number")
     h.add_argument("--hourly", required=True)
     h.add_argument("--profiles", required=True)
+    f = stream("files-stream", files_stream_job, "distinct processed file names", "filename")
+    f.add_argument("--out", required=True)
 
     r = sub.add_parser("top-callers", help="top callers per day with profiles, as detections")
     r.add_argument("--hourly", required=True)

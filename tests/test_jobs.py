@@ -20,6 +20,8 @@ def test_cdr_jobs_end_to_end(spark, tmp_dir):
     common = ["--input", inp, "--files-per-trigger", "3", "--available-now"]
     jobs.main(["hourly-stream", *common, "--hourly", f"{tmp_dir}/h", "--profiles", f"{tmp_dir}/p",
                "--checkpoint", f"{tmp_dir}/c1"], spark)
+    jobs.main(["files-stream", *common, "--out", f"{tmp_dir}/f", "--checkpoint", f"{tmp_dir}/c2"], spark)
+    assert read_table(spark, f"{tmp_dir}/f").count() == 12
     jobs.main(["compact-profiles", "--profiles", f"{tmp_dir}/p", "--snapshots", f"{tmp_dir}/s"], spark)
     jobs.main(["top-callers", "--hourly", f"{tmp_dir}/h", "--profiles", f"{tmp_dir}/p", "--snapshots",
                f"{tmp_dir}/s", "--out", f"{tmp_dir}/det"], spark)
