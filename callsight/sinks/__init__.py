@@ -1,6 +1,8 @@
-"""Writers. Every writer is safe to run again with the same input: file outputs use
-dynamic partition overwrite on the partitions they own, so a retried job or a
-replayed micro-batch replaces its own rows instead of adding them twice."""
+"""Writers. The ones the streams use are safe to run again with the same input: file
+outputs use dynamic partition overwrite on the partitions they own, so a retried job
+or a replayed micro-batch replaces its own rows instead of adding them twice.
+``append_summary`` appends by default, as the reports always did; with
+``replace_dates`` a rerun replaces its days instead."""
 
 from __future__ import annotations
 
