@@ -6,8 +6,8 @@
         --checkpoint s3://…/ckpt/hourly
 
 Jobs: ``fee-summary``, ``fee-exceptions``, ``total-stream``, ``hourly-stream``, ``files-stream``,
-``top-callers`` (one run of the detection rule; schedule it externally) and
-``compact-profiles``. The session comes from ``SparkSession.builder.getOrCreate()``, so
+``top-callers`` (one run of the detection rule; schedule it externally),
+``compact-hourly`` and ``compact-profiles``. The session comes from ``SparkSession.builder.getOrCreate()``, so
 cluster settings are the submitter's.
 """
 
@@ -23,9 +23,9 @@ from callsight.operators import calls as C
 from callsight.operators import fees as FE
 from callsight.schemas import CDR_HOURLY_SCHEMA, CDR_SCHEMA
 from callsight.sinks import append_summary, overwrite, write_if_any
-from callsight.sources.tables import read_cdr_stream, read_hourly, read_table
+from callsight.sources.tables import read_cdr_stream, read_table
 from callsight.streaming.jobs import files_stream, hourly_stream, total_stream
-from callsight.streaming.snapshots import compact_profiles, current_profile_partials
+from callsight.streaming.snapshots import compact_hourly, compact_profiles, current_hourly, current_profile_partials
 
 
 def _window(spark, a):
@@ -69,11 +69,16 @@ def files_stream_job(spark, a) -> None:
 
 
 def top_callers_job(spark, a) -> None:
-    daily = C.daily_totals(read_hourly(spark, a.hourly, a.format), a.start_date, a.end_date)
+    daily = C.daily_totals(current_hourly(spark, a.hourly, a.folded, a.format), a.start_date, a.end_date)
     partials = current_profile_partials(spark, a.profiles, a.snapshots, a.format)
     overwrite(C.detections(daily, partials, k=a.k, ties=a.ties), a.out, fmt=a.out_format)
 
 
+def compact_hourly_job(spark, a) -> None:
+    upto = compact_hourly(spark, a.hourly, a.folded, upto=a.upto, fmt=a.format)
+    print(f"hourly counts folded up to batch {upto}")
+
+
 def compact_profiles_job(spark, a) -> None:
     upto = compact_profiles(spark, a.profiles, a.snapshots, upto=a.upto, fmt=a.format)
     print(f"profiles folded up to batch {upto}")
@@ -126,6 +131,7 @@ def parser() -> argparse.ArgumentParser:
     r.add_argument("--hourly", required=True)
     r.add_argument("--profiles", required=True)
     r.add_argument("--snapshots", help="profile snapshot folder (see compact-profiles)")
+    r.add_argument("--folded", help="hourly fold folder (see compact-hourly)")
     r.add_argument("--out", required=True)
     r.add_argument("--start-date")
     r.add_argument("--end-date")
@@ -135,6 +141,13 @@ def parser() -> argparse.ArgumentParser:
     r.add_argument("--out-format", default="parquet")
     r.set_defaults(fn=top_callers_job)
 
+    ch = sub.add_parser("compact-hourly", help="fold hourly partial counts (committed with a marker)")
+    ch.add_argument("--hourly", required=True)
+    ch.add_argument("--folded", required=True)
+    ch.add_argument("--upto", type=int, help="last batch to fold; default: newest stored minus one")
+    ch.add_argument("--format", default="parquet")
+    ch.set_defaults(fn=compact_hourly_job)
+
     c = sub.add_parser("compact-profiles", help="fold profile partials into a snapshot")
     c.add_argument("--profiles", required=True)
     c.add_argument("--snapshots", required=True)

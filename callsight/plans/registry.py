@@ -32,7 +32,7 @@ from callsight.sources.tables import (
     register_view,
 )
 from callsight.streaming.jobs import files_stream, hourly_stream, total_stream
-from callsight.streaming.snapshots import compact_profiles, current_profile_partials
+from callsight.streaming.snapshots import compact_hourly, compact_profiles, current_hourly, current_profile_partials
 
 # Windows (UTC wall clock). "All" covers every generated ship date.
 WINDOW = ("1997-01-01", "1998-01-01")
@@ -162,6 +162,18 @@ def stream_hourly_moc(spark, d):
     )
 
 
+def stream_hourly_compacted(spark, d):
+    """Hourly counts after folding the first two micro-batches (committed fold plus the
+    later partials)."""
+    base = _run_hourly(spark, d)
+    compact_hourly(spark, f"{base}/hourly", f"{base}/folded", upto=1)
+    return (
+        current_hourly(spark, f"{base}/hourly", f"{base}/folded")
+        .groupBy("event_date", "event_hour", "msisdn")
+        .agg(F.sum("outgoing_calls_count").cast("bigint").alias("outgoing_calls_count"))
+    )
+
+
 def stream_profile(spark, d):
     base = _run_hourly(spark, d)
     return C.finish_profile(C.merge_profiles(read_profile_partials(spark, f"{base}/profile")))
@@ -234,6 +246,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_total_partials": stream_total_partials,
     "stream_distinct_files": stream_distinct_files,
     "stream_hourly_moc": stream_hourly_moc,
+    "stream_hourly_compacted": stream_hourly_compacted,
     "stream_profile": stream_profile,
     "stream_profile_compacted": stream_profile_compacted,
     "stream_detections": stream_detections,
@@ -364,6 +377,7 @@ ORACLE: dict[str, str] = {
     "stream_total_partials": _TOTAL,
     "stream_distinct_files": f"WITH {FX.duck_cdr_cte()} SELECT DISTINCT filename FROM cdr",
     "stream_hourly_moc": _HOURLY,
+    "stream_hourly_compacted": _HOURLY,
     "stream_profile": _PROFILE,
     "stream_profile_compacted": _PROFILE,
     "stream_detections": _DETECTIONS,

@@ -1,11 +1,21 @@
 from callsight.streaming.jobs import files_stream, hourly_stream, process_hourly_batch, total_stream
-from callsight.streaming.snapshots import compact_profiles, current_profile_partials, latest_snapshot
+from callsight.streaming.snapshots import (
+    compact_hourly,
+    compact_profiles,
+    current_hourly,
+    current_profile_partials,
+    latest_hourly_fold,
+    latest_snapshot,
+)
 
 __all__ = [
+    "compact_hourly",
     "compact_profiles",
+    "current_hourly",
     "current_profile_partials",
     "files_stream",
     "hourly_stream",
+    "latest_hourly_fold",
     "latest_snapshot",
     "process_hourly_batch",
     "total_stream",

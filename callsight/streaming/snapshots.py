@@ -1,4 +1,4 @@
-"""Folding stored profile partials into snapshots.
+"""Folding stored partials (profiles, hourly counts) into snapshots.
 
 The hourly stream appends one set of profile partials per micro-batch, so merging
 them on every read costs work proportional to history. A periodic batch job folds
@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from callsight.operators.calls import merge_profiles
-from callsight.schemas import PROFILE_PARTIAL_SCHEMA
-from callsight.sources.tables import BATCH_ID, read_profile_partials, read_table
+from callsight.schemas import HOURLY_SCHEMA, PROFILE_PARTIAL_SCHEMA
+from callsight.sources.tables import BATCH_ID, read_hourly, read_profile_partials, read_table
 
 SNAPSHOT_SCHEMA = T.StructType(list(PROFILE_PARTIAL_SCHEMA.fields) + [BATCH_ID, T.StructField("upto", T.LongType())])
 
@@ -86,3 +86,75 @@ def compact_profiles(
     # a fresh folder per snapshot: the source snapshot is never overwritten while read
     folded.write.mode("overwrite").format(fmt).save(f"{snapshot_path.rstrip('/')}/upto={int(upto)}")
     return int(upto)
+
+
+# --- hourly partials ---------------------------------------------------------------
+# Sums are not idempotent, so a fold is only used once its commit marker exists: the
+# folded counts go to ``<folded>/upto=N`` first, then one row to ``<folded>_commits``.
+# A crash in between leaves an unmarked fold that readers ignore.
+
+FOLDED_SCHEMA = T.StructType(list(HOURLY_SCHEMA.fields) + [T.StructField("upto", T.LongType())])
+COMMIT_SCHEMA = T.StructType([T.StructField("upto", T.LongType())])
+
+
+def _commits(folded_path: str) -> str:
+    return f"{folded_path.rstrip('/')}_commits"
+
+
+def latest_hourly_fold(spark: SparkSession, folded_path: str, fmt: str = "parquet") -> tuple[DataFrame | None, int | None]:
+    """The newest committed fold (hourly rows with ``batch_id`` = last batch folded)."""
+    try:
+        upto = read_table(spark, _commits(folded_path), fmt, schema=COMMIT_SCHEMA).agg(F.max("upto")).first()[0]
+    except AnalysisException:  # nothing folded yet
+        return None, None
+    if upto is None:
+        return None, None
+    folded = read_table(spark, folded_path, fmt, schema=FOLDED_SCHEMA).filter(F.col("upto") == F.lit(upto))
+    return folded.drop("upto").withColumn("batch_id", F.lit(upto).cast("bigint")), upto
+
+
+def current_hourly(spark: SparkSession, hourly_path: str, folded_path: str | None = None, fmt: str = "parquet") -> DataFrame:
+    """Hourly partial counts to sum: the newest committed fold plus later partials
+    (same columns as ``read_hourly``; ``daily_totals`` date bounds prune both)."""
+    parts = read_hourly(spark, hourly_path, fmt)
+    if folded_path is None:
+        return parts
+    folded, upto = latest_hourly_fold(spark, folded_path, fmt)
+    if folded is None:
+        return parts
+    return folded.unionByName(parts.filter(F.col("batch_id") > F.lit(upto)))
+
+
+def compact_hourly(
+    spark: SparkSession,
+    hourly_path: str,
+    folded_path: str,
+    upto: int | None = None,
+    fmt: str = "parquet",
+) -> int | None:
+    """Fold the newest committed fold and the hourly partials up to batch ``upto``
+    (default: newest stored minus one, as for profiles) into one count per
+    (event_date, event_hour, msisdn), then commit it. Returns the batch id covered."""
+    try:
+        parts = read_hourly(spark, hourly_path, fmt)
+    except AnalysisException:
+        return None
+    if upto is None:
+        newest = parts.agg(F.max("batch_id")).first()[0]
+        if newest is None or newest < 1:
+            return None
+        upto = newest - 1
+    folded, done = latest_hourly_fold(spark, folded_path, fmt)
+    if done is not None and done >= upto:
+        return done
+    new = parts.filter(F.col("batch_id") <= F.lit(upto))
+    if folded is not None:
+        new = folded.unionByName(new.filter(F.col("batch_id") > F.lit(done)))
+    sums = new.groupBy("event_date", "event_hour", "msisdn").agg(
+        F.sum("outgoing_calls_count").cast("bigint").alias("outgoing_calls_count")
+    )
+    target = f"{folded_path.rstrip('/')}/upto={int(upto)}"
+    sums.hint("rebalance", "event_date").write.mode("overwrite").format(fmt).partitionBy("event_date").save(target)
+    marker = spark.range(1).select(F.lit(int(upto)).cast("bigint").alias("upto"))
+    marker.coalesce(1).write.mode("append").format(fmt).save(_commits(folded_path))  # max() wins
+    return int(upto)

@@ -23,8 +23,9 @@ def test_cdr_jobs_end_to_end(spark, tmp_dir):
     jobs.main(["files-stream", *common, "--out", f"{tmp_dir}/f", "--checkpoint", f"{tmp_dir}/c2"], spark)
     assert read_table(spark, f"{tmp_dir}/f").count() == 12
     jobs.main(["compact-profiles", "--profiles", f"{tmp_dir}/p", "--snapshots", f"{tmp_dir}/s"], spark)
+    jobs.main(["compact-hourly", "--hourly", f"{tmp_dir}/h", "--folded", f"{tmp_dir}/fold"], spark)
     jobs.main(["top-callers", "--hourly", f"{tmp_dir}/h", "--profiles", f"{tmp_dir}/p", "--snapshots",
-               f"{tmp_dir}/s", "--out", f"{tmp_dir}/det"], spark)
+               f"{tmp_dir}/s", "--folded", f"{tmp_dir}/fold", "--out", f"{tmp_dir}/det"], spark)
     moc = C.outgoing(FX.cdr(spark, SF_SMALL))
     want = C.detections(C.daily_totals(C.hourly_counts(moc)), C.profile_partials(moc), materialize=False)
     assert rows_of(read_table(spark, f"{tmp_dir}/det")) == rows_of(want)

@@ -9,7 +9,14 @@ from callsight.plans import fixtures as FX
 from callsight.schemas import CDR_HOURLY_SCHEMA, CDR_SCHEMA
 from callsight.sources.tables import read_cdr_stream, read_hourly, read_profile_partials, read_table, read_totals
 from callsight.streaming.jobs import files_stream, hourly_stream, process_hourly_batch, total_stream
-from callsight.streaming.snapshots import compact_profiles, current_profile_partials, latest_snapshot
+from callsight.streaming.snapshots import (
+    compact_hourly,
+    compact_profiles,
+    current_hourly,
+    current_profile_partials,
+    latest_hourly_fold,
+    latest_snapshot,
+)
 from conftest import SF_SMALL
 
 NOW = {"availableNow": True}
@@ -151,3 +158,32 @@ def test_files_stream_emits_each_name_once(spark, tmp_dir):
     got = read_table(spark, f"{tmp_dir}/files")
     assert got.count() == 12 and got.select("filename").distinct().count() == 12
     assert got.select("batch_id").distinct().count() >= 4  # names arrive over several batches
+
+
+def test_hourly_folds_are_used_only_once_committed(spark, tmp_dir):
+    cdr = FX.cdr(spark, SF_SMALL, columns=set(CDR_HOURLY_SCHEMA.fieldNames()))
+    files = sorted(r.filename for r in cdr.select("filename").distinct().collect())
+    hourly, folded = f"{tmp_dir}/hourly", f"{tmp_dir}/folded"
+    want = rows_of(C.hourly_counts(C.outgoing(cdr)))
+
+    def current():
+        return rows_of(
+            current_hourly(spark, hourly, folded)
+            .groupBy("event_date", "event_hour", "msisdn")
+            .agg(F.sum("outgoing_calls_count").cast("bigint").alias("outgoing_calls_count"))
+        )
+
+    assert compact_hourly(spark, hourly, folded) is None  # nothing stored yet
+    for b, group in enumerate([files[0:4], files[4:8], files[8:12]]):
+        process_hourly_batch(cdr.filter(F.col("filename").isin(group)), b, hourly, f"{tmp_dir}/profile")
+    assert compact_hourly(spark, hourly, folded) == 1  # newest batch (2) left alone
+    assert current() == want  # fold(1) + partials 2
+    # a fold that crashed before its commit marker is ignored by readers
+    junk = spark.createDataFrame([(None, None, "x", 999)], "event_date date, event_hour timestamp, msisdn string, outgoing_calls_count bigint")
+    junk.write.mode("overwrite").partitionBy("event_date").parquet(f"{folded}/upto=7")
+    assert latest_hourly_fold(spark, folded)[1] == 1 and current() == want
+    assert compact_hourly(spark, hourly, folded, upto=2) == 2
+    assert compact_hourly(spark, hourly, folded, upto=2) == 2  # already folded
+    assert current() == want  # fold(2) only
+    daily = C.daily_totals(current_hourly(spark, hourly, folded))
+    assert rows_of(daily) == rows_of(C.daily_totals(C.hourly_counts(C.outgoing(cdr))))
