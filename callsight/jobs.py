@@ -22,24 +22,44 @@ from callsight.functions.time import day_window
 from callsight.operators import calls as C
 from callsight.operators import fees as FE
 from callsight.schemas import CDR_HOURLY_SCHEMA, CDR_SCHEMA
-from callsight.sinks import append_summary, overwrite, write_if_any
+from callsight.sinks import FILE_FORMATS, append_summary, overwrite, write_if_any
 from callsight.sources.tables import read_cdr_stream, read_table
 from callsight.streaming.jobs import files_stream, hourly_stream, total_stream
 from callsight.streaming.snapshots import compact_hourly, compact_profiles, current_hourly, current_profile_partials
 
 
+def _options(pairs: list[str] | None) -> dict[str, str] | None:
+    """``["k=v", ...]`` → ``{"k": "v"}`` (connector options such as database, collection)."""
+    if not pairs:
+        return None
+    return dict(p.split("=", 1) for p in pairs)
+
+
+def _out(a) -> str | None:
+    """Output path; document stores are named by their options instead."""
+    return None if a.out in ("", "-") else a.out
+
+
 def _window(spark, a):
     return day_window(spark, a.day, a.end_day)
 
 
 def fee_summary_job(spark, a) -> None:
     summary = FE.fee_summary(read_table(spark, a.log, a.input_format), *_window(spark, a))
-    append_summary(summary, a.out, fmt=a.format, replace_dates=a.replace_dates)
+    if a.format in FILE_FORMATS:
+        append_summary(summary, a.out, fmt=a.format, replace_dates=a.replace_dates)
+    else:  # document store: plain append through the connector
+        w = summary.write.format(a.format).mode("append").options(**(_options(a.out_option) or {}))
+        w.save() if _out(a) is None else w.save(_out(a))
 
 
 def fee_exceptions_job(spark, a) -> None:
     flagged = FE.fee_exceptions(read_table(spark, a.log, a.input_format), *_window(spark, a), a.keep_source_status)
-    wrote = write_if_any(flagged, lambda df: df.write.format(a.format).mode("append").save(a.out))
+    def append(df):
+        w = df.write.format(a.format).mode("append").options(**(_options(a.out_option) or {}))
+        w.save() if _out(a) is None else w.save(_out(a))
+
+    wrote = write_if_any(flagged, append)
     if not wrote:
         print("no over- or under-charged transfer in the window; nothing written")
 
@@ -52,13 +72,19 @@ def _trigger(a) -> dict | None:
 
 def total_stream_job(spark, a) -> None:
     src = read_cdr_stream(spark, a.input, CDR_SCHEMA, a.files_per_trigger)
-    q = total_stream(src, a.out, a.checkpoint, key=a.key, fmt=a.format, output=a.output, trigger=_trigger(a))
+    q = total_stream(
+        src, _out(a), a.checkpoint, key=a.key, fmt=a.format, options=_options(a.out_option),
+        output=a.output, trigger=_trigger(a),
+    )
     q.awaitTermination()
 
 
 def hourly_stream_job(spark, a) -> None:
     src = read_cdr_stream(spark, a.input, CDR_HOURLY_SCHEMA, a.files_per_trigger)
-    q = hourly_stream(src, a.hourly, a.profiles, a.checkpoint, fmt=a.format, key=a.key, trigger=_trigger(a))
+    q = hourly_stream(
+        src, a.hourly, None if a.profiles in ("", "-") else a.profiles, a.checkpoint, fmt=a.format, key=a.key,
+        profile_fmt=a.profiles_format, profile_options=_options(a.profiles_option), trigger=_trigger(a),
+    )
     q.awaitTermination()
 
 
@@ -71,7 +97,7 @@ def files_stream_job(spark, a) -> None:
 def top_callers_job(spark, a) -> None:
     daily = C.daily_totals(current_hourly(spark, a.hourly, a.folded, a.format), a.start_date, a.end_date)
     partials = current_profile_partials(spark, a.profiles, a.snapshots, a.format)
-    overwrite(C.detections(daily, partials, k=a.k, ties=a.ties), a.out, fmt=a.out_format)
+    overwrite(C.detections(daily, partials, k=a.k, ties=a.ties), _out(a), fmt=a.out_format, options=_options(a.out_option))
 
 
 def compact_hourly_job(spark, a) -> None:
@@ -93,8 +119,9 @@ def parser() -> argparse.ArgumentParser:
         s.add_argument("--log", required=True, help="transfer-log folder")
         s.add_argument("--day", required=True, help="first day (session time zone), e.g. 2025-11-26")
         s.add_argument("--end-day", help="day after the last one; default: day + 1")
-        s.add_argument("--out", required=True)
+        s.add_argument("--out", required=True, help="output path ('-' for a document store)")
         s.add_argument("--format", default="parquet", help="output format")
+        s.add_argument("--out-option", action="append", metavar="KEY=VALUE", help="connector option, repeatable")
         s.add_argument("--input-format", default="parquet")
         s.set_defaults(fn=fn)
         return s
@@ -119,11 +146,14 @@ def parser() -> argparse.ArgumentParser:
         return s
 
     t = stream("total-stream", total_stream_job, "running MOC count per subscriber", "served_imsi")
-    t.add_argument("--out", required=True)
+    t.add_argument("--out", required=True, help="output path ('-' for a document store)")
+    t.add_argument("--out-option", action="append", metavar="KEY=VALUE", help="connector option, repeatable")
     t.add_argument("--output", choices=["complete", "partials"], default="complete")
     h = stream("hourly-stream", hourly_stream_job, "hourly MOC partials and profile partials", "served_phone_number")
     h.add_argument("--hourly", required=True)
-    h.add_argument("--profiles", required=True)
+    h.add_argument("--profiles", required=True, help="profile partials path ('-' for a document store)")
+    h.add_argument("--profiles-format", help="format of the profile output; default: --format")
+    h.add_argument("--profiles-option", action="append", metavar="KEY=VALUE", help="connector option, repeatable")
     f = stream("files-stream", files_stream_job, "distinct processed file names", "filename")
     f.add_argument("--out", required=True)
 
@@ -132,7 +162,8 @@ def parser() -> argparse.ArgumentParser:
     r.add_argument("--profiles", required=True)
     r.add_argument("--snapshots", help="profile snapshot folder (see compact-profiles)")
     r.add_argument("--folded", help="hourly fold folder (see compact-hourly)")
-    r.add_argument("--out", required=True)
+    r.add_argument("--out", required=True, help="output path ('-' for a document store)")
+    r.add_argument("--out-option", action="append", metavar="KEY=VALUE", help="connector option, repeatable")
     r.add_argument("--start-date")
     r.add_argument("--end-date")
     r.add_argument("--k", type=int, default=1)

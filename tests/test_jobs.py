@@ -1,5 +1,7 @@
 """The command-line jobs end to end: land files, stream, fold, detect; fee reports."""
 
+import glob
+
 from pyspark.sql import functions as F
 
 from callsight import jobs
@@ -37,7 +39,8 @@ def test_fee_jobs(spark, tmp_dir):
     day = ["--log", log, "--day", "1997-03-01", "--end-day", "1997-03-08"]
     for _ in range(2):
         jobs.main(["fee-summary", *day, "--out", f"{tmp_dir}/sum", "--replace-dates"], spark)
-    jobs.main(["fee-exceptions", *day, "--out", f"{tmp_dir}/exc"], spark)
+    jobs.main(["fee-exceptions", *day, "--out", f"{tmp_dir}/exc", "--out-option", "compression=gzip"], spark)
+    assert glob.glob(f"{tmp_dir}/exc/*.gz.parquet")  # connector options reach the writer
     stored = spark.read.parquet(log)
     s, e = 857174400000, 857779200000  # 1997-03-01 .. 1997-03-08 UTC
     assert read_table(spark, f"{tmp_dir}/sum").agg(F.sum("call_count")).first()[0] == FE.valid_transfers(stored, s, e).count()
