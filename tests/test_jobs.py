@@ -45,3 +45,14 @@ def test_fee_jobs(spark, tmp_dir):
     s, e = 857174400000, 857779200000  # 1997-03-01 .. 1997-03-08 UTC
     assert read_table(spark, f"{tmp_dir}/sum").agg(F.sum("call_count")).first()[0] == FE.valid_transfers(stored, s, e).count()
     assert read_table(spark, f"{tmp_dir}/exc").count() == FE.fee_exceptions(stored, s, e).count()
+
+
+def test_cli_options_and_document_store_paths():
+    assert jobs._options(None) is None
+    assert jobs._options(["database=TestDB", "uri=mongodb://h:1/?a=b"]) == {"database": "TestDB", "uri": "mongodb://h:1/?a=b"}
+    a = jobs.parser().parse_args(["total-stream", "--input", "i", "--checkpoint", "c", "--out", "-",
+                                  "--format", "mongodb", "--out-option", "collection=moc_counts"])
+    assert jobs._out(a) is None and a.format == "mongodb" and jobs._options(a.out_option) == {"collection": "moc_counts"}
+    h = jobs.parser().parse_args(["hourly-stream", "--input", "i", "--checkpoint", "c", "--hourly", "h",
+                                  "--profiles", "-", "--profiles-format", "mongodb"])
+    assert h.profiles == "-" and h.profiles_format == "mongodb" and h.key == "served_phone_number"
