@@ -2,8 +2,10 @@ from callsight.streaming.jobs import files_stream, hourly_stream, process_hourly
 from callsight.streaming.snapshots import (
     compact_hourly,
     compact_profiles,
+    compact_totals,
     current_hourly,
     current_profile_partials,
+    current_totals,
     latest_hourly_fold,
     latest_snapshot,
 )
@@ -11,8 +13,10 @@ from callsight.streaming.snapshots import (
 __all__ = [
     "compact_hourly",
     "compact_profiles",
+    "compact_totals",
     "current_hourly",
     "current_profile_partials",
+    "current_totals",
     "files_stream",
     "hourly_stream",
     "latest_hourly_fold",

@@ -1,4 +1,4 @@
-"""Folding stored partials (profiles, hourly counts) into snapshots.
+"""Folding stored partials (profiles, hourly counts, running totals) into snapshots.
 
 The hourly stream appends one set of profile partials per micro-batch, so merging
 them on every read costs work proportional to history. A periodic batch job folds
@@ -14,6 +14,8 @@ folded partials can be removed by a retention job; nothing here deletes data.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -88,55 +90,77 @@ def compact_profiles(
     return int(upto)
 
 
-# --- hourly partials ---------------------------------------------------------------
+# --- additive partials (hourly counts, running totals) -------------------------------
 # Sums are not idempotent, so a fold is only used once its commit marker exists: the
-# folded counts go to ``<folded>/upto=N`` first, then one row to ``<folded>_commits``.
+# folded sums go to ``<folded>/upto=N`` first, then one row to ``<folded>_commits``.
 # A crash in between leaves an unmarked fold that readers ignore.
 
-FOLDED_SCHEMA = T.StructType(list(HOURLY_SCHEMA.fields) + [T.StructField("upto", T.LongType())])
 COMMIT_SCHEMA = T.StructType([T.StructField("upto", T.LongType())])
+TOTALS_SCHEMA = T.StructType([T.StructField("msisdn", T.StringType()), T.StructField("moc_count", T.LongType())])
+
+
+@dataclass(frozen=True)
+class Additive:
+    """A table of partial sums: ``keys`` identify a row, ``value`` adds up."""
+
+    schema: T.StructType
+    keys: tuple[str, ...]
+    value: str
+    partition_by: tuple[str, ...] = ()
+
+    def read(self, spark: SparkSession, path: str, fmt: str) -> DataFrame:
+        return read_table(spark, path, fmt, schema=T.StructType(list(self.schema.fields) + [BATCH_ID]))
+
+
+HOURLY = Additive(HOURLY_SCHEMA, ("event_date", "event_hour", "msisdn"), "outgoing_calls_count", ("event_date",))
+TOTALS = Additive(TOTALS_SCHEMA, ("msisdn",), "moc_count")
 
 
 def _commits(folded_path: str) -> str:
     return f"{folded_path.rstrip('/')}_commits"
 
 
-def latest_hourly_fold(spark: SparkSession, folded_path: str, fmt: str = "parquet") -> tuple[DataFrame | None, int | None]:
-    """The newest committed fold (hourly rows with ``batch_id`` = last batch folded)."""
+def latest_fold(
+    spark: SparkSession, spec: Additive, folded_path: str, fmt: str = "parquet"
+) -> tuple[DataFrame | None, int | None]:
+    """The newest committed fold (rows with ``batch_id`` = last batch folded)."""
     try:
         upto = read_table(spark, _commits(folded_path), fmt, schema=COMMIT_SCHEMA).agg(F.max("upto")).first()[0]
     except AnalysisException:  # nothing folded yet
         return None, None
     if upto is None:
         return None, None
-    folded = read_table(spark, folded_path, fmt, schema=FOLDED_SCHEMA).filter(F.col("upto") == F.lit(upto))
+    schema = T.StructType(list(spec.schema.fields) + [T.StructField("upto", T.LongType())])
+    folded = read_table(spark, folded_path, fmt, schema=schema).filter(F.col("upto") == F.lit(upto))
     return folded.drop("upto").withColumn("batch_id", F.lit(upto).cast("bigint")), upto
 
 
-def current_hourly(spark: SparkSession, hourly_path: str, folded_path: str | None = None, fmt: str = "parquet") -> DataFrame:
-    """Hourly partial counts to sum: the newest committed fold plus later partials
-    (same columns as ``read_hourly``; ``daily_totals`` date bounds prune both)."""
-    parts = read_hourly(spark, hourly_path, fmt)
+def current_partials(
+    spark: SparkSession, spec: Additive, parts_path: str, folded_path: str | None = None, fmt: str = "parquet"
+) -> DataFrame:
+    """Partial sums still to add up: the newest committed fold plus later partials."""
+    parts = spec.read(spark, parts_path, fmt)
     if folded_path is None:
         return parts
-    folded, upto = latest_hourly_fold(spark, folded_path, fmt)
+    folded, upto = latest_fold(spark, spec, folded_path, fmt)
     if folded is None:
         return parts
     return folded.unionByName(parts.filter(F.col("batch_id") > F.lit(upto)))
 
 
-def compact_hourly(
+def compact_partials(
     spark: SparkSession,
-    hourly_path: str,
+    spec: Additive,
+    parts_path: str,
     folded_path: str,
     upto: int | None = None,
     fmt: str = "parquet",
 ) -> int | None:
-    """Fold the newest committed fold and the hourly partials up to batch ``upto``
-    (default: newest stored minus one, as for profiles) into one count per
-    (event_date, event_hour, msisdn), then commit it. Returns the batch id covered."""
+    """Fold the newest committed fold and the partials up to batch ``upto`` (default:
+    newest stored minus one, as for profiles) into one sum per key, then commit it.
+    Returns the batch id covered."""
     try:
-        parts = read_hourly(spark, hourly_path, fmt)
+        parts = spec.read(spark, parts_path, fmt)
     except AnalysisException:
         return None
     if upto is None:
@@ -144,17 +168,40 @@ def compact_hourly(
         if newest is None or newest < 1:
             return None
         upto = newest - 1
-    folded, done = latest_hourly_fold(spark, folded_path, fmt)
+    folded, done = latest_fold(spark, spec, folded_path, fmt)
     if done is not None and done >= upto:
         return done
     new = parts.filter(F.col("batch_id") <= F.lit(upto))
     if folded is not None:
         new = folded.unionByName(new.filter(F.col("batch_id") > F.lit(done)))
-    sums = new.groupBy("event_date", "event_hour", "msisdn").agg(
-        F.sum("outgoing_calls_count").cast("bigint").alias("outgoing_calls_count")
-    )
-    target = f"{folded_path.rstrip('/')}/upto={int(upto)}"
-    sums.hint("rebalance", "event_date").write.mode("overwrite").format(fmt).partitionBy("event_date").save(target)
+    sums = new.groupBy(*spec.keys).agg(F.sum(spec.value).cast("bigint").alias(spec.value))
+    writer = (sums.hint("rebalance", *spec.partition_by) if spec.partition_by else sums).write
+    writer.mode("overwrite").format(fmt).partitionBy(*spec.partition_by).save(f"{folded_path.rstrip('/')}/upto={int(upto)}")
     marker = spark.range(1).select(F.lit(int(upto)).cast("bigint").alias("upto"))
     marker.coalesce(1).write.mode("append").format(fmt).save(_commits(folded_path))  # max() wins
     return int(upto)
+
+
+def latest_hourly_fold(spark: SparkSession, folded_path: str, fmt: str = "parquet"):
+    return latest_fold(spark, HOURLY, folded_path, fmt)
+
+
+def current_hourly(spark: SparkSession, hourly_path: str, folded_path: str | None = None, fmt: str = "parquet") -> DataFrame:
+    """Hourly partial counts to sum (same columns as ``read_hourly``; ``daily_totals``
+    date bounds prune both the fold and the partials)."""
+    return current_partials(spark, HOURLY, hourly_path, folded_path, fmt)
+
+
+def compact_hourly(spark: SparkSession, hourly_path: str, folded_path: str, upto: int | None = None, fmt: str = "parquet") -> int | None:
+    return compact_partials(spark, HOURLY, hourly_path, folded_path, upto, fmt)
+
+
+def current_totals(spark: SparkSession, totals_path: str, folded_path: str | None = None, fmt: str = "parquet") -> DataFrame:
+    """Running MOC totals from ``total_stream(output="partials")``: newest committed
+    fold plus later per-batch counts, summed per subscriber."""
+    parts = current_partials(spark, TOTALS, totals_path, folded_path, fmt)
+    return parts.groupBy("msisdn").agg(F.sum("moc_count").cast("bigint").alias("moc_count"))
+
+
+def compact_totals(spark: SparkSession, totals_path: str, folded_path: str, upto: int | None = None, fmt: str = "parquet") -> int | None:
+    return compact_partials(spark, TOTALS, totals_path, folded_path, upto, fmt)

@@ -12,7 +12,9 @@ from callsight.streaming.jobs import files_stream, hourly_stream, process_hourly
 from callsight.streaming.snapshots import (
     compact_hourly,
     compact_profiles,
+    compact_totals,
     current_hourly,
+    current_totals,
     current_profile_partials,
     latest_hourly_fold,
     latest_snapshot,
@@ -187,3 +189,16 @@ def test_hourly_folds_are_used_only_once_committed(spark, tmp_dir):
     assert current() == want  # fold(2) only
     daily = C.daily_totals(current_hourly(spark, hourly, folded))
     assert rows_of(daily) == rows_of(C.daily_totals(C.hourly_counts(C.outgoing(cdr))))
+
+
+def test_total_partials_fold(spark, tmp_dir):
+    inp = f"{tmp_dir}/in"
+    FX.write_cdr_files(spark, SF_SMALL, inp)
+    src = read_cdr_stream(spark, inp, schema=CDR_SCHEMA, max_files_per_trigger=3)
+    total_stream(src, f"{tmp_dir}/t", f"{tmp_dir}/ck", output="partials", trigger=NOW).awaitTermination()
+    want = rows_of(C.total_by_subscriber(FX.cdr(spark, SF_SMALL)))
+    assert compact_totals(spark, f"{tmp_dir}/t", f"{tmp_dir}/f") == 2  # 4 batches: 0..2 folded
+    assert rows_of(current_totals(spark, f"{tmp_dir}/t", f"{tmp_dir}/f")) == want
+    assert compact_totals(spark, f"{tmp_dir}/t", f"{tmp_dir}/f", upto=3) == 3
+    assert rows_of(current_totals(spark, f"{tmp_dir}/t", f"{tmp_dir}/f")) == want
+    assert rows_of(current_totals(spark, f"{tmp_dir}/t")) == want  # no fold: all partials
