@@ -7,7 +7,7 @@
 
 Jobs: ``fee-summary``, ``fee-exceptions``, ``total-stream``, ``hourly-stream``, ``files-stream``,
 ``top-callers`` (one run of the detection rule; schedule it externally),
-``compact-hourly`` and ``compact-profiles``. The session comes from ``SparkSession.builder.getOrCreate()``, so
+``compact-hourly``, ``compact-totals`` and ``compact-profiles``. The session comes from ``SparkSession.builder.getOrCreate()``, so
 cluster settings are the submitter's.
 """
 
@@ -25,7 +25,13 @@ from callsight.schemas import CDR_HOURLY_SCHEMA, CDR_SCHEMA
 from callsight.sinks import FILE_FORMATS, append_summary, overwrite, write_if_any
 from callsight.sources.tables import read_cdr_stream, read_table
 from callsight.streaming.jobs import files_stream, hourly_stream, total_stream
-from callsight.streaming.snapshots import compact_hourly, compact_profiles, current_hourly, current_profile_partials
+from callsight.streaming.snapshots import (
+    compact_hourly,
+    compact_profiles,
+    compact_totals,
+    current_hourly,
+    current_profile_partials,
+)
 
 
 def _options(pairs: list[str] | None) -> dict[str, str] | None:
@@ -105,6 +111,11 @@ def compact_hourly_job(spark, a) -> None:
     print(f"hourly counts folded up to batch {upto}")
 
 
+def compact_totals_job(spark, a) -> None:
+    upto = compact_totals(spark, a.totals, a.folded, upto=a.upto, fmt=a.format)
+    print(f"running totals folded up to batch {upto}")
+
+
 def compact_profiles_job(spark, a) -> None:
     upto = compact_profiles(spark, a.profiles, a.snapshots, upto=a.upto, fmt=a.format)
     print(f"profiles folded up to batch {upto}")
@@ -179,6 +190,13 @@ def parser() -> argparse.ArgumentParser:
     ch.add_argument("--format", default="parquet")
     ch.set_defaults(fn=compact_hourly_job)
 
+    ct = sub.add_parser("compact-totals", help="fold per-batch running totals (total-stream --output partials)")
+    ct.add_argument("--totals", required=True)
+    ct.add_argument("--folded", required=True)
+    ct.add_argument("--upto", type=int, help="last batch to fold; default: newest stored minus one")
+    ct.add_argument("--format", default="parquet")
+    ct.set_defaults(fn=compact_totals_job)
+
     c = sub.add_parser("compact-profiles", help="fold profile partials into a snapshot")
     c.add_argument("--profiles", required=True)
     c.add_argument("--snapshots", required=True)

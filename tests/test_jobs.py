@@ -56,3 +56,6 @@ def test_cli_options_and_document_store_paths():
     h = jobs.parser().parse_args(["hourly-stream", "--input", "i", "--checkpoint", "c", "--hourly", "h",
                                   "--profiles", "-", "--profiles-format", "mongodb"])
     assert h.profiles == "-" and h.profiles_format == "mongodb" and h.key == "served_phone_number"
+
+    c = jobs.parser().parse_args(["compact-totals", "--totals", "t", "--folded", "f", "--upto", "3"])
+    assert (c.totals, c.folded, c.upto) == ("t", "f", 3) and c.fn is jobs.compact_totals_job
