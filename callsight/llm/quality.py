@@ -24,7 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -246,12 +246,12 @@ RESULT = T.StructType(
 )
 
 
-def judge(docs: DataFrame, model: Model | None, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with the rules' counts, ``base_failed``, the calibrated ``probability``
-    of good quality (null without a model) and ``kept``."""
+def verdict(text: Column, model: Model | None, threshold: float = THRESHOLD) -> Column:
+    """The rules' counts, ``base_failed``, the calibrated ``probability`` of good quality
+    (null without a model) and ``kept``, as a struct."""
 
     @F.arrow_udf(RESULT)
-    def verdict(col: pa.Array) -> pa.Array:
+    def run(col: pa.Array) -> pa.Array:
         m = measures(col)
         failed = (m["n_words"] < MIN_WORDS) | (100 * m["n_repeat_words"] > MAX_REPEAT_PERCENT * m["n_words"])
         if model is None:
@@ -262,6 +262,12 @@ def judge(docs: DataFrame, model: Model | None, text: str = "text", threshold: f
         cols = [pa.array(m[f.name], pa.int64()) for f in RESULT.fields[:5]] + [pa.array(failed, pa.bool_()), probability, pa.array(good & ~failed, pa.bool_())]
         return pa.StructArray.from_arrays(cols, names=[f.name for f in RESULT.fields])
 
+    return run(text)
+
+
+def judge(docs: DataFrame, model: Model | None, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """``docs`` with the fields of :func:`verdict` as columns."""
     names = [f.name for f in RESULT.fields]
     keep = [F.col(c) for c in docs.columns if c not in names]
-    return docs.select(*keep, verdict(F.col(text)).alias("__verdict")).select(*keep, *[F.col("__verdict")[n].alias(n) for n in names])
+    judged = docs.select(*keep, verdict(F.col(text), model, threshold).alias("__verdict"))
+    return judged.select(*keep, *[F.col("__verdict")[n].alias(n) for n in names])

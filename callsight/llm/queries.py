@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callsight.llm import licenses, mixing, packing, pii, quality, tokens
+from callsight.llm import chat, dedup, licenses, lm, mixing, packing, pii, quality, tokens, topk
 from callsight.session import ship_package
 
 
@@ -17,6 +17,14 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.link_quotes(_table(spark, sf_dir, "conversations"))
+
+
+def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256.0)
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     docs = docs.select("doc_id", "source", mixing.n_words(F.col("text")).alias("n_words"))
@@ -35,6 +43,11 @@ def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(docs).drop("text")
 
 
+def op6_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = lm.score(_table(spark, sf_dir, "documents"), order=3, min_count=2, backoff=0.4)
+    return scored.withColumn("score", F.round("score", 6))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     counted = tokens.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
@@ -53,13 +66,21 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs, model).drop("text")
 
 
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup.near_duplicates(_table(spark, sf_dir, "documents"), k=4, percent=80)
+
+
 QUERIES = {
+    "op1_quotation_linking": op1_quotation_linking,
+    "op2_topk": op2_topk,
     "op3_mixing": op3_mixing,
     "op4_packing": op4_packing,
     "op5_licenses": op5_licenses,
+    "op6_lm_scores": op6_lm_scores,
     "op7_token_counts": op7_token_counts,
     "op8_pii": op8_pii,
     "op9_quality": op9_quality,
+    "op10_near_duplicates": op10_near_duplicates,
 }
 
 ORACLE: dict[str, str] = {}

@@ -152,7 +152,7 @@ def shingle_sets(col: pa.Array, n: int) -> Iterator[np.ndarray]:
             yield np.unique(gram[at[i] : at[i + 1]])
         elif first[i + 1] > first[i]:
             own = word[first[i] : first[i + 1]]
-            yield mix(np.array([np.sum(own * PLACE[: len(own)]) + PLACE[48 + len(own)]], dtype=np.uint64))
+            yield mix(np.sum(own * PLACE[: len(own)], keepdims=True) + PLACE[48 + len(own)])
         else:
             yield np.empty(0, np.uint64)
 
