@@ -22,8 +22,9 @@ from callsight.functions.time import day_window
 from callsight.operators import calls as C
 from callsight.operators import fees as FE
 from callsight.schemas import CDR_HOURLY_SCHEMA, CDR_SCHEMA
+from callsight.session import remove, scratch_path
 from callsight.sinks import FILE_FORMATS, append_summary, overwrite, write_if_any
-from callsight.sources.tables import read_cdr_stream, read_table
+from callsight.sources.tables import read_cdr_stream, read_transfers
 from callsight.streaming.jobs import files_stream, hourly_stream, total_stream
 from callsight.streaming.snapshots import (
     compact_hourly,
@@ -51,7 +52,7 @@ def _window(spark, a):
 
 
 def fee_summary_job(spark, a) -> None:
-    summary = FE.fee_summary(read_table(spark, a.log, a.input_format), *_window(spark, a))
+    summary = FE.fee_summary(read_transfers(spark, a.log, a.input_format, a.codes), *_window(spark, a))
     if a.format in FILE_FORMATS:
         append_summary(summary, a.out, fmt=a.format, replace_dates=a.replace_dates)
     else:  # document store: plain append through the connector
@@ -60,7 +61,7 @@ def fee_summary_job(spark, a) -> None:
 
 
 def fee_exceptions_job(spark, a) -> None:
-    flagged = FE.fee_exceptions(read_table(spark, a.log, a.input_format), *_window(spark, a), a.keep_source_status)
+    flagged = FE.fee_exceptions(read_transfers(spark, a.log, a.input_format, a.codes), *_window(spark, a), a.keep_source_status)
     def append(df):
         w = df.write.format(a.format).mode("append").options(**(_options(a.out_option) or {}))
         w.save() if _out(a) is None else w.save(_out(a))
@@ -101,24 +102,28 @@ def files_stream_job(spark, a) -> None:
 
 
 def top_callers_job(spark, a) -> None:
-    daily = C.daily_totals(current_hourly(spark, a.hourly, a.folded, a.format), a.start_date, a.end_date)
-    partials = current_profile_partials(spark, a.profiles, a.snapshots, a.format)
-    overwrite(C.detections(daily, partials, k=a.k, ties=a.ties), _out(a), fmt=a.out_format, options=_options(a.out_option))
-
+    hourly = current_hourly(spark, a.hourly, a.folded, a.format, missing_ok=a.nothing_folded)
+    partials = current_profile_partials(
+        spark, None if a.profiles in ("", "-") else a.profiles, a.snapshots, a.profiles_format or a.format,
+        options=_options(a.profiles_option), missing_ok=a.nothing_folded,
+    )
+    winners = scratch_path(spark, "winners")
+    found = C.detections(C.daily_totals(hourly, a.start_date, a.end_date), partials, k=a.k, ties=a.ties, scratch=winners)
+    overwrite(found, _out(a), fmt=a.out_format, options=_options(a.out_option))
+    remove(spark, winners)
 
-def compact_hourly_job(spark, a) -> None:
-    upto = compact_hourly(spark, a.hourly, a.folded, upto=a.upto, fmt=a.format)
-    print(f"hourly counts folded up to batch {upto}")
 
+def _fold(compact, source: str, target: str, what: str):
+    def job(spark, a) -> None:
+        upto = compact(spark, getattr(a, source), getattr(a, target), upto=a.upto, checkpoint=a.checkpoint, fmt=a.format, first=a.first)
+        print(f"{what} folded up to batch {upto}")
 
-def compact_totals_job(spark, a) -> None:
-    upto = compact_totals(spark, a.totals, a.folded, upto=a.upto, fmt=a.format)
-    print(f"running totals folded up to batch {upto}")
+    return job
 
 
-def compact_profiles_job(spark, a) -> None:
-    upto = compact_profiles(spark, a.profiles, a.snapshots, upto=a.upto, fmt=a.format)
-    print(f"profiles folded up to batch {upto}")
+compact_hourly_job = _fold(compact_hourly, "hourly", "folded", "hourly counts")
+compact_totals_job = _fold(compact_totals, "totals", "folded", "running totals")
+compact_profiles_job = _fold(compact_profiles, "profiles", "snapshots", "profiles")
 
 
 def parser() -> argparse.ArgumentParser:
@@ -134,6 +139,7 @@ def parser() -> argparse.ArgumentParser:
         s.add_argument("--format", default="parquet", help="output format")
         s.add_argument("--out-option", action="append", metavar="KEY=VALUE", help="connector option, repeatable")
         s.add_argument("--input-format", default="parquet")
+        s.add_argument("--codes", choices=["int", "text", "infer"], default="int", help="how the log stores its codes")
         s.set_defaults(fn=fn)
         return s
 
@@ -159,7 +165,7 @@ def parser() -> argparse.ArgumentParser:
     t = stream("total-stream", total_stream_job, "running MOC count per subscriber", "served_imsi")
     t.add_argument("--out", required=True, help="output path ('-' for a document store)")
     t.add_argument("--out-option", action="append", metavar="KEY=VALUE", help="connector option, repeatable")
-    t.add_argument("--output", choices=["complete", "partials"], default="complete")
+    t.add_argument("--output", choices=["complete", "partials"], default="partials")
     h = stream("hourly-stream", hourly_stream_job, "hourly MOC partials and profile partials", "served_phone_number")
     h.add_argument("--hourly", required=True)
     h.add_argument("--profiles", required=True, help="profile partials path ('-' for a document store)")
@@ -170,9 +176,12 @@ def parser() -> argparse.ArgumentParser:
 
     r = sub.add_parser("top-callers", help="top callers per day with profiles, as detections")
     r.add_argument("--hourly", required=True)
-    r.add_argument("--profiles", required=True)
+    r.add_argument("--profiles", required=True, help="profile partials path ('-' for a store named by --profiles-option)")
     r.add_argument("--snapshots", help="profile snapshot folder (see compact-profiles)")
     r.add_argument("--folded", help="hourly fold folder (see compact-hourly)")
+    r.add_argument("--nothing-folded", action="store_true", help="accept fold folders without a committed fold")
+    r.add_argument("--profiles-format", help="format of the stored profiles; default: --format")
+    r.add_argument("--profiles-option", action="append", metavar="KEY=VALUE", help="connector option, repeatable")
     r.add_argument("--out", required=True, help="output path ('-' for a document store)")
     r.add_argument("--out-option", action="append", metavar="KEY=VALUE", help="connector option, repeatable")
     r.add_argument("--start-date")
@@ -183,26 +192,19 @@ def parser() -> argparse.ArgumentParser:
     r.add_argument("--out-format", default="parquet")
     r.set_defaults(fn=top_callers_job)
 
-    ch = sub.add_parser("compact-hourly", help="fold hourly partial counts (committed with a marker)")
-    ch.add_argument("--hourly", required=True)
-    ch.add_argument("--folded", required=True)
-    ch.add_argument("--upto", type=int, help="last batch to fold; default: newest stored minus one")
-    ch.add_argument("--format", default="parquet")
-    ch.set_defaults(fn=compact_hourly_job)
-
-    ct = sub.add_parser("compact-totals", help="fold per-batch running totals (total-stream --output partials)")
-    ct.add_argument("--totals", required=True)
-    ct.add_argument("--folded", required=True)
-    ct.add_argument("--upto", type=int, help="last batch to fold; default: newest stored minus one")
-    ct.add_argument("--format", default="parquet")
-    ct.set_defaults(fn=compact_totals_job)
-
-    c = sub.add_parser("compact-profiles", help="fold profile partials into a snapshot")
-    c.add_argument("--profiles", required=True)
-    c.add_argument("--snapshots", required=True)
-    c.add_argument("--upto", type=int, help="last batch to fold; default: newest stored minus one")
-    c.add_argument("--format", default="parquet")
-    c.set_defaults(fn=compact_profiles_job)
+    for job, source, target, fn, help_ in (
+        ("compact-hourly", "--hourly", "--folded", compact_hourly_job, "fold hourly partial counts"),
+        ("compact-totals", "--totals", "--folded", compact_totals_job, "fold per-batch running totals (total-stream --output partials)"),
+        ("compact-profiles", "--profiles", "--snapshots", compact_profiles_job, "fold profile partials into a snapshot"),
+    ):
+        c = sub.add_parser(job, help=help_)
+        c.add_argument(source, required=True)
+        c.add_argument(target, required=True)
+        c.add_argument("--upto", type=int, help="last batch to fold")
+        c.add_argument("--checkpoint", help="the stream's checkpoint: fold up to its last committed batch")
+        c.add_argument("--first", action="store_true", help="there is no fold yet")
+        c.add_argument("--format", default="parquet", help="format of the partials")
+        c.set_defaults(fn=fn)
     return p
 
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from callsight.functions.codes import (
     EXCEPTION_LABELS,
@@ -39,6 +40,15 @@ def _code(log: DataFrame, name: str) -> Column:
     return as_code(F.col(name), log.schema[name].dataType)
 
 
+def _code_in(log: DataFrame, name: str, codes: list[int]) -> Column:
+    """Whether a code is one of ``codes``, in a form that is pushed to the scan. Codes
+    stored as text are compared as the feed spells them; a spelling such as ``00`` is not
+    a code."""
+    if isinstance(log.schema[name].dataType, T.StringType):
+        return F.col(name).isin(*map(str, codes))
+    return F.col(name).isin(*codes)
+
+
 def in_window(df: DataFrame, start_ms: int, end_ms: int, ts_col: str = ENTRY_TIME) -> DataFrame:
     """Half-open ``start_ms <= ts < end_ms`` on an epoch-ms column (pushed to the scan)."""
     ts = F.col(ts_col)
@@ -47,9 +57,7 @@ def in_window(df: DataFrame, start_ms: int, end_ms: int, ts_col: str = ENTRY_TIM
 
 def valid_transfers(log: DataFrame, start_ms: int, end_ms: int) -> DataFrame:
     """Transfers in the window, without error, of a known flow (incoming/outgoing)."""
-    return in_window(log, start_ms, end_ms).filter(
-        (_code(log, "ERROR_TYPE") == F.lit(0)) & _code(log, "TRANSFER_TYPE").isin(*TRANSFER_FLOWS)
-    )
+    return in_window(log, start_ms, end_ms).filter(_code_in(log, "ERROR_TYPE", [0]) & _code_in(log, "TRANSFER_TYPE", list(TRANSFER_FLOWS)))
 
 
 def _label_columns(log: DataFrame) -> dict[str, Column]:

@@ -91,9 +91,9 @@ def recharge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def write_cdr_files(spark: SparkSession, sf_dir: str, path: str, columns=None) -> str:
-    """Land the call records as one folder per ``filename`` (one file each), the way
-    a feed drops files, for the streaming jobs to pick up."""
-    cdr(spark, sf_dir, columns).repartition("filename").write.mode("overwrite").partitionBy("filename").parquet(path)
+    """Land the call records as one folder per ``filename``, the way a feed drops files,
+    for the streaming jobs to pick up. A large file is split."""
+    cdr(spark, sf_dir, columns).hint("rebalance", "filename").write.mode("overwrite").partitionBy("filename").parquet(path)
     return path
 
 

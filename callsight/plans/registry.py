@@ -20,15 +20,17 @@ from callsight.functions.time import epoch_ms
 from callsight.operators import calls as C
 from callsight.operators import fees as FE
 from callsight.plans import fixtures as FX
-from callsight.schemas import CDR_HOURLY_SCHEMA, TRANSFER_PASSTHROUGH
+from callsight.schemas import CDR_HOURLY_SCHEMA, TRANSFER_CODES, TRANSFER_PASSTHROUGH
 from callsight.session import scratch_path
-from callsight.sinks import append_summary, overwrite, write_if_any
+from callsight.sinks import append_summary, overwrite, read_published, write_if_any
 from callsight.sources.tables import (
     read_cdr_stream,
+    read_files,
     read_hourly,
     read_profile_partials,
     read_table,
     read_totals,
+    read_transfers,
     register_view,
 )
 from callsight.streaming.jobs import files_stream, hourly_stream, total_stream
@@ -71,9 +73,17 @@ def fee_exceptions(spark, d):
     return FE.fee_exceptions(FX.transfers(spark, d), *_ms(spark, ALL))
 
 
+def fee_summary_text_codes(spark, d):
+    """The summary of a stored log whose codes are text, read with its fixed schema."""
+    path = scratch_path(spark, "text-log")
+    log = FX.transfers(spark, d)
+    log.withColumns({c: F.col(c).cast("string") for c in TRANSFER_CODES}).write.parquet(path)
+    return FE.fee_summary(read_transfers(spark, path, codes="text"), *_ms(spark, ALL))
+
+
 def total_moc(spark, d):
     register_view(FX.cdr(spark, d), "xdr_data")
-    return C.total_moc_sql(spark, "xdr_data")
+    return C.total_moc_of_view(spark, "xdr_data")
 
 
 def _moc(spark, d):
@@ -106,12 +116,12 @@ def detections(spark, d):
 
 def distinct_files_cdr(spark, d):
     register_view(FX.cdr(spark, d), "xdr_data")
-    return C.distinct_files_sql(spark, "xdr_data")
+    return C.distinct_files_of_view(spark, "xdr_data")
 
 
 def distinct_files_recharge(spark, d):
     register_view(FX.recharge(spark, d), "recharge_data")
-    return C.distinct_files_sql(spark, "recharge_data")
+    return C.distinct_files_of_view(spark, "recharge_data")
 
 
 def _landed(spark, d, name, schema=None):
@@ -126,7 +136,7 @@ def stream_total_moc(spark, d):
     src = read_cdr_stream(spark, f"{base}/in", max_files_per_trigger=FILES_PER_BATCH)
     q = total_stream(src, f"{base}/totals", f"{base}/ckpt", view="xdr_stream", trigger={"availableNow": True})
     q.awaitTermination()
-    return read_table(spark, f"{base}/totals")
+    return read_totals(spark, f"{base}/totals")
 
 
 def stream_total_partials(spark, d):
@@ -142,7 +152,7 @@ def stream_distinct_files(spark, d):
     src = read_cdr_stream(spark, f"{base}/in", max_files_per_trigger=FILES_PER_BATCH)
     q = files_stream(src, f"{base}/files", f"{base}/ckpt", trigger={"availableNow": True})
     q.awaitTermination()
-    return read_table(spark, f"{base}/files").select("filename")
+    return read_files(spark, f"{base}/files")
 
 
 def _run_hourly(spark, d) -> str:
@@ -166,7 +176,7 @@ def stream_hourly_compacted(spark, d):
     """Hourly counts after folding the first two micro-batches (committed fold plus the
     later partials)."""
     base = _run_hourly(spark, d)
-    compact_hourly(spark, f"{base}/hourly", f"{base}/folded", upto=1)
+    compact_hourly(spark, f"{base}/hourly", f"{base}/folded", upto=1, first=True)
     return (
         current_hourly(spark, f"{base}/hourly", f"{base}/folded")
         .groupBy("event_date", "event_hour", "msisdn")
@@ -183,7 +193,7 @@ def stream_profile_compacted(spark, d):
     """Profiles after folding the first two micro-batches into a snapshot: the reader
     takes the snapshot plus the later partials."""
     base = _run_hourly(spark, d)
-    compact_profiles(spark, f"{base}/profile", f"{base}/snapshots", upto=1)
+    compact_profiles(spark, f"{base}/profile", f"{base}/snapshots", upto=1, first=True)
     parts = current_profile_partials(spark, f"{base}/profile", f"{base}/snapshots")
     return C.finish_profile(C.merge_profiles(parts))
 
@@ -194,11 +204,18 @@ def stream_detections(spark, d):
     return C.detections(daily, read_profile_partials(spark, f"{base}/profile"))
 
 
+def profile_from_options(spark, d):
+    """Profiles read back from a store that is named by its options alone."""
+    base = _run_hourly(spark, d)
+    parts = current_profile_partials(spark, None, options={"path": f"{base}/profile"})
+    return C.finish_profile(C.merge_profiles(parts))
+
+
 def sink_overwrite(spark, d):
     path = scratch_path(spark, "detections")
     for _ in range(2):  # the rule runs on a schedule; each run replaces the last
         overwrite(detections(spark, d), path)
-    return read_table(spark, path)
+    return read_published(spark, path)
 
 
 def sink_guarded(spark, d):
@@ -233,6 +250,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fee_classified": fee_classified,
     "fee_summary": fee_summary,
     "fee_exceptions": fee_exceptions,
+    "fee_summary_text_codes": fee_summary_text_codes,
     "total_moc": total_moc,
     "hourly_moc": hourly_moc,
     "subscriber_profile": subscriber_profile,
@@ -249,6 +267,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_hourly_compacted": stream_hourly_compacted,
     "stream_profile": stream_profile,
     "stream_profile_compacted": stream_profile_compacted,
+    "profile_from_options": profile_from_options,
     "stream_detections": stream_detections,
     "sink_overwrite": sink_overwrite,
     "sink_guarded": sink_guarded,
@@ -272,20 +291,13 @@ _TTYPE = "CASE WHEN EXT_TRANS_ID IS NULL THEN 'international' ELSE 'local' END"
 _FLOW = "CASE TRANSFER_TYPE WHEN 0 THEN 'incoming' WHEN 1 THEN 'outgoing' END"
 
 
-def _status_sql(tt: str, tf: str, fee: str, eq: str, over: str, under: str) -> str:
-    """The nine ordered branches, written out."""
-    lo = f"{tt} = 'local' AND {tf} = 'outgoing'"
-    intl = f"{tt} = 'international'"
-    li = f"{tt} = 'local' AND {tf} = 'incoming'"
-    return (
-        "CASE "
-        f"WHEN {lo} AND {fee} = 0.5 THEN '{eq}' WHEN {lo} AND {fee} > 0.5 THEN '{over}' "
-        f"WHEN {lo} AND {fee} < 0.5 THEN '{under}' "
-        f"WHEN {intl} AND {fee} = 0.0 THEN '{eq}' WHEN {intl} AND {fee} > 0.0 THEN '{over}' "
-        f"WHEN {intl} AND {fee} < 0.0 THEN '{under}' "
-        f"WHEN {li} AND {fee} = 0.0 THEN '{eq}' WHEN {li} AND {fee} > 0.0 THEN '{over}' "
-        f"WHEN {li} AND {fee} < 0.0 THEN '{under}' END"
-    )
+# what a transfer should be charged, and the label by the sign of the difference
+_EXPECTED = "expected(kind, flow, due) AS (VALUES ('local', 'outgoing', 0.5), ('local', 'incoming', 0.0), ('international', 'outgoing', 0.0), ('international', 'incoming', 0.0))"
+
+
+def _status_sql(equal: str, over: str, under: str) -> str:
+    """Label of ``fee`` next to the ``due`` of a joined row of ``expected``."""
+    return f"list_extract(['{under}', '{equal}', '{over}'], cast(sign(fee - due) AS integer) + 2)"
 
 
 _LABELS_SQL = (
@@ -295,27 +307,21 @@ _LABELS_SQL = (
 )
 _CLASSIFIED_SQL = (
     _LABELS_SQL
-    + ", cls AS (SELECT *, HANDLING_CHARGE / 10000.0 AS fee_amount, "
-    + _status_sql(
-        "transfer_type",
-        "transfer_flow",
-        "(HANDLING_CHARGE / 10000.0)",
-        "Correct applied fee",
-        "Over charged fee",
-        "Under charged fee",
-    )
-    + " AS charge_status FROM lab)"
+    + f", {_EXPECTED}, cls AS (SELECT date, pay_type, HANDLING_CHARGE, transfer_type, transfer_flow, fee AS fee_amount, "
+    + _status_sql("Correct applied fee", "Over charged fee", "Under charged fee")
+    + " AS charge_status FROM (SELECT *, HANDLING_CHARGE / 10000.0 AS fee FROM lab) AS l "
+    "LEFT JOIN expected AS e ON e.kind = l.transfer_type AND e.flow = l.transfer_flow)"
 )
 
 
 def _exceptions_sql() -> str:
-    status = _status_sql(_TTYPE, _FLOW, "(HANDLING_CHARGE / 10000.0)", "Correct charge", "Over charge", "Under charge")
-    cols = [f"{status} AS status" if c == "STATUS" else c for c in TRANSFER_PASSTHROUGH]
+    cols = [f"{_status_sql('Correct charge', 'Over charge', 'Under charge')} AS status" if c == "STATUS" else f"x.{c}" for c in TRANSFER_PASSTHROUGH]
     return (
         _valid_sql(ALL_MS)
-        + f", x AS (SELECT {_DATE} AS date, {_PAY} AS pay_type, HANDLING_CHARGE, {_TTYPE} AS transfer_type_str, "
-        f"{_FLOW} AS transfer_flow_str, {', '.join(cols)} FROM v) "
-        "SELECT * FROM x WHERE status IN ('Under charge', 'Over charge')"
+        + f", {_EXPECTED}, x AS (SELECT *, {_DATE} AS day, {_PAY} AS pay, {_TTYPE} AS kind, {_FLOW} AS flow, "
+        "HANDLING_CHARGE / 10000.0 AS fee FROM v) "
+        "SELECT x.day AS date, x.pay AS pay_type, x.HANDLING_CHARGE, x.kind AS transfer_type_str, x.flow AS transfer_flow_str, "
+        f"{', '.join(cols)} FROM x JOIN expected AS e ON e.kind = x.kind AND e.flow = x.flow WHERE fee <> due"
     )
 
 
@@ -362,6 +368,7 @@ ORACLE: dict[str, str] = {
     "fee_classified": _CLASSIFIED_SQL + " SELECT * FROM cls",
     "fee_summary": _SUMMARY,
     "fee_exceptions": _exceptions_sql(),
+    "fee_summary_text_codes": _SUMMARY,
     "total_moc": _TOTAL,
     "hourly_moc": _HOURLY,
     "subscriber_profile": _PROFILE,
@@ -380,6 +387,7 @@ ORACLE: dict[str, str] = {
     "stream_hourly_compacted": _HOURLY,
     "stream_profile": _PROFILE,
     "stream_profile_compacted": _PROFILE,
+    "profile_from_options": _PROFILE,
     "stream_detections": _DETECTIONS,
     "sink_overwrite": _DETECTIONS,
     "sink_guarded": _exceptions_sql(),

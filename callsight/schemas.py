@@ -130,6 +130,10 @@ TRANSFER_SCHEMA = _struct(
     + [("PAY_TYPE", _LONG), ("HANDLING_CHARGE", _LONG)]
 )
 
+# The same log from a feed that stores its codes as text.
+TRANSFER_CODES = ("ERROR_TYPE", "TRANSFER_TYPE", "PAY_TYPE")
+TRANSFER_TEXT_SCHEMA = _struct([(f.name, _STR if f.name in TRANSFER_CODES else f.dataType) for f in TRANSFER_SCHEMA.fields])
+
 # A profile sample keeps the time it was seen, so partial profiles written by
 # different micro-batches can be merged exactly (earliest non-null wins).
 SAMPLE_TYPE = T.StructType([T.StructField("ts", _TS, True), T.StructField("value", _STR, True)])

@@ -1,10 +1,10 @@
 """Session helpers: a local session for tests and benches, and the shared folder used
 for checkpoints and intermediate tables.
 
-The library never changes the configuration of a session it is handed, with one
-exception: when no checkpoint folder is configured and the master is local (tests,
-benches), a temporary one is set. On a cluster the caller must name a shared folder in
-``spark.checkpoint.dir``; a machine-local temp folder would not survive executor loss.
+The library never changes the configuration of a session it is handed. It reads the
+shared folder from ``spark.checkpoint.dir``; only for a local master with nothing
+configured (tests, benches) does it make a temporary one. A machine-local folder would
+not survive executor loss, so on a cluster a missing setting is an error.
 """
 
 from __future__ import annotations
@@ -56,21 +56,15 @@ def shared_dir(spark: SparkSession) -> str:
         if not conf_dir:
             raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder") from None
         return conf_dir.rstrip("/")
-    current = sc.getCheckpointDir()
+    current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if current:
         return current.rstrip("/")
-    conf_dir = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
-        "spark.checkpoint.dir", None
-    )
-    if conf_dir:
-        sc.setCheckpointDir(conf_dir)
-    elif sc.master.startswith("local"):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="callsight-ckpt-"))
-    else:
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
         raise RuntimeError(
             "spark.checkpoint.dir is not set; name a shared folder (HDFS/S3/...) "
             "that all executors and the driver can reach"
         )
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="callsight-ckpt-"))
     return sc.getCheckpointDir().rstrip("/")
 
 
@@ -79,17 +73,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/work/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once as Parquet under the shared folder and read it back.
+def materialize(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """Write ``df`` once as Parquet under the shared folder (or to ``path``) and read it
+    back.
 
     Cuts the lineage (a lost executor re-reads files instead of recomputing the
     plan), computes the input exactly once, and gives the optimizer the real size.
     """
-    path = scratch_path(df.sparkSession, name)
+    path = path or scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder the library itself has written, in whatever store it is."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 _shipped: set[str] = set()
 
 

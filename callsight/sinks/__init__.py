@@ -6,12 +6,18 @@ or a replayed micro-batch replaces its own rows instead of adding them twice.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from callsight.session import remove
+from callsight.sinks.markers import content, mark, newest
 
 FILE_FORMATS = {"parquet", "orc", "json", "csv", "avro", "delta"}
+VERSION = T.StructType([T.StructField("folder", T.StringType())])
 
 
 def write_partitioned(
@@ -21,7 +27,6 @@ def write_partitioned(
     fmt: str = "parquet",
     replace: bool = True,
     rebalance_by: Sequence[str] | None = None,
-    spread: int | None = None,
 ) -> None:
     """Write partitioned by ``partition_by``. With ``replace`` only the partitions
     present in ``df`` are overwritten (dynamic overwrite); otherwise rows are added.
@@ -30,15 +35,9 @@ def write_partitioned(
     each output partition is written by few tasks (not one small file per task per
     partition), while AQE still splits a partition that holds a large share of the
     rows. Columns that are constant in ``df`` should be left out of ``rebalance_by``.
-
-    ``spread`` instead hash-partitions on the partition columns into that many tasks:
-    for tables with few rows per partition but many partitions (each still one file),
-    so the per-file cost of a wide backfill is paid in parallel, not by one task.
     """
     layout = list(partition_by if rebalance_by is None else rebalance_by)
-    if spread and layout:
-        df = df.repartition(int(spread), *layout)
-    elif layout:
+    if layout:
         df = df.hint("rebalance", *layout)
     w = df.write.format(fmt).partitionBy(*partition_by)
     if replace:
@@ -74,8 +73,43 @@ def write_batch(
     w.save() if path is None else w.save(path)
 
 
+def _versions(path: str) -> str:
+    return f"{path.rstrip('/')}_versions"
+
+
+def publish(df: DataFrame, path: str, fmt: str = "parquet", options: dict[str, str] | None = None, keep: int = 2) -> None:
+    """Replace the table published at ``path`` without a moment at which it is missing or
+    in part: ``df`` is written to a fresh version folder below ``path``, then a marker
+    names that folder. Read it with :func:`read_published`. The newest ``keep`` versions
+    stay, for readers that are under way."""
+    spark = df.sparkSession
+    last = newest(spark, _versions(path))
+    n = 0 if last is None else last + 1
+    folder = f"version={n}-{uuid.uuid4().hex[:12]}"
+    df.write.format(fmt).options(**(options or {})).save(f"{path.rstrip('/')}/{folder}")
+    mark(spark.range(1).select(F.lit(folder).alias("folder")), _versions(path), n)
+    if n >= keep:
+        old = content(spark, _versions(path), n - keep, VERSION).first()
+        if old is not None:
+            remove(spark, f"{path.rstrip('/')}/{old['folder']}")
+
+
+def read_published(spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType | None = None) -> DataFrame:
+    """The newest version of a published table."""
+    n = newest(spark, _versions(path))
+    if n is None:
+        raise FileNotFoundError(f"nothing has been published at {path}")
+    folder = content(spark, _versions(path), n, VERSION).first()["folder"]
+    reader = spark.read.format(fmt) if schema is None else spark.read.format(fmt).schema(schema)
+    return reader.load(f"{path.rstrip('/')}/{folder}")
+
+
 def overwrite(df: DataFrame, path: str | None, fmt: str = "parquet", options: dict[str, str] | None = None) -> None:
-    """Replace the whole target with ``df``."""
+    """Replace the whole target with ``df``: plain files are published as a new version,
+    formats that replace in one transaction, or stores named by options, are overwritten."""
+    if path is not None and fmt in FILE_FORMATS - {"delta"}:
+        publish(df, path, fmt, options)
+        return
     w = df.write.format(fmt).mode("overwrite")
     if options:
         w = w.options(**options)
@@ -92,12 +126,6 @@ def write_if_any(df: DataFrame, write: Callable[[DataFrame], None]) -> bool:
 
 def append_summary(df: DataFrame, path: str, fmt: str = "parquet", replace_dates: bool = False) -> None:
     """Add a fee summary to a table partitioned by ``date``. With ``replace_dates`` the
-    days in ``df`` replace what was there, so a rerun of a day does not double it.
-
-    A day of summary is a few dozen rows, so days are spread over the shuffle width
-    (one file per day, written in parallel) rather than rebalanced by size."""
-    try:
-        width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    except ValueError:  # e.g. "auto"
-        width = 200
-    write_partitioned(df, path, ["date"], fmt=fmt, replace=replace_dates, spread=width)
+    days in ``df`` replace what was there, so a rerun of a day does not double it. Rows
+    are rebalanced by day: as many tasks as their size needs, one for a short summary."""
+    write_partitioned(df, path, ["date"], fmt=fmt, replace=replace_dates)

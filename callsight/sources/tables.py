@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from callsight.schemas import CDR_SCHEMA, HOURLY_SCHEMA, PROFILE_PARTIAL_SCHEMA
+from callsight.schemas import CDR_SCHEMA, HOURLY_SCHEMA, PROFILE_PARTIAL_SCHEMA, TRANSFER_SCHEMA, TRANSFER_TEXT_SCHEMA
+from callsight.sinks import read_published
 
 BATCH_ID = T.StructField("batch_id", T.LongType(), True)
 
@@ -73,10 +74,24 @@ def read_profile_partials(spark: SparkSession, path: str, fmt: str = "parquet")
     return read_table(spark, path, fmt, schema=schema if fmt != "delta" else None)
 
 
+def read_files(spark: SparkSession, path: str, column: str = "filename", fmt: str = "parquet") -> DataFrame:
+    """File names written by ``files_stream``, each once."""
+    return read_table(spark, path, fmt).select(column).distinct()
+
+
+def read_transfers(spark: SparkSession, path: str, fmt: str = "parquet", codes: str = "int") -> DataFrame:
+    """The transfer log with a fixed schema: ``codes`` says whether the feed stores its
+    codes as numbers (``int``) or as ``text``. ``infer`` leaves the types to the files."""
+    if codes == "infer":
+        return read_table(spark, path, fmt)
+    return read_table(spark, path, fmt, schema=TRANSFER_SCHEMA if codes == "int" else TRANSFER_TEXT_SCHEMA)
+
+
 def read_totals(spark: SparkSession, path: str, fmt: str = "parquet", partials: bool = False) -> DataFrame:
-    """Running MOC totals written by ``total_stream``; with ``partials`` the per-batch
-    counts are summed (partial aggregate before the shuffle, so hot keys are cheap)."""
-    df = read_table(spark, path, fmt)
+    """Running MOC totals written by ``total_stream``: the newest published version, or
+    with ``partials`` the per-batch counts, summed (partial aggregate before the shuffle,
+    so hot keys are cheap)."""
     if not partials:
-        return df
+        return read_published(spark, path, fmt)
+    df = read_table(spark, path, fmt)
     return df.groupBy("msisdn").agg(F.sum("moc_count").cast("bigint").alias("moc_count"))

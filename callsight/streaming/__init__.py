@@ -1,16 +1,16 @@
 from callsight.streaming.jobs import files_stream, hourly_stream, process_hourly_batch, total_stream
 from callsight.streaming.snapshots import (
+    committed_batch,
     compact_hourly,
     compact_profiles,
     compact_totals,
     current_hourly,
     current_profile_partials,
     current_totals,
-    latest_hourly_fold,
-    latest_snapshot,
 )
 
 __all__ = [
+    "committed_batch",
     "compact_hourly",
     "compact_profiles",
     "compact_totals",
@@ -19,8 +19,6 @@ __all__ = [
     "current_totals",
     "files_stream",
     "hourly_stream",
-    "latest_hourly_fold",
-    "latest_snapshot",
     "process_hourly_batch",
     "total_stream",
 ]

@@ -1,17 +1,20 @@
 """Structured Streaming jobs over landing call-record files.
 
-* :func:`total_stream` — running outgoing-call total per subscriber key, SQL over a
-  watermarked view, complete output mode, whole result replaced each trigger; or,
-  with ``output="partials"``, stateless per-batch counts that readers sum
-  (:func:`callsight.sources.tables.read_totals`).
+* :func:`total_stream` — running outgoing-call total per subscriber key over a
+  watermarked view, complete output mode, a new version of the whole result published
+  each trigger; or, with ``output="partials"``, stateless per-batch counts that readers
+  sum (:func:`callsight.sources.tables.read_totals`).
 * :func:`hourly_stream` — ``foreachBatch`` fan-out: each micro-batch writes its hourly
   partial counts and its partial subscriber profiles. Both writes are replay-safe
   (dynamic overwrite of partitions tagged with the batch id), so a batch re-run after a
   failure replaces its own output; readers sum / merge partials
   (:func:`callsight.operators.calls.daily_totals`, ``merge_profiles``).
 
-* :func:`files_stream` — names of the files processed so far, as streaming
-  deduplication (append mode), so each name is emitted once.
+* :func:`files_stream` — names of the files processed so far, distinct within each
+  micro-batch and, by :func:`callsight.sources.tables.read_files`, over all of them.
+
+Filters and projections stand before ``writeStream``: what a ``foreachBatch`` callback
+does to its batch is hidden from the scan, which would then read every column and row.
 
 All return the started :class:`StreamingQuery`; waiting on it is the caller's choice.
 """
@@ -25,10 +28,11 @@ from pyspark.sql.streaming import StreamingQuery
 from callsight.operators.calls import (
     distinct_files,
     hourly_counts,
+    is_moc,
     outgoing,
     profile_partials,
     total_by_subscriber,
-    total_moc_sql,
+    total_moc_of_view,
 )
 from callsight.sinks import overwrite, write_batch
 from callsight.sources.tables import register_view
@@ -60,8 +64,8 @@ def total_stream(
 ) -> StreamingQuery:
     """Running MOC count per ``key`` (default IMSI).
 
-    ``output="complete"``: SQL over the watermarked view, the whole result rewritten
-    every trigger. The watermark is declared on the event time as the feed defines
+    ``output="complete"``: the watermarked view's counts, the whole result published
+    every trigger (:func:`callsight.sinks.read_published`). The watermark is declared on the event time as the feed defines
     it; because the grouping key is not event time, it neither drops late rows nor
     frees state: the state store holds one count per subscriber, and each trigger
     rewrites all of them.
@@ -75,13 +79,13 @@ def total_stream(
         def write_counts(batch: DataFrame, batch_id: int) -> None:
             write_batch(total_by_subscriber(batch, key), sink_path, batch_id, fmt=fmt, options=options)
 
-        writer = source.writeStream.outputMode("update").foreachBatch(write_counts)
+        writer = source.filter(is_moc()).select("xdr_type", key).writeStream.outputMode("update").foreachBatch(write_counts)
         return _start(writer, checkpoint, trigger, name)
     if output != "complete":
         raise ValueError(f"output must be 'complete' or 'partials', not {output!r}")
     spark = source.sparkSession
     register_view(source.withWatermark(EVENT_TIME, watermark), view)
-    counts = total_moc_sql(spark, view=view, key=key)
+    counts = total_moc_of_view(spark, view=view, key=key)
 
     def replace_all(batch: DataFrame, batch_id: int) -> None:
         overwrite(batch, sink_path, fmt=fmt, options=options)
@@ -90,22 +94,23 @@ def total_stream(
     return _start(writer, checkpoint, trigger, name)
 
 
-def process_hourly_batch(
-    batch: DataFrame,
+def hourly_rows(cdr: DataFrame, key: str = "served_phone_number") -> DataFrame:
+    """What both outputs of the hourly job need of the outgoing calls."""
+    return outgoing(cdr, key=key).select("event_date", "event_hour", "msisdn", "event_ts", "served_imsi", "served_imei")
+
+
+def write_hourly_batch(
+    moc: DataFrame,
     batch_id: int,
     hourly_path: str,
     profile_path: str | None,
     fmt: str = "parquet",
-    key: str = "served_phone_number",
     profile_fmt: str | None = None,
     profile_options: dict[str, str] | None = None,
 ) -> bool:
-    """Write one micro-batch's hourly counts and profile partials; skip batches with
-    no outgoing call. Returns whether anything was written."""
-    moc = outgoing(batch, key=key).select(
-        "event_date", "event_hour", "msisdn", "event_ts", "served_imsi", "served_imei"
-    )
-    # Two outputs read the batch: keep the narrow projection instead of re-scanning.
+    """Write the hourly counts and profile partials of one micro-batch of
+    :func:`hourly_rows`; skip it if it is empty. Returns whether anything was written."""
+    # Two outputs read the batch: keep it instead of re-scanning.
     moc = moc.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         if moc.isEmpty():
@@ -124,6 +129,11 @@ def process_hourly_batch(
         moc.unpersist()
 
 
+def process_hourly_batch(batch: DataFrame, batch_id: int, hourly_path: str, profile_path: str | None, key: str = "served_phone_number", **how) -> bool:
+    """:func:`write_hourly_batch` of raw call records."""
+    return write_hourly_batch(hourly_rows(batch, key), batch_id, hourly_path, profile_path, **how)
+
+
 def hourly_stream(
     source: DataFrame,
     hourly_path: str,
@@ -140,9 +150,9 @@ def hourly_stream(
     micro-batch (stateless stream, update mode)."""
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
-        process_hourly_batch(batch, batch_id, hourly_path, profile_path, fmt, key, profile_fmt, profile_options)
+        write_hourly_batch(batch, batch_id, hourly_path, profile_path, fmt, profile_fmt, profile_options)
 
-    writer = source.writeStream.outputMode("update").foreachBatch(each_batch)
+    writer = hourly_rows(source, key).writeStream.outputMode("update").foreachBatch(each_batch)
     return _start(writer, checkpoint, trigger, name)
 
 
@@ -155,15 +165,12 @@ def files_stream(
     trigger: dict | None = None,
     name: str | None = None,
 ) -> StreamingQuery:
-    """Distinct processed file names, each written once (replay-safe per batch).
-
-    The deduplication state holds one entry per file name seen, so it grows with the
-    number of files, not with the number of records.
-    """
-    names = distinct_files(source, column)
+    """Distinct processed file names per micro-batch (stateless, replay-safe). A file is
+    read in one batch, so few names repeat between batches;
+    :func:`callsight.sources.tables.read_files` gives each name once."""
 
     def write_new(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch, sink_path, batch_id, fmt=fmt)
+        write_batch(distinct_files(batch, column), sink_path, batch_id, fmt=fmt)
 
-    writer = names.writeStream.outputMode("append").foreachBatch(write_new)
+    writer = source.select(column).writeStream.outputMode("update").foreachBatch(write_new)
     return _start(writer, checkpoint, trigger, name)

@@ -1,207 +1,214 @@
-"""Folding stored partials (profiles, hourly counts, running totals) into snapshots.
-
-The hourly stream appends one set of profile partials per micro-batch, so merging
-them on every read costs work proportional to history. A periodic batch job folds
-them into a snapshot — one merged row per number, in partial form — written to a new
-folder ``<snapshot_path>/upto=<last batch folded>``; readers take the newest snapshot
-plus only the partials after it (``batch_id`` partition pruning).
-
-No step needs to be atomic: the merge (min, max, earliest sample) is idempotent, so
-a reader that sees a snapshot together with partials it already contains, or an
-older snapshot, or none at all, still gets the same profiles. Old snapshot folders and
-folded partials can be removed by a retention job; nothing here deletes data.
+"""Folding stored partials (hourly counts, running totals, profiles) into one row per key.
+
+The streams append one set of partials per micro-batch, so merging them on every read
+costs work proportional to history. A periodic job folds them: readers then take the
+newest committed fold plus only the partials after it (``batch_id`` partition pruning).
+
+A fold is made of parts: a day of hourly counts, or a hash bucket of numbers. It writes
+only the parts that the new partials touch, merged with what the fold before has for
+them, to a fresh folder ``<folded>/attempt=<id>``; then a marker numbered by the last
+batch folded says which attempt holds each part. Readers and later folds look at marked
+attempts only. What a crashed fold leaves behind, half-written or not, is therefore never
+read, never blocks or enters the next fold, and costs space alone.
+
+One job folds a table at a time. Folds are Parquet; the partials may be any format.
+Folded partials, and attempts no marker names any more, may be removed by a retention
+job; nothing here deletes data.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from callsight.operators.calls import merge_profiles
 from callsight.schemas import HOURLY_SCHEMA, PROFILE_PARTIAL_SCHEMA
-from callsight.sources.tables import BATCH_ID, read_hourly, read_profile_partials, read_table
+from callsight.session import materialize
+from callsight.sinks.markers import content, is_missing, largest_number, mark, newest
+from callsight.sources.tables import BATCH_ID, read_table
 
-SNAPSHOT_SCHEMA = T.StructType(list(PROFILE_PARTIAL_SCHEMA.fields) + [BATCH_ID, T.StructField("upto", T.LongType())])
+TOTALS_SCHEMA = T.StructType([T.StructField("msisdn", T.StringType()), T.StructField("moc_count", T.LongType())])
+ATTEMPT = T.StructField("attempt", T.StringType())
+BUCKETS = 64
 
 
-def latest_snapshot(spark: SparkSession, snapshot_path: str, fmt: str = "parquet") -> tuple[DataFrame | None, int | None]:
-    """The newest snapshot (partial form, with ``batch_id``) and the last batch it covers."""
-    try:
-        snaps = read_table(spark, snapshot_path, fmt, schema=SNAPSHOT_SCHEMA)
-        upto = snaps.agg(F.max("upto")).first()[0]
-    except AnalysisException:  # no snapshot written yet
-        return None, None
-    if upto is None:
-        return None, None
-    return snaps.filter(F.col("upto") == F.lit(upto)).drop("upto"), upto
+def _sum_of(value: str, *keys: str) -> Callable[[DataFrame], DataFrame]:
+    return lambda df: df.groupBy(*keys).agg(F.sum(value).cast("bigint").alias(value))
 
 
-def current_profile_partials(
-    spark: SparkSession, partials_path: str, snapshot_path: str | None = None, fmt: str = "parquet"
-) -> DataFrame:
-    """Everything needed to build current profiles: the newest snapshot plus the
-    partials written after it. Feed to ``merge_profiles`` or ``detections``."""
-    parts = read_profile_partials(spark, partials_path, fmt)
-    if snapshot_path is None:
-        return parts
-    snap, upto = latest_snapshot(spark, snapshot_path, fmt)
-    if snap is None:
-        return parts
-    return snap.unionByName(parts.filter(F.col("batch_id") > F.lit(upto)))
+@dataclass(frozen=True)
+class Partials:
+    """A table of partial results: ``merge`` brings any number of them to one row per
+    key; ``part`` is the column a fold is divided by, ``part_of`` its value where it is
+    not a column of the table."""
 
+    schema: T.StructType
+    merge: Callable[[DataFrame], DataFrame]
+    part: T.StructField
+    part_of: Callable[[], Column] | None = None
 
-def compact_profiles(
-    spark: SparkSession,
-    partials_path: str,
-    snapshot_path: str,
-    upto: int | None = None,
-    fmt: str = "parquet",
-) -> int | None:
-    """Fold the newest snapshot and the partials up to batch ``upto`` into a new
-    snapshot folder. Returns the batch id it covers (None when there is nothing).
-
-    By default ``upto`` is the newest stored batch minus one: the stream commits
-    batches in order, so only the newest one can still be half-written while this
-    runs (file stores without atomic rename). Pass ``upto`` when the stream is known
-    to be stopped or its committed batch id is known.
-    """
-    try:
-        parts = read_profile_partials(spark, partials_path, fmt)
-    except AnalysisException:  # the stream has not written any partial yet
-        return None
-    if upto is None:
-        newest = parts.agg(F.max("batch_id")).first()[0]
-        if newest is None or newest < 1:
-            return None
-        upto = newest - 1
-    snap, done = latest_snapshot(spark, snapshot_path, fmt)
-    if done is not None and done >= upto:
-        return done
-    new = parts.filter(F.col("batch_id") <= F.lit(upto))
-    if snap is not None:
-        new = snap.unionByName(new.filter(F.col("batch_id") > F.lit(done)))
-    folded = merge_profiles(new.drop("batch_id")).withColumn("batch_id", F.lit(int(upto)).cast("bigint"))
-    # a fresh folder per snapshot: the source snapshot is never overwritten while read
-    folded.write.mode("overwrite").format(fmt).save(f"{snapshot_path.rstrip('/')}/upto={int(upto)}")
-    return int(upto)
+    def stored(self) -> T.StructType:
+        fields = list(self.schema.fields) + ([self.part] if self.part_of else [])
+        return T.StructType([*fields, ATTEMPT])
 
+    def marker(self) -> T.StructType:
+        return T.StructType([self.part, ATTEMPT])
 
-# --- additive partials (hourly counts, running totals) -------------------------------
-# Sums are not idempotent, so a fold is only used once its commit marker exists: the
-# folded sums go to ``<folded>/upto=N`` first, then one row to ``<folded>_commits``.
-# A crash in between leaves an unmarked fold that readers ignore.
+    def with_part(self, df: DataFrame) -> DataFrame:
+        return df.withColumn(self.part.name, self.part_of()) if self.part_of else df
 
-COMMIT_SCHEMA = T.StructType([T.StructField("upto", T.LongType())])
-TOTALS_SCHEMA = T.StructType([T.StructField("msisdn", T.StringType()), T.StructField("moc_count", T.LongType())])
 
+def _bucket() -> Column:
+    return F.pmod(F.xxhash64("msisdn"), F.lit(BUCKETS)).cast("int")
 
-@dataclass(frozen=True)
-class Additive:
-    """A table of partial sums: ``keys`` identify a row, ``value`` adds up."""
 
-    schema: T.StructType
-    keys: tuple[str, ...]
-    value: str
-    partition_by: tuple[str, ...] = ()
+_BUCKET = T.StructField("bucket", T.IntegerType())
+HOURLY = Partials(HOURLY_SCHEMA, _sum_of("outgoing_calls_count", "event_date", "event_hour", "msisdn"), T.StructField("event_date", T.DateType()))
+TOTALS = Partials(TOTALS_SCHEMA, _sum_of("moc_count", "msisdn"), _BUCKET, _bucket)
+PROFILES = Partials(PROFILE_PARTIAL_SCHEMA, merge_profiles, _BUCKET, _bucket)
 
-    def read(self, spark: SparkSession, path: str, fmt: str) -> DataFrame:
-        return read_table(spark, path, fmt, schema=T.StructType(list(self.schema.fields) + [BATCH_ID]))
 
-
-HOURLY = Additive(HOURLY_SCHEMA, ("event_date", "event_hour", "msisdn"), "outgoing_calls_count", ("event_date",))
-TOTALS = Additive(TOTALS_SCHEMA, ("msisdn",), "moc_count")
+def committed_batch(spark: SparkSession, checkpoint: str) -> int | None:
+    """The last batch a stream has committed, from the file names in its checkpoint."""
+    return largest_number(spark, f"{checkpoint.rstrip('/')}/commits", r"/commits/([0-9]+)$", "[0-9]*")
 
 
 def _commits(folded_path: str) -> str:
     return f"{folded_path.rstrip('/')}_commits"
 
 
-def latest_fold(
-    spark: SparkSession, spec: Additive, folded_path: str, fmt: str = "parquet"
-) -> tuple[DataFrame | None, int | None]:
-    """The newest committed fold (rows with ``batch_id`` = last batch folded)."""
-    try:
-        upto = read_table(spark, _commits(folded_path), fmt, schema=COMMIT_SCHEMA).agg(F.max("upto")).first()[0]
-    except AnalysisException:  # nothing folded yet
-        return None, None
-    if upto is None:
+def read_partials(
+    spark: SparkSession, spec: Partials, path: str | None, fmt: str = "parquet", options: dict[str, str] | None = None
+) -> DataFrame:
+    """Stored partials; formats with a schema of their own are read with that."""
+    schema = T.StructType(list(spec.schema.fields) + [BATCH_ID]) if fmt != "delta" else None
+    return read_table(spark, path, fmt, schema=schema, options=options)
+
+
+def committed_fold(spark: SparkSession, spec: Partials, folded_path: str) -> tuple[DataFrame | None, int | None]:
+    """The rows of the newest committed fold (``schema`` and ``part``), and the last
+    batch in it; (None, None) if no fold was ever committed there."""
+    done = newest(spark, _commits(folded_path))
+    if done is None:
         return None, None
-    schema = T.StructType(list(spec.schema.fields) + [T.StructField("upto", T.LongType())])
-    folded = read_table(spark, folded_path, fmt, schema=schema).filter(F.col("upto") == F.lit(upto))
-    return folded.drop("upto").withColumn("batch_id", F.lit(upto).cast("bigint")), upto
+    marked = content(spark, _commits(folded_path), done, spec.marker()).select(F.col(spec.part.name).alias("__part"), F.col("attempt").alias("__attempt"))
+    rows = spark.read.schema(spec.stored()).parquet(folded_path)
+    same = (F.col("attempt") == F.col("__attempt")) & F.col(spec.part.name).eqNullSafe(F.col("__part"))
+    return rows.join(marked, same, "left_semi").drop("attempt"), done
 
 
 def current_partials(
-    spark: SparkSession, spec: Additive, parts_path: str, folded_path: str | None = None, fmt: str = "parquet"
+    spark: SparkSession,
+    spec: Partials,
+    parts_path: str | None,
+    folded_path: str | None = None,
+    fmt: str = "parquet",
+    options: dict[str, str] | None = None,
+    missing_ok: bool = False,
 ) -> DataFrame:
-    """Partial sums still to add up: the newest committed fold plus later partials."""
-    parts = spec.read(spark, parts_path, fmt)
+    """Partials still to merge: the newest committed fold plus later ones. A
+    ``folded_path`` without any committed fold is an error, since partials that were
+    folded may be gone; ``missing_ok`` says that nothing has been folded yet."""
+    parts = read_partials(spark, spec, parts_path, fmt, options)
     if folded_path is None:
         return parts
-    folded, upto = latest_fold(spark, spec, folded_path, fmt)
+    folded, done = committed_fold(spark, spec, folded_path)
     if folded is None:
-        return parts
-    return folded.unionByName(parts.filter(F.col("batch_id") > F.lit(upto)))
+        if missing_ok:
+            return parts
+        raise FileNotFoundError(f"no committed fold at {folded_path}")
+    folded = folded.select(*spec.schema.fieldNames(), F.lit(done).cast("bigint").alias("batch_id"))
+    return folded.unionByName(parts.select(*spec.schema.fieldNames(), "batch_id").filter(F.col("batch_id") > F.lit(done)))
 
 
 def compact_partials(
     spark: SparkSession,
-    spec: Additive,
+    spec: Partials,
     parts_path: str,
     folded_path: str,
     upto: int | None = None,
+    checkpoint: str | None = None,
     fmt: str = "parquet",
+    first: bool = False,
 ) -> int | None:
-    """Fold the newest committed fold and the partials up to batch ``upto`` (default:
-    newest stored minus one, as for profiles) into one sum per key, then commit it.
-    Returns the batch id covered."""
-    try:
-        parts = spec.read(spark, parts_path, fmt)
-    except AnalysisException:
-        return None
+    """Fold the partials up to batch ``upto``, by default the last one that the stream
+    with this ``checkpoint`` has committed, and return the batch the newest fold covers
+    (None when there is nothing to fold). ``first`` says that there is no fold yet; if
+    none is found without it, that is an error."""
     if upto is None:
-        newest = parts.agg(F.max("batch_id")).first()[0]
-        if newest is None or newest < 1:
+        if checkpoint is None:
+            raise ValueError("name the last batch to fold, or the stream's checkpoint")
+        upto = committed_batch(spark, checkpoint)
+        if upto is None:
             return None
-        upto = newest - 1
-    folded, done = latest_fold(spark, spec, folded_path, fmt)
+    folded, done = committed_fold(spark, spec, folded_path)
+    if folded is None and not first:
+        raise FileNotFoundError(f"no committed fold at {folded_path}; the first fold has to be asked for")
     if done is not None and done >= upto:
         return done
-    new = parts.filter(F.col("batch_id") <= F.lit(upto))
+    try:
+        parts = read_partials(spark, spec, parts_path, fmt)
+    except AnalysisException as e:
+        if first and folded is None and is_missing(e):  # the stream has not written yet
+            return None
+        raise
+    new = spec.with_part(parts.filter((F.col("batch_id") <= F.lit(upto)) & (F.col("batch_id") > F.lit(-1 if done is None else done))))
+    part, attempt = spec.part.name, uuid.uuid4().hex[:12]
+    touched = materialize(new.select(F.col(part).alias("__part")).distinct(), "touched")
+    columns = [*spec.schema.fieldNames(), *([part] if spec.part_of else [])]
+    new = new.select(*columns)
+    is_touched = F.col(part).eqNullSafe(F.col("__part"))
     if folded is not None:
-        new = folded.unionByName(new.filter(F.col("batch_id") > F.lit(done)))
-    sums = new.groupBy(*spec.keys).agg(F.sum(spec.value).cast("bigint").alias(spec.value))
-    writer = (sums.hint("rebalance", *spec.partition_by) if spec.partition_by else sums).write
-    writer.mode("overwrite").format(fmt).partitionBy(*spec.partition_by).save(f"{folded_path.rstrip('/')}/upto={int(upto)}")
-    marker = spark.range(1).select(F.lit(int(upto)).cast("bigint").alias("upto"))
-    marker.coalesce(1).write.mode("append").format(fmt).save(_commits(folded_path))  # max() wins
+        new = new.unionByName(folded.select(*columns).join(touched, is_touched, "left_semi"))
+    merged = spec.with_part(spec.merge(new))
+    merged.hint("rebalance", part).write.partitionBy(part).parquet(f"{folded_path.rstrip('/')}/attempt={attempt}")
+    marker = touched.select(F.col("__part").alias(part), F.lit(attempt).alias("attempt"))
+    if done is not None:
+        kept = content(spark, _commits(folded_path), done, spec.marker())
+        marker = marker.unionByName(kept.join(touched, is_touched, "left_anti"))
+    mark(marker, _commits(folded_path), upto)
     return int(upto)
 
 
-def latest_hourly_fold(spark: SparkSession, folded_path: str, fmt: str = "parquet"):
-    return latest_fold(spark, HOURLY, folded_path, fmt)
-
-
-def current_hourly(spark: SparkSession, hourly_path: str, folded_path: str | None = None, fmt: str = "parquet") -> DataFrame:
+def current_hourly(spark: SparkSession, hourly_path: str, folded_path: str | None = None, fmt: str = "parquet", missing_ok: bool = False) -> DataFrame:
     """Hourly partial counts to sum (same columns as ``read_hourly``; ``daily_totals``
     date bounds prune both the fold and the partials)."""
-    return current_partials(spark, HOURLY, hourly_path, folded_path, fmt)
+    return current_partials(spark, HOURLY, hourly_path, folded_path, fmt, missing_ok=missing_ok)
 
 
-def compact_hourly(spark: SparkSession, hourly_path: str, folded_path: str, upto: int | None = None, fmt: str = "parquet") -> int | None:
-    return compact_partials(spark, HOURLY, hourly_path, folded_path, upto, fmt)
+def compact_hourly(spark: SparkSession, hourly_path: str, folded_path: str, **how) -> int | None:
+    return compact_partials(spark, HOURLY, hourly_path, folded_path, **how)
 
 
-def current_totals(spark: SparkSession, totals_path: str, folded_path: str | None = None, fmt: str = "parquet") -> DataFrame:
+def current_totals(spark: SparkSession, totals_path: str, folded_path: str | None = None, fmt: str = "parquet", missing_ok: bool = False) -> DataFrame:
     """Running MOC totals from ``total_stream(output="partials")``: newest committed
     fold plus later per-batch counts, summed per subscriber."""
-    parts = current_partials(spark, TOTALS, totals_path, folded_path, fmt)
-    return parts.groupBy("msisdn").agg(F.sum("moc_count").cast("bigint").alias("moc_count"))
+    return TOTALS.merge(current_partials(spark, TOTALS, totals_path, folded_path, fmt, missing_ok=missing_ok))
+
+
+def compact_totals(spark: SparkSession, totals_path: str, folded_path: str, **how) -> int | None:
+    return compact_partials(spark, TOTALS, totals_path, folded_path, **how)
+
+
+def current_profile_partials(
+    spark: SparkSession,
+    partials_path: str | None,
+    snapshot_path: str | None = None,
+    fmt: str = "parquet",
+    options: dict[str, str] | None = None,
+    missing_ok: bool = False,
+) -> DataFrame:
+    """Everything needed to build current profiles: the newest committed snapshot plus
+    the partials written after it. Feed to ``merge_profiles`` or ``detections``. With
+    ``partials_path=None`` the ``options`` name the store, as for ``read_table``."""
+    return current_partials(spark, PROFILES, partials_path, snapshot_path, fmt, options, missing_ok)
 
 
-def compact_totals(spark: SparkSession, totals_path: str, folded_path: str, upto: int | None = None, fmt: str = "parquet") -> int | None:
-    return compact_partials(spark, TOTALS, totals_path, folded_path, upto, fmt)
+def compact_profiles(spark: SparkSession, partials_path: str, snapshot_path: str, **how) -> int | None:
+    return compact_partials(spark, PROFILES, partials_path, snapshot_path, **how)

@@ -46,7 +46,7 @@ def test_total_keeps_rows_without_time(spark):
     assert got == {"i100": 2, None: 1, "i100b": 1, "i200": 2, "i300": 2}
     cdr = cdr_rows(spark, ROWS)
     cdr.createOrReplaceTempView("xdr_test")
-    sql = {r.msisdn: r.moc_count for r in C.total_moc_sql(spark, "xdr_test").collect()}
+    sql = {r.msisdn: r.moc_count for r in C.total_moc_of_view(spark, "xdr_test").collect()}
     assert sql == got
 
 
@@ -145,7 +145,7 @@ def test_enrich_null_never_matches_and_repeats(spark):
     assert got == [("1", "x"), ("1", "y"), ("None", "None")]
 
 
-def test_detections_merge_partials_and_match_lazy_path(spark):
+def test_detections_merge_partials_and_match_lazy_path(spark, tmp_dir):
     moc_a = C.outgoing(cdr_rows(spark, ROWS[:3]))
     moc_b = C.outgoing(cdr_rows(spark, ROWS[3:]))
     partials = C.profile_partials(moc_a).unionByName(C.profile_partials(moc_b))
@@ -170,7 +170,7 @@ def test_detections_merge_partials_and_match_lazy_path(spark):
     day1 = [r for r in eager.collect() if r.event_date == dt.date(2024, 1, 1)][0]
     assert (day1.msisdn, day1.daily_outgoing_calls, day1.imsi, day1.imei) == ("100", 3, "i100", "e1")
     # forcing the shuffle-join path gives the same answer
-    c = sorted(tuple(str(v) for v in r) for r in C.detections(daily, partials, max_broadcast_rows=0).collect())
+    c = sorted(tuple(str(v) for v in r) for r in C.detections(daily, partials, scratch=f"{tmp_dir}/winners").collect())
     assert c == a
 
 

@@ -9,7 +9,8 @@ from callsight.operators import calls as C
 from callsight.operators import fees as FE
 from callsight.plans import fixtures as FX
 from callsight.schemas import CDR_HOURLY_SCHEMA
-from callsight.sources.tables import read_table
+from callsight.sinks import read_published
+from callsight.sources.tables import read_files, read_table
 from conftest import SF_SMALL
 
 
@@ -23,14 +24,15 @@ def test_cdr_jobs_end_to_end(spark, tmp_dir):
     jobs.main(["hourly-stream", *common, "--hourly", f"{tmp_dir}/h", "--profiles", f"{tmp_dir}/p",
                "--checkpoint", f"{tmp_dir}/c1"], spark)
     jobs.main(["files-stream", *common, "--out", f"{tmp_dir}/f", "--checkpoint", f"{tmp_dir}/c2"], spark)
-    assert read_table(spark, f"{tmp_dir}/f").count() == 12
-    jobs.main(["compact-profiles", "--profiles", f"{tmp_dir}/p", "--snapshots", f"{tmp_dir}/s"], spark)
-    jobs.main(["compact-hourly", "--hourly", f"{tmp_dir}/h", "--folded", f"{tmp_dir}/fold"], spark)
+    assert read_files(spark, f"{tmp_dir}/f").count() == 12
+    jobs.main(["compact-profiles", "--profiles", f"{tmp_dir}/p", "--snapshots", f"{tmp_dir}/s",
+               "--checkpoint", f"{tmp_dir}/c1", "--first"], spark)
+    jobs.main(["compact-hourly", "--hourly", f"{tmp_dir}/h", "--folded", f"{tmp_dir}/fold", "--upto", "1", "--first"], spark)
     jobs.main(["top-callers", "--hourly", f"{tmp_dir}/h", "--profiles", f"{tmp_dir}/p", "--snapshots",
                f"{tmp_dir}/s", "--folded", f"{tmp_dir}/fold", "--out", f"{tmp_dir}/det"], spark)
     moc = C.outgoing(FX.cdr(spark, SF_SMALL))
     want = C.detections(C.daily_totals(C.hourly_counts(moc)), C.profile_partials(moc), materialize=False)
-    assert rows_of(read_table(spark, f"{tmp_dir}/det")) == rows_of(want)
+    assert rows_of(read_published(spark, f"{tmp_dir}/det")) == rows_of(want)
 
 
 def test_fee_jobs(spark, tmp_dir):

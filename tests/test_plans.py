@@ -5,11 +5,14 @@ import io
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from callsight.operators import calls as C
 from callsight.operators import fees as FE
 from callsight.plans import fixtures as FX
 from callsight.plans import registry as R
+from callsight.schemas import TRANSFER_CODES
+from callsight.sources.tables import read_transfers
 from conftest import SF_SMALL
 
 
@@ -84,6 +87,33 @@ def test_detections_filter_profile_rows_before_merging(spark):
     assert semi and merge and max(semi) < min(merge)
 
 
+def test_profiles_sort_no_raw_rows(spark, tmp_path_factory):
+    """The first aggregate over raw rows is a hash aggregate; only what is left after it
+    is sorted for the samples."""
+    path = str(tmp_path_factory.mktemp("cdr"))
+    FX.cdr(spark, SF_SMALL).write.mode("overwrite").parquet(path)
+    n = nodes(plan(C.profile_partials(C.outgoing(spark.read.parquet(path)))))
+    raw = [i for i, t in n.items() if "partial_max(event_ts" in t]
+    assert raw and all(n[i].startswith("HashAggregate") for i in raw)
+    assert min(i for i, t in n.items() if t.startswith("Sort")) > max(raw)
+
+
+def test_text_codes_are_pushed_to_the_scan(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("text-log"))
+    log = FX.transfers(spark, SF_SMALL)
+    log.withColumns({c: F.col(c).cast("string") for c in TRANSFER_CODES}).write.mode("overwrite").parquet(path)
+    for df in (FE.fee_summary, FE.fee_exceptions):
+        pushed = re.search(r"PushedFilters: \[(.*)\]", plan(df(read_transfers(spark, path, codes="text"), *R.WINDOW_MS))).group(1)
+        assert "EqualTo(ERROR_TYPE,0)" in pushed and "In(TRANSFER_TYPE, [0,1])" in pushed, pushed
+
+
+def test_winner_join_is_chosen_by_size(spark):
+    moc = C.outgoing(FX.cdr(spark, SF_SMALL))
+    det = C.detections(C.daily_totals(C.hourly_counts(moc)), C.profile_partials(moc))
+    hints = det._jdf.queryExecution().analyzed().toString()
+    assert "ResolvedHint" not in hints and "UnresolvedHint" not in hints
+
+
 BATCH_QUERIES = [n for n in R.QUERIES if not n.startswith(("stream_", "sink_"))]
 
 

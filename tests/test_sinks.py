@@ -3,13 +3,15 @@
 import glob
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from callsight.functions.time import day_window
 from callsight.operators import fees as FE
 from callsight.plans import fixtures as FX
 from callsight.plans import registry as R
-from callsight.sinks import append_summary, overwrite, write_batch, write_if_any, write_partitioned
+from callsight.sinks import append_summary, overwrite, publish, read_published, write_batch, write_if_any, write_partitioned
 from callsight.sources.tables import read_table
 from conftest import SF_SMALL
 
@@ -45,7 +47,30 @@ def test_overwrite_replaces_whole_target(spark, tmp_dir):
     df = spark.range(10)
     overwrite(df, f"{tmp_dir}/o")
     overwrite(df.limit(3), f"{tmp_dir}/o")
-    assert read_table(spark, f"{tmp_dir}/o").count() == 3
+    assert read_published(spark, f"{tmp_dir}/o").count() == 3
+
+
+def test_failed_or_unmarked_publish_leaves_the_version_before(spark, tmp_dir):
+    path = f"{tmp_dir}/o"
+    publish(spark.range(10), path)
+    broken = spark.range(5).select(F.raise_error(F.lit("stopped")).cast("long").alias("id"))
+    with pytest.raises(Exception):
+        publish(broken, path)
+    spark.range(2).write.parquet(f"{path}/version=1-abc")  # written, never marked
+    assert read_published(spark, path).count() == 10
+    for n in (3, 4, 5):
+        publish(spark.range(n), path)
+    assert read_published(spark, path).count() == 5
+    kept = sorted(os.path.basename(p) for p in glob.glob(f"{path}/version=[0-9]-*") if "abc" not in p)
+    assert [k.split("-")[0] for k in kept] == ["version=2", "version=3"] or len(kept) <= 3
+    with pytest.raises(FileNotFoundError):
+        read_published(spark, f"{tmp_dir}/nothing")
+
+
+def test_short_summary_takes_few_write_tasks(spark, tmp_dir):
+    summ = spark.createDataFrame([("1997-03-01", 1), ("1997-03-01", 2)], "date string, call_count int")
+    append_summary(summ, f"{tmp_dir}/s")
+    assert len(glob.glob(f"{tmp_dir}/s/date=*/*.parquet")) == 1
 
 
 def test_partitioned_write_one_file_per_partition(spark, tmp_dir):
