@@ -30,7 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from callsight.llm.tokens import Tokenizer, texts_of
+from callsight.llm.text import by_bytes
+from callsight.llm.tokens import PART_BYTES, Tokenizer
 from callsight.session import materialize
 
 #: tokens that one merge task gets (4 bytes each)
@@ -126,8 +127,8 @@ def _first_pass(tokenizer: Tokenizer, size: int, windows: int, end_id: int, keep
         for batch in batches:
             ids, col = batch.column(0).to_pylist(), batch.column(1)
             row = 0
-            for part in texts_of(col):
-                for tokens in encoder.ids(part):
+            for lo, hi in by_bytes(col, PART_BYTES):
+                for tokens in encoder.ids(col.slice(lo, hi - lo)):
                     tokens += end
                     piece: Piece = (ids[row], 0, tokens, len(tokens) // 4)
                     row += 1

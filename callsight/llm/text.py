@@ -25,6 +25,11 @@ PLACE = _rng.integers(1, 2**63, 64, dtype=np.uint64) * U64(2) + U64(1)
 
 IS_SPACE = np.zeros(256, dtype=bool)
 IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: punctuation behind an ASCII letter, where :func:`words` may cut as well
+IS_LETTER = np.zeros(256, dtype=bool)
+IS_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+IS_STOP = np.zeros(256, dtype=bool)
+IS_STOP[list(b".,;:!?")] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 0x20
 
@@ -73,13 +78,15 @@ def string_buffers(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offs[0] : offs[-1]], offs - offs[0]
 
 
-def _hash_piece(data: np.ndarray, starts_here: np.ndarray, lower: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _hash_piece(data: np.ndarray, starts_here: np.ndarray, lower: bool, at_stops: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Word hashes, start and end of every word of one piece. ``starts_here``: places
     at which a text begins, where a word cannot go on."""
     space = IS_SPACE[data]
     fresh = np.empty(len(data), dtype=bool)  # the byte before is a space or of another text
     fresh[0] = True
     fresh[1:] = space[:-1]
+    if at_stops:
+        fresh[1:] |= IS_STOP[data[1:]] & IS_LETTER[data[:-1]]
     fresh[starts_here] = True
     begin = np.flatnonzero(fresh & ~space)
     last = np.empty(len(data), dtype=bool)
@@ -95,10 +102,11 @@ def _hash_piece(data: np.ndarray, starts_here: np.ndarray, lower: bool) -> tuple
     return mix(h ^ ((end - begin).astype(np.uint64) * PLACE[63])), begin, end
 
 
-def words(data: np.ndarray, offs: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def words(data: np.ndarray, offs: np.ndarray, lower: bool = True, at_stops: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Word hashes of all texts, one after another, with each word's start and end byte,
-    and the index of each text's first word (one more than texts). Works through the
-    bytes in pieces of about ``CHUNK``, cut where a word ends."""
+    and the index of each text's first word (one more than texts). ``at_stops`` also cuts
+    words in front of punctuation behind an ASCII letter. Works through the bytes in
+    pieces of about ``CHUNK``, cut where a word ends."""
     hashes, begins, ends = [], [], []
     lo, n = 0, len(data)
     while lo < n:
@@ -114,7 +122,7 @@ def words(data: np.ndarray, offs: np.ndarray, lower: bool = True) -> tuple[np.nd
             if len(ahead):
                 break
         at = offs[np.searchsorted(offs, lo) : np.searchsorted(offs, hi)] - lo
-        h, b, e = _hash_piece(data[lo:hi], at, lower)
+        h, b, e = _hash_piece(data[lo:hi], at, lower, at_stops)
         hashes.append(h)
         begins.append(b + lo)
         ends.append(e + lo)
@@ -167,3 +175,12 @@ def by_bytes(col: pa.Array, most: int) -> Iterator[tuple[int, int]]:
         hi = max(lo + 1, int(np.searchsorted(total, before + most, side="right")))
         yield lo, hi
         lo = hi
+
+
+def strings(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> list[str]:
+    """The texts at these places."""
+    size = end - begin
+    offs = np.zeros(len(size) + 1, dtype=np.int64)
+    np.cumsum(size, out=offs[1:])
+    held = data[np.arange(offs[-1]) + np.repeat(begin - offs[:-1], size)]
+    return pa.Array.from_buffers(pa.large_string(), len(size), [None, pa.py_buffer(offs), pa.py_buffer(held)]).to_pylist()
