@@ -1,0 +1,144 @@
+"""Plain Python versions of the operators, from the contracts' words."""
+
+import hashlib
+import itertools
+import re
+from collections import Counter
+
+
+def lower(t):
+    return re.sub("[A-Z]+", lambda m: m.group().lower(), t)
+
+
+def words(t):
+    return re.findall(r"[^\x20\x09-\x0D]+", t or "")
+
+
+def license_base(t, phrases):
+    w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(t or ""))
+    starts, labels = [], set()
+    for phrase, label in phrases.items():
+        p = phrase.split()
+        for k in range(len(w) - len(p) + 1):
+            if w[k : k + len(p)] == p:
+                starts.append(k)
+                labels.add(label)
+    return len(w), len(starts), min(starts, default=None), max(starts, default=None), ",".join(sorted(labels))
+
+
+def luhn(d):
+    total = 0
+    for k, c in enumerate(reversed(d)):
+        v = int(c) * (1 + k % 2)
+        total += v - 9 if v > 9 else v
+    return total % 10 == 0
+
+
+def pii_base(t):
+    t, out = t or "", []
+    for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t):
+        out.append((m.start(), 0, m.end()))
+    for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t):
+        if all(int(x) <= 255 for x in m.group().split(".")):
+            out.append((m.start(), 1, m.end()))
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", t):
+        d = re.sub(r"[ -]", "", m.group())
+        if 12 <= len(d) <= 19 and luhn(d):
+            out.append((m.start(), 2, m.end()))
+    for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", t):
+        if 9 <= sum(c in "0123456789" for c in m.group()) <= 15:
+            out.append((m.start(), 3, m.end()))
+    out.sort()
+    kinds = ("email", "ip", "card", "phone")
+    text = ",".join(f"{kinds[k]}:{a}:{b}" for a, k, b in out)
+    return [sum(k == i for _, k, _ in out) for i in range(4)], hashlib.sha256(text.encode()).hexdigest(), text
+
+
+def quality_base(t):
+    t = t or ""
+    w, windows = words(t), {}
+    for i in range(len(w) - 4):
+        windows.setdefault(tuple(w[i : i + 5]), []).append(i)
+    again = {j for at in windows.values() if len(at) > 1 for i in at for j in range(i, i + 5)}
+    seen, dup = set(), 0
+    for line in t.split("\n"):
+        if words(line):
+            dup += line in seen
+            seen.add(line)
+    n = len(w)
+    return n, sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)), dup, len(again), n < 10 or 100 * len(again) > 20 * n
+
+
+def shingles(t, k):
+    w = words(lower(t or ""))
+    if len(w) >= k:
+        return frozenset(tuple(w[j : j + k]) for j in range(len(w) - k + 1))
+    return frozenset([tuple(w)]) if w else frozenset()
+
+
+def near_duplicates(rows, k, percent):
+    """{id: (set size, component)} by comparing all pairs that share a shingle."""
+    sets, owners, parent = {}, {}, {}
+    for i, t in rows:
+        sets[i] = shingles(t, k)
+        parent[i] = i
+        for g in sets[i]:
+            owners.setdefault(g, []).append(i)
+
+    def top(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, s in sets.items():
+        for j, both in Counter(j for g in s for j in owners[g] if j < i).items():
+            if 100 * both >= percent * (len(s) + len(sets[j]) - both):
+                a, b = sorted((top(i), top(j)))
+                parent[b] = a
+    return {i: (len(s), top(i)) for i, s in sets.items()}
+
+
+def targets(sizes, weights, most=3):
+    """Water level by repeated resharing: {source: target}."""
+    total, capped = float(sum(sizes.values())), set()
+    while True:
+        open_ = [s for s in sizes if s not in capped]
+        left = total - sum(most * sizes[s] for s in capped)
+        weight = sum(weights[s] for s in open_)
+        share = {s: left * weights[s] / weight for s in open_}
+        over = {s for s in open_ if share[s] > most * sizes[s]}
+        if not over:
+            return {s: most * sizes[s] if s in capped else share[s] for s in sizes}
+        capped |= over
+
+
+def lm_scores(rows, order=3, min_count=2, backoff=0.4):
+    from math import log10
+
+    texts = [words(lower(t or "")) for _, t in rows]
+    count = Counter(tuple(w[j : j + n]) for w in texts for n in range(1, order + 1) for j in range(len(w) - n + 1))
+    total = sum(map(len, texts))
+    out = []
+    for w in texts:
+        s = 0.0
+        for j in range(len(w)):
+            longest = min(j + 1, order)
+            for n in range(longest, 0, -1):
+                g = tuple(w[j - n + 1 : j + 1])
+                if n == 1 or count[g] >= min_count:
+                    s += log10(count[g] / (total if n == 1 else count[g[:-1]]) * backoff ** (longest - n))
+                    break
+        out.append((len(w), s / len(w) if w else None))
+    return out
+
+
+def top_k(rows, is_query, k=5, scale=256):
+    from math import floor, isfinite
+
+    ints = [(i, [floor(scale * x) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and isfinite(x) for x in v)]
+    out = []
+    for q, a in ints:
+        if is_query(q):
+            scored = sorted((-sum(x * y for x, y in zip(a, b)), c) for c, b in ints if c != q and len(a) == len(b))
+            out += [(q, r + 1, c, -s) for r, (s, c) in enumerate(itertools.islice(scored, k))]
+    return sorted(out)
