@@ -83,4 +83,94 @@ QUERIES = {
     "op10_near_duplicates": op10_near_duplicates,
 }
 
-ORACLE: dict[str, str] = {}
+# --------------------------------------------------------------------------- oracle
+_WORD = r"[^\x20\x09-\x0D]+"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = f"d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '{_WORD}') AS w FROM documents)"
+
+_TOP_K = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256.0::DOUBLE * x::DOUBLE)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_dot_product(q.e, c.e)::BIGINT AS score
+  FROM v AS q JOIN v AS c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(c.e) = len(q.e)
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5
+"""
+
+_MIX = f"""
+WITH d AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '{_WORD}')), 0)::BIGINT AS size,
+    md5('0:' || coalesce(doc_id::VARCHAR, 'null')) AS k FROM documents
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY size DESC, k, doc_id) - 1 AS place FROM d
+), w AS (
+  SELECT source, sum(size)::BIGINT AS source_size, 3.0::DOUBLE * sum(size)::DOUBLE AS cap,
+    [5.0, 2.0, 1.0][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INTEGER]::DOUBLE AS weight
+  FROM d GROUP BY source
+), o AS (
+  SELECT *, sum(source_size) OVER ()::DOUBLE AS total,
+    coalesce(sum(cap) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS cap_before,
+    sum(weight) OVER () - coalesce(sum(weight) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS open
+  FROM w
+), c AS (SELECT *, (total - cap_before) * weight > cap * open AS capped FROM o
+), t AS (
+  SELECT *, CASE WHEN capped THEN cap ELSE least(cap, (total - coalesce(sum(cap) FILTER (capped) OVER (), 0)) / sum(weight) FILTER (NOT capped) OVER () * weight) END AS target FROM c
+), e AS (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END AS expected FROM t
+), draws AS (
+  SELECT source, j, ('0x' || substr(md5('0:' || j || ':' || coalesce('s' || source, 'null')), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS u
+  FROM e, (SELECT unnest(range(16)) AS j)
+), tried AS (
+  SELECT r.source, j, u, any_value(target) AS target, sum((floor((place + 1) * expected + u) - floor(place * expected + u)) * size) AS taken
+  FROM r JOIN e ON r.source IS NOT DISTINCT FROM e.source JOIN draws ON r.source IS NOT DISTINCT FROM draws.source GROUP BY r.source, j, u
+), chosen AS (
+  SELECT source, u FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY abs(taken - target), j) AS n FROM tried) WHERE n = 1
+), f AS (
+  SELECT doc_id, size, source_size, target, r.source, (floor((place + 1) * expected + u) - floor(place * expected + u))::BIGINT AS copies
+  FROM r JOIN e ON r.source IS NOT DISTINCT FROM e.source JOIN chosen ON r.source IS NOT DISTINCT FROM chosen.source
+)
+SELECT doc_id, size, source_size, target, copies * size AS taken, source, copies FROM f
+"""
+
+_LM = f"""
+WITH {_WORDS}, p AS (
+  SELECT doc_id, i, w[i] AS a, CASE WHEN i > 1 THEN w[i - 1] END AS b, CASE WHEN i > 2 THEN w[i - 2] END AS c
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d)
+), n1 AS (SELECT a, count(*) AS n FROM p GROUP BY a),
+n2 AS (SELECT b, a, count(*) AS n FROM p WHERE b IS NOT NULL GROUP BY b, a),
+n3 AS (SELECT c, b, a, count(*) AS n FROM p WHERE c IS NOT NULL GROUP BY c, b, a),
+s AS (
+  SELECT doc_id, CASE
+    WHEN n3.n >= 2 THEN log10(n3.n / pair.n)
+    WHEN n2.n >= 2 THEN log10(n2.n / word.n) + (least(i, 3) - 2) * log10(0.4)
+    ELSE log10(n1.n / (SELECT count(*) FROM p)) + (least(i, 3) - 1) * log10(0.4) END AS score
+  FROM p JOIN n1 ON p.a = n1.a LEFT JOIN n2 ON p.b = n2.b AND p.a = n2.a LEFT JOIN n3 ON p.c = n3.c AND p.b = n3.b AND p.a = n3.a
+    LEFT JOIN n1 AS word ON p.b = word.a LEFT JOIN n2 AS pair ON p.c = pair.b AND p.b = pair.a
+)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, m.score FROM d
+LEFT JOIN (SELECT doc_id, round(avg(score), 6) AS score FROM s GROUP BY doc_id) AS m ON d.doc_id = m.doc_id
+"""
+
+_NEAR = f"""
+WITH RECURSIVE {_WORDS}, g AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(w) >= 4 THEN array_to_string(w[i:i + 3], ' ') ELSE array_to_string(w, ' ') END AS gram
+  FROM (SELECT doc_id, w, unnest(CASE WHEN len(w) >= 4 THEN range(1, len(w) - 2) WHEN len(w) > 0 THEN range(1, 2) ELSE [] END) AS i FROM d)
+), n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+pairs AS (SELECT x.doc_id AS x, y.doc_id AS y, count(*) AS c FROM g AS x JOIN g AS y ON x.gram = y.gram AND x.doc_id < y.doc_id GROUP BY ALL),
+links AS (
+  SELECT x, y FROM pairs JOIN n AS nx ON x = nx.doc_id JOIN n AS ny ON y = ny.doc_id WHERE 100 * c >= 80 * (nx.n + ny.n - c)
+), both_ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.a, l.y FROM reach AS r JOIN both_ways AS l ON r.b = l.x),
+component AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM d JOIN component ON d.doc_id = a LEFT JOIN n ON d.doc_id = n.doc_id
+"""
+
+ORACLE: dict[str, str] = {
+    "op2_topk": _TOP_K,
+    "op3_mixing": _MIX,
+    "op6_lm_scores": _LM,
+    "op10_near_duplicates": _NEAR,
+}

@@ -1,0 +1,27 @@
+"""Queries that SQL can express, against DuckDB on the smallest tables."""
+
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from callsight.llm.queries import ORACLE, QUERIES  # noqa: E402
+from oracle_check import compare, duck  # noqa: E402
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("name", list(ORACLE))
+def test_query_matches_sql(llm, name):
+    ok, n, _, _, detail = compare(llm, duck(SF), name, QUERIES[name], ORACLE[name], SF)
+    assert ok, detail
+    assert n > 0
+
+
+def test_registered():
+    import __spark_entry__ as entry
+
+    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in QUERIES}
+    assert set(QUERIES) | {"pipeline"} <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
