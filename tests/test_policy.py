@@ -29,3 +29,8 @@ def test_no_python_udfs():
 def test_no_machine_local_paths():
     # the only temp folder is the local-master fallback in session.py
     assert offenders(r"[\"']/tmp|tempfile", allow=("session.py",)) == []
+
+
+def test_nothing_imports_the_training_data_subpackage():
+    bad = offenders(r"callsight[./]llm|from callsight import llm|corpus_pipeline")
+    assert [p for p in bad if pathlib.Path(p).parent.name != "llm"] == []
