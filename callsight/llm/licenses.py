@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from callsight.llm.text import give_back
 from callsight.llm.tokens import texts_of
 
 # --- fixed values: phrases that count as base places, and their labels ---------------
@@ -210,6 +211,7 @@ def scan(text: str) -> tuple:
 @F.arrow_udf(RESULT)
 def _scan(col: pa.Array) -> pa.Array:
     rows = [scan(t) for part in texts_of(col) for t in part]
+    give_back()
     cols = zip(*rows) if rows else [[] for _ in _ARROW]
     return pa.StructArray.from_arrays([pa.array(list(c), f.type) for c, f in zip(cols, _ARROW)], fields=list(_ARROW))
 

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from callsight.llm.text import by_bytes
+from callsight.llm.text import by_bytes, give_back
 from callsight.llm.tokens import PART_BYTES, Tokenizer
 from callsight.session import materialize
 
@@ -141,6 +141,7 @@ def _first_pass(tokenizer: Tokenizer, size: int, windows: int, end_id: int, keep
                             rows.add(base + done, full)
                             done += 1
                 yield rows.take()
+            give_back()
         for left in space.rest():
             rows.add(None, left)
         yield rows.take()

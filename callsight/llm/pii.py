@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from callsight.llm.text import give_back
 from callsight.llm.tokens import texts_of
 
 KINDS = ("email", "ip", "card", "phone", "url", "account")
@@ -225,12 +226,14 @@ def _find(col: pa.Array) -> pa.Array:
             base = joined(spans, base_only=True)
             for c, v in zip(cols, (*counts, hashlib.sha256(base.encode()).hexdigest(), joined(spans))):
                 c.append(v)
+    give_back()
     return pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(cols, _ARROW)], fields=_ARROW)
 
 
 @F.arrow_udf(T.StringType())
 def _redact(col: pa.Array) -> pa.Array:
     out = [redacted(t, find_spans(t)) for part in texts_of(col) for t in part]
+    give_back()
     return pa.array(out, pa.string())
 
 

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from callsight.llm.text import CHUNK, IS_SPACE, U64, by_bytes, ngrams, string_buffers, words
+from callsight.llm.text import CHUNK, IS_SPACE, U64, by_bytes, give_back, ngrams, string_buffers, words
 
 #: labelled rows, and bytes of their texts, that the classifier is fitted on at most
 SAMPLE_ROWS, SAMPLE_BYTES = 4000, 24 << 20
@@ -92,7 +92,8 @@ class Model:
     a: float
     b: float
 
-    def probability(self, col: pa.Array) -> np.ndarray:
+    def raw(self, col: pa.Array) -> np.ndarray:
+        """Mean weight of a text's features in each family, summed over families."""
         out = np.empty(len(col))
         for lo, hi in by_bytes(col, PART_BYTES):
             data, offs = string_buffers(col.slice(lo, hi - lo))
@@ -102,10 +103,12 @@ class Model:
                 run = np.concatenate([[0.0], np.cumsum(self.weights[features], dtype=np.float64)])
                 total[:, family] += run[at[1:]] - run[at[:-1]]
                 counts[:, family] += np.diff(at)
-            raw = (total / np.maximum(counts, 1)).sum(axis=1)
-            out[lo:hi] = 1 / (1 + np.exp(-np.clip(self.a * raw + self.b, -500, 500)))
+            out[lo:hi] = (total / np.maximum(counts, 1)).sum(axis=1)
         return out
 
+    def probability(self, col: pa.Array) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(self.a * self.raw(col) + self.b, -500, 500)))
+
 
 def matrix(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Sparse rows (row, feature, value) of the relative frequencies."""
@@ -136,22 +139,23 @@ def fit(texts: list[str], labels: np.ndarray, epochs: int = 120, rate: float = 0
     y = labels.astype(np.float64)
     if any(len(set(y[part])) < 2 for part in (held, ~held)):
         return None
-    r, c, v = matrix(texts)
-    use = ~held[r]
-    fr, fc, fv = r[use], c[use], v[use]
+    own = y[~held]
+    r, c, v = matrix([t for t, h in zip(texts, held) if not h])
     w, grad2 = np.zeros(BUCKETS), np.full(BUCKETS, 1e-12)
-    n, good = int((~held).sum()), y[~held].mean()
+    n, good = len(own), own.mean()
     prior = float(np.log(good / (1 - good)))
     for _ in range(epochs):
-        z = np.bincount(fr, weights=w[fc] * fv, minlength=len(y)) + prior
-        err = np.where(held, 0.0, 1 / (1 + np.exp(-z)) - y) / n
-        g = np.bincount(fc, weights=err[fr] * fv, minlength=BUCKETS) + ridge * w
+        z = np.bincount(r, weights=w[c] * v, minlength=n) + prior
+        err = (1 / (1 + np.exp(-z)) - own) / n
+        g = np.bincount(c, weights=err[r] * v, minlength=BUCKETS) + ridge * w
         grad2 += g * g
         w -= rate * g / np.sqrt(grad2)
-    z = (np.bincount(r, weights=w[c] * v, minlength=len(y)))[held]
+    del r, c, v
+    weights = w.astype(np.float32)
+    z, y = Model(weights, 1.0, 0.0).raw(pa.array([t for t, h in zip(texts, held) if h], pa.large_string())), y[held]
     # Platt's targets are drawn in from 0 and 1, so that the fit stays finite
-    pos, neg = float(y[held].sum()), float((1 - y[held]).sum())
-    target = np.where(y[held] == 1, (pos + 1) / (pos + 2), 1 / (neg + 2))
+    pos, neg = float(y.sum()), float((1 - y).sum())
+    target = np.where(y == 1, (pos + 1) / (pos + 2), 1 / (neg + 2))
     a, b = 1.0, prior
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(a * z + b, -30, 30)))
@@ -164,7 +168,7 @@ def fit(texts: list[str], labels: np.ndarray, epochs: int = 120, rate: float = 0
         step_a, step_b = (hbb * ga - hab * gb) / det, (haa * gb - hab * ga) / det
         scale = min(1.0, 10.0 / max(abs(step_a), abs(step_b), 1e-9))
         a, b = a - scale * step_a, b - scale * step_b
-    return Model(w.astype(np.float32), float(a), float(b))
+    return Model(weights, float(a), float(b))
 
 
 FITTED = T.StructType([T.StructField("weights", T.BinaryType()), T.StructField("a", T.DoubleType()), T.StructField("b", T.DoubleType())])
@@ -180,6 +184,7 @@ def _fit_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts.append(t)
         labels.append(y)
     model = fit(texts, np.array(labels)) if texts else None
+    give_back()
     if model is not None:
         yield pa.record_batch([[model.weights.tobytes()], [model.a], [model.b]], names=["weights", "a", "b"])
 
@@ -259,6 +264,7 @@ def verdict(text: Column, model: Model | None, threshold: float = THRESHOLD) ->
         else:
             p = model.probability(col)
             probability, good = pa.array(p), p >= threshold
+        give_back()
         cols = [pa.array(m[f.name], pa.int64()) for f in RESULT.fields[:5]] + [pa.array(failed, pa.bool_()), probability, pa.array(good & ~failed, pa.bool_())]
         return pa.StructArray.from_arrays(cols, names=[f.name for f in RESULT.fields])
 

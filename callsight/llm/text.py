@@ -11,6 +11,7 @@ mixer, so two different words collide with a probability of about 2**-64.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,7 +35,7 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 0x20
 
 #: bytes of text hashed at once; the working arrays take about 40 times as much
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -53,6 +54,15 @@ def _power(base: int, n: int) -> np.ndarray:
     return have[:n]
 
 
+def give_back() -> None:
+    """Returns the memory of freed arrays to the system. Workers live on between tasks, and
+    what their allocators hold back counts against the executor."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser (splitmix64)."""
     x = x ^ (x >> U64(30))

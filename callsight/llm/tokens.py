@@ -33,12 +33,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from callsight.llm.text import IS_SPACE, PLACE, by_bytes, mix, string_buffers, strings, words
+from callsight.llm.text import IS_SPACE, PLACE, by_bytes, give_back, mix, string_buffers, strings, words
 
 #: bytes of text encoded at once
 PART_BYTES = 2 << 20
 #: fragments that a worker remembers (beyond, it starts anew); about 50 bytes each
-MEMORY = 1_500_000
+MEMORY = 500_000
 
 _SAFE = re.compile(r"(?<=\S)(?=[ \n])")
 #: punctuation behind a letter starts a new piece as well (see ``words``)
@@ -130,7 +130,7 @@ class Encoder:
         if not self.cuts:
             return [len(x) for x in self.encode([t or "" for t in texts.to_pylist()])]
         first, slot, plain = self._fragments(*string_buffers(texts))
-        run = np.concatenate([[0], np.cumsum(self.memory.length[slot])])
+        run = np.concatenate([[0], np.cumsum(self.memory.length[slot], dtype=np.int64)])
         out = (run[first[1:]] - run[first[:-1]]).tolist()
         for i, ids in self._other(texts, plain):
             out[i] = len(ids) // 4
@@ -142,7 +142,7 @@ class Encoder:
             return [_as_bytes(x) for x in self.encode([t or "" for t in texts.to_pylist()])]
         first, slot, plain = self._fragments(*string_buffers(texts))
         each = self.memory.length[slot]
-        run = np.concatenate([[0], np.cumsum(each)])
+        run = np.concatenate([[0], np.cumsum(each, dtype=np.int64)])
         token = self.memory.ids[np.arange(run[-1]) + np.repeat(self.memory.start[slot] - run[:-1], each)]
         cut = run[first]
         out = [token[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:])]
@@ -170,8 +170,8 @@ class Memory:
 
     def clear(self) -> None:
         self.keys = np.empty(0, np.uint64)
-        self.start = np.empty(0, np.int64)
-        self.length = np.empty(0, np.int64)
+        self.start = np.empty(0, np.int32)
+        self.length = np.empty(0, np.int32)
         self.odd = np.empty(0, bool)
         self.ids = np.empty(0, "<u4")
 
@@ -219,6 +219,7 @@ def token_count(text: Column, tokenizer: Tokenizer) -> Column:
         out: list[int] = []
         for lo, hi in by_bytes(col, PART_BYTES):
             out.extend(encoder.count(col.slice(lo, hi - lo)))
+        give_back()
         return pa.array(out, pa.int64())
 
     return lengths(text)
