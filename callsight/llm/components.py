@@ -31,7 +31,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         low = both.groupBy("x").agg(F.min("y").alias("low")).select(F.col("x").alias("n"), F.least("x", "low").alias("low"))
         # large star: greater neighbours of a node link to the least node around it
         large = both.join(low, F.col("x") == F.col("n")).filter(F.col("y") >= F.col("x"))
-        large = large.select(F.col("y").alias("x"), F.col("low").alias("y")).distinct()
+        large = large.select(F.col("y").alias("x"), F.col("low").alias("y"))
         # small star: a node and its smaller neighbours link to the least of them
         low = large.groupBy("x").agg(F.min("y").alias("low")).select(F.col("x").alias("n"), "low")
         small = large.join(low, F.col("x") == F.col("n")).select(F.col("y").alias("x"), F.col("low").alias("y"))

@@ -8,14 +8,18 @@
    longest prefixes; a region is a run that shares a prefix, and its depth is adapted: where
    a shallow prefix is shared by few classes it is taken as it is, where by many
    it is refined one min-hash at a time.
-3. *Candidates.* Inside a region sketches are compared. Round A takes a few trees and
-   links each class to the smallest id of those like it (a star, never all pairs). Round
-   B takes all trees and only pairs whose ends round A has left in different components,
-   so a large group of copies, one component by then, costs its strays alone.
-4. *Confirmation.* The texts of each candidate pair meet by (first id, part), in parts of at most
-   ``PART`` partners, and the pair becomes a link if ``100 * intersection >= percent *
-   union`` on the full sets.
-5. *Components* of the links give every row its class id.
+3. *Families.* Inside a region sketches are compared, and classes that may be alike are
+   joined to the smallest id among them: one edge per class, never all pairs. The
+   connected components of these edges, over all trees, are families. Classes of
+   different families are not alike.
+4. *Links.* A family's texts meet in one task if they are few. A larger family is cut into
+   chunks of bounded rows and shingles, and each chunk meets the family's pivots. A task
+   compares full sets, exactly: ``100 * intersection >= percent * union``; it returns a
+   spanning forest of the links it finds.
+5. Where a cut family is still in several components, the classes outside its largest
+   one meet all others, chunk by chunk. A large group of near copies hangs together by
+   its pivots, so it costs its strays alone.
+6. *Components* of the links give every row its class id.
 
 No bucket, partner or candidate is capped. What can be missed is what 16 trees and a
 sketch margin of more than four standard deviations miss: a pair of similarity 0.8 is in
@@ -35,21 +39,21 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from callsight.llm.components import components
-from callsight.llm.text import U64, by_bytes, mix, shingle_sets
+from callsight.llm.text import U64, by_bytes, give_back, mix, shingle_sets
 from callsight.session import materialize
 
 TREES, DEPTH, MIN_DEPTH = 16, 8, 2
-FIRST_TREES = 4
 #: regions up to this size are compared as they are
 REGION = 256
-#: of ``SKETCH`` sketch bytes so many must agree; at similarity 0.8, 51 with a deviation of 3.2
-SKETCH, LIKELY, POSSIBLE = 64, 44, 36
-PART = 256
+#: of ``SKETCH`` sketch bytes so many must agree; at similarity 0.8, 51 do, with a deviation of 3.2
+SKETCH, POSSIBLE = 64, 36
+#: classes, and shingles, in a chunk of a family; pivots that every chunk of one meets
+CHUNK, CHUNK_SHINGLES, PIVOTS = 1024, 1 << 20, 32
 TEXT_PART = 2 << 20
 #: rows of one tree held at once, unless one region has more
 HELD = 50_000
@@ -100,23 +104,22 @@ def _sketch_task(k: int):
                 prints = np.array(fp, dtype=np.uint64).reshape(-1, 2).view(np.int64)
                 cols = [part.column(0), pa.array(n, pa.int64()), pa.array(prints[:, 0]), pa.array(prints[:, 1]), pa.array(labels, pa.binary()), pa.array(sketches, pa.binary())]
                 yield pa.RecordBatch.from_arrays(cols, names=SKETCHED.names)
+            give_back()
 
     return run
 
 
-# --- candidates --------------------------------------------------------------------
+# --- families ----------------------------------------------------------------------
 
 
 class Forest:
-    """Sorted rows of a partition: tree, label, id, sketch and component."""
+    """Sorted rows of a partition: tree, label, id and sketch."""
 
     def __init__(self, batch: pa.Table) -> None:
         def flat(name: str, width: int, kind: str) -> np.ndarray:
-            col = batch[name].combine_chunks().cast(pa.large_binary())
-            return np.frombuffer(b"".join(col.to_pylist()), dtype=kind).reshape(len(batch), width)
+            return np.frombuffer(b"".join(batch[name].to_pylist()), dtype=kind).reshape(len(batch), width)
 
         self.ids = batch["id"].to_numpy()
-        self.group = batch["group"].to_numpy()
         self.sketch = flat("sketch", SKETCH, "u1")
         tree, label = batch["tree"].to_numpy(), flat("label", DEPTH, ">u2")
         same = (label[1:] == label[:-1]) & (tree[1:] == tree[:-1])[:, None]
@@ -129,128 +132,188 @@ class Forest:
         for i in np.flatnonzero(np.diff(cut) > 1):
             yield int(cut[i]), int(cut[i + 1])
 
-    def agree(self, row: int, rows: np.ndarray) -> np.ndarray:
-        return (self.sketch[rows] == self.sketch[row]).sum(axis=1)
+    def alike(self, row: int, rows: np.ndarray) -> np.ndarray:
+        return (self.sketch[rows] == self.sketch[row]).sum(axis=1) >= POSSIBLE
 
-    def stars(self, lo: int, hi: int, depth: int = MIN_DEPTH) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Round A: (first ids, partners) of the likely pairs in [lo, hi)."""
+    def edges(self, lo: int, hi: int, depth: int = MIN_DEPTH) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(smallest ids, others) of what may be alike in [lo, hi)."""
         for lo, hi in list(self.runs(lo, hi, depth)):
             if hi - lo > REGION and depth < DEPTH:
-                yield from self.stars(lo, hi, depth + 1)
+                yield from self.edges(lo, hi, depth + 1)
+                # neighbours that the deeper prefixes part
+                for i in lo + 1 + np.flatnonzero(self.shared[lo + 1 : hi] == depth):
+                    if self.alike(i, np.array([i - 1]))[0]:
+                        pair = np.sort(self.ids[i - 1 : i + 1])
+                        yield pair[:1], pair[1:]
                 continue
             rest = lo + np.argsort(self.ids[lo:hi], kind="stable")
             while len(rest) > 1:
-                hub, rest = rest[0], rest[1:]
-                like = self.agree(hub, rest) >= LIKELY
-                if like.any():
-                    yield np.full(like.sum(), self.ids[hub]), self.ids[rest[like]]
-                    rest = rest[~like]
-
-    def crossing(self, lo: int, hi: int, depth: int = MIN_DEPTH) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Round B: possible pairs in [lo, hi) between different components. Each row
-        outside the region's largest component meets all rows; the region is refined
-        while there are many such rows."""
-        for lo, hi in list(self.runs(lo, hi, depth)):
-            groups, inverse, sizes = np.unique(self.group[lo:hi], return_inverse=True, return_counts=True)
-            if len(groups) == 1:
-                continue
-            main = sizes.argmax()
-            strays = lo + np.flatnonzero(inverse != main)
-            if hi - lo > REGION and len(strays) > REGION and depth < DEPTH:
-                yield from self.crossing(lo, hi, depth + 1)
-                continue
-            rows = np.arange(lo, hi)
-            is_stray = inverse != main
-            for s in strays:
-                # two strays meet once
-                other = rows[(self.group[lo:hi] != self.group[s]) & ~(is_stray & (rows < s))]
-                other = other[self.agree(s, other) >= POSSIBLE]
-                if len(other):
-                    ids = self.ids[other]
-                    yield np.minimum(ids, self.ids[s]), np.maximum(ids, self.ids[s])
-
-
-def _candidate_task(crossing: bool):
-    def pairs(table: pa.Table) -> pa.RecordBatch:
-        forest = Forest(table)
-        found = list(forest.crossing(0, len(table)) if crossing else forest.stars(0, len(table))) if len(table) > 1 else []
+                first, todo, rest = self.ids[rest[0]], [rest[0]], rest[1:]
+                while todo and len(rest):
+                    like = self.alike(todo.pop(), rest)
+                    if like.any():
+                        found, rest = rest[like], rest[~like]
+                        yield np.full(len(found), first), self.ids[found]
+                        todo.extend(found)
+
+
+def _edge_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def edges(table: pa.Table) -> pa.RecordBatch:
+        found = list(Forest(table).edges(0, len(table))) if len(table) > 1 else []
         both = np.unique(np.stack([np.concatenate(x) for x in zip(*found)]), axis=1) if found else np.empty((2, 0), np.int64)
         return pa.RecordBatch.from_arrays([pa.array(both[0], pa.int64()), pa.array(both[1], pa.int64())], names=["a", "b"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: pa.Table | None = None
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            held = table if held is None else pa.concat_tables([held, table])
-            if len(held) < HELD:
-                continue
-            # all but the last region, which may go on in the next batch
-            key = pc.binary_slice(held["label"], 0, 2 * MIN_DEPTH)
-            last = pc.and_(pc.equal(key, key[-1]), pc.equal(held["tree"], held["tree"][-1]))
-            cut = len(held) - pc.sum(last).as_py()
-            if cut:
-                yield pairs(held.slice(0, cut))
-                held = held.slice(cut).combine_chunks()
-        if held is not None:
-            yield pairs(held)
-
-    return run
-
-
-def candidates(classes: DataFrame, trees: int, crossing: bool) -> DataFrame:
-    """Distinct candidate pairs ``a < b`` among rows (``id``, ``labels``, ``sketch``,
-    ``group``)."""
+    held: pa.Table | None = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        held = table if held is None else pa.concat_tables([held, table])
+        if len(held) < HELD:
+            continue
+        # all but the last region, which may go on in the next batch
+        key = pc.binary_slice(held["label"], 0, 2 * MIN_DEPTH)
+        last = pc.and_(pc.equal(key, key[-1]), pc.equal(held["tree"], held["tree"][-1]))
+        cut = len(held) - pc.sum(last).as_py()
+        if cut:
+            yield edges(held.slice(0, cut))
+            held = held.slice(cut).combine_chunks()
+    if held is not None:
+        yield edges(held)
+        give_back()
+
+
+def family_edges(classes: DataFrame) -> DataFrame:
+    """Edges ``a < b`` among rows (``id``, ``labels``, ``sketch``) whose components are the
+    families."""
     width = 2 * DEPTH
-    each = F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))
-    rows = classes.select("id", "group", "sketch", "labels", each.alias("tree"))
-    rows = rows.select("tree", F.expr(f"substring(labels, tree * {width} + 1, {width})").alias("label"), "id", "group", "sketch")
+    rows = classes.select("id", "sketch", "labels", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
+    rows = rows.select("tree", F.expr(f"substring(labels, tree * {width} + 1, {width})").alias("label"), "id", "sketch")
     order = ["tree", "label", "id"]
     rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    return rows.mapInArrow(_candidate_task(crossing), PAIR).distinct()
-
-
-# --- confirmation ------------------------------------------------------------------
+    return rows.mapInArrow(_edge_task, PAIR)
+
+
+# --- links -------------------------------------------------------------------------
+
+
+def intersections(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections of sorted distinct arrays. Values in few sets are
+    counted pair by pair, those in many as products of 0/1 matrices."""
+    n = len(sets)
+    out = np.zeros((n, n), dtype=np.float32)  # exact up to 2**24
+    owner = np.repeat(np.arange(n), [len(s) for s in sets])
+    _, column, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    degree = counts[column]
+    few = (degree > 1) & (degree <= 16)
+    row, col = owner[few], column[few]
+    for k in range(1, 16):
+        at = np.flatnonzero(col[k:] == col[:-k])
+        np.add.at(out, (row[at], row[at + k]), 1)
+    out += out.T
+    many = degree > 16
+    row, col = owner[many], np.unique(column[many], return_inverse=True)[1]
+    width = max(1, (4 << 20) // n)
+    for lo in range(0, int(col[-1]) + 1 if len(col) else 0, width):
+        a, b = np.searchsorted(col, [lo, lo + width])
+        part = np.zeros((n, width), dtype=np.float32)
+        part[row[a:b], col[a:b] - lo] = 1
+        out += part @ part.T
+    return out
+
+
+def links(sets: list[np.ndarray], percent: int) -> Iterator[tuple[int, int]]:
+    """A spanning forest of the pairs with ``100 * intersection >= percent * union``."""
+    size = np.array([len(s) for s in sets], dtype=np.float64)
+    both = intersections(sets).astype(np.float64)
+    alike = 100 * both >= percent * (size[:, None] + size[None, :] - both)
+    alike &= (size > 0)[:, None]
+    rest = np.arange(len(sets))
+    while len(rest) > 1:
+        todo, rest = [rest[0]], rest[1:]
+        while todo and len(rest):
+            p = todo.pop()
+            like = alike[p, rest]
+            found, rest = rest[like], rest[~like]
+            for q in found:
+                yield int(p), int(q)
+            todo.extend(found)
+
+
+def _link_task(k: int, percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, ids, sets = None, [], []
 
+        def found() -> Iterator[tuple[int, int]]:
+            if len(ids) > 1:
+                yield from ((ids[p], ids[q]) for p, q in links(sets, percent))
 
-def _confirm_task(k: int, percent: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, hubs = None, []  # the current (first id, part) and the sets of its first id
         for batch in batches:
-            for lo, hi in by_bytes(batch.column(4), TEXT_PART):
+            for lo, hi in by_bytes(batch.column(3), TEXT_PART):
                 piece = batch.slice(lo, hi - lo)
-                hub_ids, salts, docs = (piece.column(i).to_pylist() for i in range(3))
-                a, b = [], []
-                for hub, salt, doc, own in zip(hub_ids, salts, docs, shingle_sets(piece.column(4), k)):
-                    if part != (hub, salt):
-                        part, hubs = (hub, salt), []
-                    if doc == hub:
-                        hubs.append(own)
-                        continue
-                    for other in hubs:
-                        small, large = sorted((own, other), key=len)
-                        if not len(small) or 100 * len(small) < percent * len(large):
-                            continue
-                        at = np.searchsorted(large, small)
-                        both = int((large[np.minimum(at, len(large) - 1)] == small).sum())
-                        if 100 * both >= percent * (len(small) + len(large) - both):
-                            a.append(hub)
-                            b.append(doc)
-                            break
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+                pairs = []
+                keys = zip(*(piece.column(i).to_pylist() for i in range(3)))
+                for (family, part, doc), own in zip(keys, shingle_sets(piece.column(3), k)):
+                    if block != (family, part):
+                        pairs.extend(found())
+                        block, ids, sets = (family, part), [], []
+                    ids.append(doc)
+                    sets.append(own)
+                yield _pairs(pairs)
+            give_back()
+        yield _pairs(list(found()))
 
     return run
 
 
-def confirm(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """Those of ``pairs`` whose texts in ``docs`` (``doc_id``, ``text``) are alike. Each
-    text is sent once per pair it is second in, and once per part it is first in."""
-    parts = pairs.groupBy(F.col("a").alias("hub")).agg(F.ceil(F.count(F.lit(1)) / PART).alias("parts"))
-    dealt = pairs.join(parts, F.col("a") == F.col("hub")).select("hub", F.pmod(F.xxhash64("b"), "parts").alias("part"), F.col("b").alias("doc"))
-    firsts = parts.select("hub", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.col("hub").alias("doc"))
-    needed = dealt.unionByName(firsts)
-    rows = needed.join(docs, F.col("doc") == F.col("doc_id")).select("hub", "part", "doc", (F.col("doc") != F.col("hub")).alias("second"), "text")
-    rows = rows.repartition("hub", "part").sortWithinPartitions("hub", "part", "second", "doc")
-    return rows.mapInArrow(_confirm_task(k, percent), PAIR)
+def _pairs(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+    a, b = zip(*pairs) if pairs else ([], [])
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
+def find_links(dealt: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """Links inside the blocks of ``dealt`` (``family``, ``part``, ``id``; a row per block
+    that a class takes part in), from the full texts in ``docs``."""
+    rows = dealt.join(docs, F.col("id") == F.col("doc_id")).select("family", "part", "id", "text")
+    return rows.repartition("family", "part").sortWithinPartitions("family", "part", "id").mapInArrow(_link_task(k, percent), PAIR)
+
+
+def chunks(count: str, shingles: str) -> Column:
+    """Number of chunks for so many classes and shingles."""
+    return F.greatest(F.ceil(F.col(count) / CHUNK), F.ceil(F.col(shingles) / CHUNK_SHINGLES), F.lit(1))
+
+
+def first_blocks(members: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Every class in its chunk of its family; in families of several chunks, pivots
+    (about ``PIVOTS`` of them, by a hash) in each."""
+    rows = members.join(sizes, "family")
+    own = rows.select("family", F.pmod(F.xxhash64("id"), "chunks").alias("part"), "id")
+    pivots = rows.filter((F.col("chunks") > 1) & (F.pmod(F.xxhash64("id", F.lit(1)), "classes") < PIVOTS))
+    return own.union(pivots.select("family", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("part"), "id"))
+
+
+def second_blocks(members: DataFrame, sizes: DataFrame, found: DataFrame) -> DataFrame:
+    """Blocks for families of several chunks that are still in several components: chunks
+    of the classes outside the largest one, with each other and with chunks of it."""
+    rows = members.join(sizes.filter("chunks > 1").select("family"), "family").join(found, F.col("id") == F.col("node"), "left")
+    rows = materialize(rows.select("family", "id", "n_shingles", F.coalesce("component", "id").alias("component")), "cut")
+    parts = rows.groupBy("family", "component").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("s"))
+    main = F.max(F.struct("n", (-F.col("component")).alias("c"), "s")).alias("main")
+    of = parts.groupBy("family").agg(F.count(F.lit(1)).alias("components"), main, F.sum("n").alias("n"), F.sum("s").alias("s")).filter("components > 1")
+    of = of.select("family", (-F.col("main.c")).alias("main"), F.col("main.n").alias("mn"), F.col("main.s").alias("ms"), (F.col("n") - F.col("main.n")).alias("sn"), (F.col("s") - F.col("main.s")).alias("ss"))
+    of = of.select("family", "main", chunks("mn", "ms").alias("mains"), chunks("sn", "ss").alias("strays"))
+    rows = rows.join(of, "family")
+    upto = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
+    is_main = F.col("component") == F.col("main")
+    main = rows.filter(is_main).select("family", "id", "strays", "mains", F.pmod(F.xxhash64("id"), "mains").alias("m"), F.explode(upto("strays")).alias("s"))
+    stray = rows.filter(~is_main).select("family", "id", "strays", "mains", F.pmod(F.xxhash64("id"), "strays").alias("s"))
+    with_main = stray.select("family", "id", "strays", "mains", "s", F.explode(upto("mains")).alias("m")).unionByName(main)
+    with_stray = stray.select("family", "id", "strays", "mains", "s", F.explode(upto("strays")).alias("o"))
+    # parts are numbered: strays with mains first, then strays with strays
+    a = with_main.select("family", (F.col("s") * F.col("mains") + F.col("m")).alias("part"), "id")
+    pair = F.least("s", "o") * F.col("strays") + F.greatest("s", "o")
+    b = with_stray.select("family", (F.col("strays") * F.col("mains") + pair).alias("part"), "id")
+    return a.union(b)
 
 
 # --- operator ----------------------------------------------------------------------
@@ -267,13 +330,19 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     classes = linked.groupBy(*key).agg(F.min(F.struct("doc_id", "labels", "sketch")).alias("first"), F.count(F.lit(1)).alias("members"))
     classes = materialize(classes.select(*key, "members", F.col("first.doc_id").alias("id"), "first.labels", "first.sketch"), "classes")
 
-    pairs = materialize(candidates(classes.withColumn("group", F.col("id")), FIRST_TREES, crossing=False), "pairs")
-    links = materialize(confirm(pairs, docs, k, percent), "confirmed")
-    found = materialize(components(links), "components")
-    grouped = classes.join(found, F.col("id") == F.col("node"), "left").withColumn("group", F.coalesce("component", "id"))
-    pairs = materialize(candidates(grouped, TREES, crossing=True), "pairs")
-    more = materialize(confirm(pairs, docs, k, percent), "confirmed")
-    if not more.isEmpty():
+    families = components(family_edges(classes))
+    members = classes.select("id", "n_shingles").join(families, F.col("id") == F.col("node"))
+    members = materialize(members.select(F.col("component").alias("family"), "id", "n_shingles"), "families")
+    sizes = members.groupBy("family").agg(F.count(F.lit(1)).alias("classes"), F.sum("n_shingles").alias("s"))
+    sizes = materialize(sizes.select("family", "classes", chunks("classes", "s").alias("chunks")), "sizes")
+
+    # a good part of all texts is in some family: a merge join, whatever the size
+    dealt = first_blocks(members, sizes).distinct().hint("merge")
+    link = materialize(find_links(dealt, docs, k, percent), "links")
+    found = materialize(components(link), "components")
+    blocks = materialize(second_blocks(members, sizes, found), "blocks")
+    if not blocks.isEmpty():
+        more = find_links(blocks.distinct(), docs, k, percent)
         found = materialize(components(more.union(found.select("component", "node"))), "components")
 
     joined = classes.join(found, F.col("id") == F.col("node"), "left").withColumn("component_id", F.coalesce("component", "id"))

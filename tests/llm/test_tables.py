@@ -135,6 +135,31 @@ def test_near_duplicates(llm, k):
     assert all(r["kept"] == (r["component_id"] == i) for i, r in got.items())
 
 
+def test_near_duplicates_in_cut_families(llm, monkeypatch):
+    """Families of several chunks: pivots, then strays against all others."""
+    for name, value in (("CHUNK", 12), ("CHUNK_SHINGLES", 4000), ("PIVOTS", 1)):
+        monkeypatch.setattr(dedup, name, value)
+    r = random.Random(9)
+    fresh = lambda n: [f"w{r.randint(0, 10**6)}" for _ in range(n)]
+    base, rows = fresh(150), copies()
+    for i in range(120):  # a loose family: similarity of 0.55 to 0.85 to each other
+        w = list(base)
+        for _ in range(r.randint(2, 6)):
+            w[r.randint(0, 149)] = fresh(1)[0]
+        rows.append((10_000 + i, " ".join(w)))
+    got = {x["doc_id"]: (x["n_shingles"], x["component_id"]) for x in dedup.near_duplicates(llm.createDataFrame(rows, DOCS).repartition(6), k=4).collect()}
+    assert got == brute.near_duplicates(rows, 4, 80)
+
+
+def test_intersections():
+    r = random.Random(1)
+    sets = [np.unique(np.array([r.randint(0, 60) for _ in range(r.randint(0, 40))], dtype=np.uint64)) for _ in range(60)]
+    both = dedup.intersections(sets)
+    for i in range(60):
+        for j in range(60):
+            assert i == j or both[i, j] == len(set(sets[i].tolist()) & set(sets[j].tolist()))
+
+
 def test_near_duplicates_odd_rows(llm, odd_docs):
     df = llm.createDataFrame([(*r, 1, 2) for r in odd_docs], DOCS + ", component_id int, kept int")
     got = dedup.near_duplicates(df, k=4).collect()
