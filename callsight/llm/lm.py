@@ -38,11 +38,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from callsight.llm.text import U64, ngrams, string_buffers, words
+from callsight.llm.text import U64, give_back, ngrams, string_buffers, words
 from callsight.session import materialize
 
 #: bytes of text in a block, and of the corpus per range of the count tables
-BLOCK_BYTES, RANGE_BYTES = 8 << 20, 24 << 20
+BLOCK_BYTES, RANGE_BYTES = 4 << 20, 24 << 20
 
 ASKED = T.StructType([T.StructField("range", T.LongType()), T.StructField("block", T.LongType()), T.StructField("n", T.IntegerType()), T.StructField("grams", T.BinaryType()), T.StructField("counts", T.BinaryType())])
 ANSWER = T.StructType([T.StructField("block", T.LongType()), T.StructField("range", T.LongType()), T.StructField("n", T.IntegerType()), T.StructField("counts", T.BinaryType())])
@@ -163,7 +163,9 @@ def score(docs: DataFrame, order: int = 3, min_count: int = 2, backoff: float =
 
     def ask(n: int):
         def run(key: tuple, mine: pa.Table, known: pa.Table) -> pa.Table:
-            return pa.Table.from_batches(Block(mine["text"], known, min_count, bits).ask(n, key[0].as_py()))
+            asked = pa.Table.from_batches(Block(mine["text"], known, min_count, bits).ask(n, key[0].as_py()))
+            give_back()
+            return asked
 
         return run
 
