@@ -4,10 +4,11 @@
    fingerprint of the set and ``TREES * DEPTH`` min-hashes. Texts with equal sets form a
    class under its smallest id; only one row per class goes on.
 2. *Forest.* A tree is an order of the classes by ``DEPTH`` min-hashes, one after
-   another. Classes are dealt by ranges of that order and sorted. Neighbours share the
-   longest prefixes; a region is a run that shares a prefix, and its depth is adapted: where
-   a shallow prefix is shared by few classes it is taken as it is, where by many
-   it is refined one min-hash at a time.
+   another. Classes are dealt by ranges of that order and sorted; classes with equal
+   labels are never dealt to different ranges. A region is a run that shares a prefix, and
+   its depth is adapted: where a shallow prefix is shared by few classes it is taken as it
+   is, where by many it is refined one min-hash at a time, down to ``DEPTH``. Regions of
+   that depth are compared whole, whatever their size.
 3. *Families.* Inside a region sketches are compared, and classes that may be alike are
    joined to the smallest id among them: one edge per class, never all pairs. The
    connected components of these edges, over all trees, are families. Classes of
@@ -21,9 +22,10 @@
    its pivots, so it costs its strays alone.
 6. *Components* of the links give every row its class id.
 
-No bucket, partner or candidate is capped. What can be missed is what 16 trees and a
-sketch margin of more than four standard deviations miss: a pair of similarity 0.8 is in
-one region of depth 2 in none of 16 trees with a probability of 1e-7.
+No bucket, partner or candidate is capped. What can be missed is what the trees and the
+sketch margin miss. Classes with equal labels in some tree are always compared, in however
+crowded a region: a pair of similarity 0.8 has equal labels in none of 32 trees with a
+probability of ``(1 - 0.8**4)**32``, 5e-8, and too few equal sketch bytes with one of 5e-6.
 
 Defined cases: texts without words (null, empty or blank) are empty sets, linked with
 nothing; a text with fewer words than a shingle has its whole sequence as one; rows with
@@ -47,8 +49,9 @@ from callsight.llm.components import components
 from callsight.llm.text import U64, by_bytes, give_back, mix, shingle_sets
 from callsight.session import materialize
 
-TREES, DEPTH, MIN_DEPTH = 16, 8, 2
-#: regions up to this size are compared as they are
+#: trees are many and shallow, as only a shared label of full depth is sure to be compared
+TREES, DEPTH, MIN_DEPTH = 32, 4, 2
+#: regions up to this size are compared as they are, larger ones in full depth
 REGION = 256
 #: of ``SKETCH`` sketch bytes so many must agree; at similarity 0.8, 51 do, with a deviation of 3.2
 SKETCH, POSSIBLE = 64, 36
@@ -187,8 +190,8 @@ def family_edges(classes: DataFrame) -> DataFrame:
     width = 2 * DEPTH
     rows = classes.select("id", "sketch", "labels", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
     rows = rows.select("tree", F.expr(f"substring(labels, tree * {width} + 1, {width})").alias("label"), "id", "sketch")
-    order = ["tree", "label", "id"]
-    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    # without the id: a range must not end between equal labels
+    rows = rows.repartitionByRange("tree", "label").sortWithinPartitions("tree", "label", "id")
     return rows.mapInArrow(_edge_task, PAIR)
 
 

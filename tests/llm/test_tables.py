@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -151,6 +152,59 @@ def test_near_duplicates_in_cut_families(llm, monkeypatch):
     assert got == brute.near_duplicates(rows, 4, 80)
 
 
+def crowded(pairs, seed=6):
+    """Classes that take their shingles from one passage, little more than half of it each.
+    They come in pairs of a similarity of little more than 0.8; strangers have about 0.38."""
+    r = np.random.default_rng(seed)
+    passage, sets = r.integers(0, 2**63, 240, dtype=np.uint64), []
+    for _ in range(pairs):
+        own = r.permutation(passage)[:132]
+        sets += [own[:120], np.concatenate([own[:107], own[120:]])]
+    assert all(100 * len(np.intersect1d(a, b)) >= 80 * len(np.union1d(a, b)) for a, b in zip(sets[::2], sets[1::2]))
+    hashes = [dedup.min_hashes(s) for s in sets]
+    rows = [(i, h.tobytes(), h.astype(np.uint8)[dedup._SKETCHED].tobytes()) for i, h in enumerate(hashes)]
+    return rows, [(i, i + 1) for i in range(0, len(sets), 2)]
+
+
+def parted(edges, linked):
+    """Pairs whose ends are in different components of the edges."""
+    parent = {}
+
+    def top(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        x, y = sorted((top(int(a)), top(int(b))))
+        parent[y] = x
+    return [(a, b) for a, b in linked if top(a) != top(b)]
+
+
+def test_crowded_regions_keep_their_links(monkeypatch):
+    monkeypatch.setattr(dedup, "REGION", 8)
+    rows, linked = crowded(1500)
+    width = 2 * dedup.DEPTH
+    dealt = sorted((t, labels[t * width : (t + 1) * width], i, sketch) for i, labels, sketch in rows for t in range(dedup.TREES))
+    forest = dedup.Forest(pa.table(dict(zip(("tree", "label", "id", "sketch"), map(list, zip(*dealt))))))
+    edges = [e for a, b in forest.edges(0, len(dealt)) for e in zip(a, b)]
+    assert parted(edges, linked) == []
+
+
+def test_ranges_keep_equal_labels_together(llm):
+    """More ranges than rows: only equal labels are together."""
+    rows, linked = crowded(4)
+    had = {k: llm.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        llm.conf.set("spark.sql.shuffle.partitions", "300")
+        llm.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        edges = dedup.family_edges(llm.createDataFrame(rows, "id long, labels binary, sketch binary")).collect()
+    finally:
+        for k, v in had.items():
+            llm.conf.set(k, v)
+    assert parted(edges, linked) == []
+
+
 def test_intersections():
     r = random.Random(1)
     sets = [np.unique(np.array([r.randint(0, 60) for _ in range(r.randint(0, 40))], dtype=np.uint64)) for _ in range(60)]
