@@ -7,9 +7,11 @@ is one gather and one sum per family, done in Arrow batches. It is fitted on lab
 quality rows and calibrated (Platt) on labelled rows kept apart, so its score is a
 probability, which is held against a fixed threshold.
 
-Fitting takes a bounded sample of the labelled rows: ``SAMPLE_ROWS`` rows, the first by a
-hash of their id, and of those as many as fit into ``SAMPLE_BYTES``. One task fits the
-weights, which have a fixed size; everything else covers all rows.
+Fitting takes a bounded sample of the labelled rows whose texts have at most
+``SAMPLE_TEXT`` bytes: ``SAMPLE_ROWS`` rows, the first by a hash of their id, and of those
+as many as fit into ``SAMPLE_BYTES``. As longer texts are left out, none of them can take
+the place of the others. Sizes are summed before any text moves. One task fits the weights,
+which have a fixed size; everything else covers all rows.
 
 Defined cases: a null text has no words (and fails the rules); without labelled rows of
 both classes there is no classifier, and the rules alone decide; null labels are not
@@ -24,7 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,6 +34,8 @@ from callsight.llm.text import CHUNK, IS_SPACE, U64, by_bytes, give_back, ngrams
 
 #: labelled rows, and bytes of their texts, that the classifier is fitted on at most
 SAMPLE_ROWS, SAMPLE_BYTES = 4000, 24 << 20
+#: bytes of a text that may be in the sample
+SAMPLE_TEXT = 256 << 10
 BUCKET_BITS = 15
 BUCKETS = 1 << BUCKET_BITS
 PART_BYTES = 2 << 20
@@ -176,13 +180,8 @@ FITTED = T.StructType([T.StructField("weights", T.BinaryType()), T.StructField("
 
 def _fit_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     rows = [tuple(r.values()) for b in batches for r in b.to_pylist()]
-    texts, labels, size = [], [], 0
-    for _, y, t in sorted((place, label, text) for place, text, label in rows):
-        size += len(t)
-        if size > SAMPLE_BYTES:
-            break
-        texts.append(t)
-        labels.append(y)
+    rows = sorted((place, label, text) for place, text, label in rows)
+    texts, labels = [t for _, _, t in rows], [y for _, y, _ in rows]
     model = fit(texts, np.array(labels)) if texts else None
     give_back()
     if model is not None:
@@ -191,13 +190,15 @@ def _fit_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "quality") -> Model | None:
     """Fits the classifier on a bounded sample of the labelled rows of ``docs``."""
-    sample = (
-        labels.select(F.col(id_col), F.col(label).cast("int").alias("__label"))
-        .filter(F.col(id_col).isNotNull() & F.col("__label").isin(0, 1))
-        .orderBy(F.xxhash64(id_col), id_col, "__label")
-        .limit(SAMPLE_ROWS)
-    )
-    rows = docs.select(F.col(id_col), F.col(text).alias("__text")).filter(F.col("__text").isNotNull()).join(sample, id_col)
+    labelled = labels.select(F.col(id_col), F.col(label).cast("int").alias("__label")).filter(F.col(id_col).isNotNull() & F.col("__label").isin(0, 1))
+    texts = docs.select(F.col(id_col), F.col(text).alias("__text")).filter(F.octet_length("__text") <= SAMPLE_TEXT)
+    sizes = texts.select(id_col, F.octet_length("__text").cast("long").alias("__size")).join(labelled.select(id_col), id_col, "left_semi")
+    sizes = sizes.groupBy(id_col).agg(F.sum("__size").alias("__size"))
+    order = [F.xxhash64(id_col), F.col(id_col), F.col("__label")]
+    sample = labelled.join(sizes, id_col).orderBy(*order).limit(SAMPLE_ROWS)
+    upto = F.sum("__size").over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    sample = sample.withColumn("__upto", upto).filter(F.col("__upto") <= SAMPLE_BYTES).select(id_col, "__label")
+    rows = texts.join(sample, id_col)
     rows = rows.select(F.xxhash64(id_col).alias("place"), F.col("__text").alias("text"), F.col("__label").alias("label"))
     row = rows.repartition(1).mapInArrow(_fit_task, FITTED).first()
     return None if row is None else Model(np.frombuffer(row["weights"], np.float32), row["a"], row["b"])

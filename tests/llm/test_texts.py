@@ -7,6 +7,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -280,6 +281,19 @@ def test_classifier_held_out(llm):
     assert np.allclose(one, p[:20], atol=1e-9)
 
 
+def test_one_long_text_leaves_the_classifier_on(llm, tmp_dir):
+    """A labelled text of more than the whole sample may have, first in the sample's order."""
+    first = llm.range(80).orderBy(F.xxhash64("id")).first()[0]
+    short = ("a calm and useful text about rivers", "buy buy now cheap pills")
+    texts = ["long " * (quality.SAMPLE_BYTES // 5 + 1) if i == first else short[i % 2] for i in range(80)]
+    pq.write_table(pa.table({"doc_id": range(80), "text": texts}), f"{tmp_dir}/docs.parquet")
+    labels = llm.createDataFrame([(i, 1 - i % 2) for i in range(80)], "doc_id long, quality int")
+    model = quality.train(llm.read.parquet(f"{tmp_dir}/docs.parquet"), labels)
+    assert model is not None
+    good, bad = model.raw(pa.array(short))
+    assert good > bad
+
+
 def test_quality_query(llm, docs, odd_docs):
     labels = "doc_id long, quality int"
     df = llm.createDataFrame([(*r, 1) for r in odd_docs], DOCS + ", kept int")
