@@ -5,7 +5,8 @@
    is the message's own text; a line that ends in ``wrote:`` right in front of a quote
    belongs to the quote.
 2. *Hash.* A passage is normalised (NFKC, case folded, white space collapsed) and hashed,
-   as a whole and by sentence, so re-wrapped and partial quotes are found again.
+   as a whole and by sentence, and so is each of its lines, so re-wrapped and partial
+   quotes are found again. A quote's longest match inside its level counts.
 3. *Link.* Hashes of quoted passages are joined to those of own text: to the first
    message of the same conversation that has the passage, if that is earlier, else to the
    first message (by conversation and turn) of another one. A message replies to the
@@ -43,20 +44,22 @@ from callsight.session import materialize
 _MARKS = re.compile(r"[ \t]*(?:>[ \t]?)+")
 _WROTE = re.compile(r"\bwrote:\s*$", re.I)
 _SENTENCE = re.compile(r"(?<=[.!?…。])\s+")
-#: a sentence is hashed on its own from this many characters on
-MIN_SENTENCE = 12
+QUOTE = T.StructType([T.StructField("level", T.IntegerType()), T.StructField("hash", T.LongType()), T.StructField("size", T.IntegerType())])
 
 PARSED = T.StructType(
     [
         T.StructField("body", T.StringType()),
-        T.StructField("quotes", T.ArrayType(T.StructType([T.StructField("level", T.IntegerType()), T.StructField("hash", T.LongType()), T.StructField("size", T.IntegerType())]))),
+        T.StructField("quotes", T.ArrayType(QUOTE)),
         T.StructField("own", T.ArrayType(T.LongType())),
+        T.StructField("lines", T.ArrayType(QUOTE)),
     ]
 )
+_QUOTES = pa.list_(pa.struct([("level", pa.int32()), ("hash", pa.int64()), ("size", pa.int32())]))
 _ARROW = [
     pa.field("body", pa.string()),
-    pa.field("quotes", pa.list_(pa.struct([("level", pa.int32()), ("hash", pa.int64()), ("size", pa.int32())]))),
+    pa.field("quotes", _QUOTES),
     pa.field("own", pa.list_(pa.int64())),
+    pa.field("lines", _QUOTES),
 ]
 RESULT = ("quoted_conv_id", "quoted_turn", "thread_turn", "depth", "n_quotes", "position")
 
@@ -90,12 +93,20 @@ def normal(text: str) -> str:
     return " ".join(unicodedata.normalize("NFKC", text).casefold().split())
 
 
+def digest(s: str) -> int:
+    return int.from_bytes(hashlib.blake2b(s.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+
+
 def hashes(passage: str) -> Iterator[tuple[int, int]]:
     """(hash, characters) of a passage and of its sentences."""
     whole = normal(passage)
-    parts = {whole, *(s for s in _SENTENCE.split(whole) if len(s) >= MIN_SENTENCE)}
-    for s in sorted(parts):
-        yield int.from_bytes(hashlib.blake2b(s.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True), len(s)
+    for s in sorted({whole, *_SENTENCE.split(whole)} - {""}):
+        yield digest(s), len(s)
+
+
+def line_hashes(lines: list[tuple[int, str]]) -> set[tuple[int, int, int]]:
+    """(level, hash, characters) of every line that isn't blank."""
+    return {(level, digest(s), len(s)) for level, line in lines if (s := normal(line))}
 
 
 def parse(text: str) -> tuple[str, list[dict], list[int]]:
@@ -107,14 +118,20 @@ def parse(text: str) -> tuple[str, list[dict], list[int]]:
                 quotes[level, h] = size
             else:
                 own.add(h)
+    own.update(h for level, h, _ in line_hashes(lines) if not level)
     body = re.sub(r"\n{3,}", "\n\n", "\n".join(t for level, t in lines if not level)).strip()
     return body, [{"level": level, "hash": h, "size": n} for (level, h), n in sorted(quotes.items())], sorted(own)
 
 
+def quoted_lines(text: str) -> list[dict]:
+    """The lines of quotes, like the quotes of :func:`parse`."""
+    return [{"level": level, "hash": h, "size": n} for level, h, n in sorted(line_hashes(split_levels(text))) if level]
+
+
 @F.arrow_udf(PARSED)
 def _parse(col: pa.Array) -> pa.Array:
-    rows = [parse(t) for part in texts_of(col) for t in part]
-    cols = list(zip(*rows)) if rows else [[], [], []]
+    rows = [(*parse(t), quoted_lines(t)) for part in texts_of(col) for t in part]
+    cols = list(zip(*rows)) if rows else [[], [], [], []]
     return pa.StructArray.from_arrays([pa.array(list(c), f.type) for c, f in zip(cols, _ARROW)], fields=_ARROW)
 
 
@@ -171,8 +188,8 @@ def link_quotes(messages: DataFrame, text: str = "text") -> DataFrame:
     keep = [c for c in messages.columns if c not in RESULT]
     parsed = messages.select(*keep, _parse(F.col(text)).alias("__parsed"))
     without = [F.col("__parsed.body").alias(c) if c == text else F.col(c) for c in keep]
-    parsed = materialize(parsed.select(*without, F.col("__parsed.quotes").alias("__quotes"), F.col("__parsed.own").alias("__own")), "parsed")
-    links = materialize(quotation_links(parsed.select("conv_id", "turn", F.col("__quotes").alias("quotes"), F.col("__own").alias("own"))), "links")
+    parsed = materialize(parsed.select(*without, F.col("__parsed.quotes").alias("__quotes"), F.col("__parsed.own").alias("__own"), F.col("__parsed.lines").alias("__lines")), "parsed")
+    links = materialize(quotation_links(parsed.select("conv_id", "turn", F.concat("__quotes", "__lines").alias("quotes"), F.col("__own").alias("own"))), "links")
     out = parsed.select(*keep, F.size("__quotes").cast("long").alias("n_quotes"))
     out = out.join(links, ["conv_id", "turn"], "left").join(threads(links), ["conv_id", "turn"], "left")
     out = out.withColumn("thread_turn", F.coalesce("thread_turn", "turn")).withColumn("depth", F.coalesce("depth", F.lit(0).cast("long")))

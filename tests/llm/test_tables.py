@@ -342,6 +342,28 @@ def test_links_and_order(llm):
     assert chat.link_quotes(llm.createDataFrame([], CHAT)).count() == 0
 
 
+def test_short_and_partial_quotes(llm):
+    """Against a brute-force linker: a reply quotes a short sentence, some lines of a
+    wrapped paragraph, a whole passage, or what nobody wrote."""
+    r, rows, want = random.Random(4), [], {}
+    word = lambda: f"w{r.randint(0, 10**9)}"
+    for conv in range(30):
+        said = []
+        for turn in range(0, 12, 2):
+            short, lines = f"{word()[:9]}.", [" ".join(word() for _ in range(6)) for _ in range(4)]
+            said.append((short, lines))
+            rows.append((conv, turn, "user", f"{short} Then more was said here.\n\n" + "\n".join(lines)))
+            to = r.randrange(len(said))
+            kind = r.randrange(4)
+            quote = ([said[to][0]], said[to][1][1:3], said[to][1], [word()])[kind]
+            rows.append((conv, turn + 1, "bot", "\n".join(f"> {x}" for x in quote) + f"\n{word()}"))
+            # the first message of the conversation whose own text holds all quoted lines
+            have = [t for c, t, _, text in rows if c == conv and t <= turn and all(x in text for x in quote) and t % 2 == 0]
+            want[conv, turn + 1] = min(have, default=None)
+    got = {(x["conv_id"], x["turn"]): x["quoted_turn"] for x in chat.link_quotes(llm.createDataFrame(rows, CHAT).repartition(4)).collect()}
+    assert {k: got[k] for k in want} == want and sum(t is not None for t in want.values()) > 100
+
+
 def test_hot_passage_makes_no_pairs(llm):
     rows = [(1, t, "u", "the same words again and again" if t % 2 else "> the same words again and again\nyes") for t in range(1000)]
     got = chat.link_quotes(llm.createDataFrame(rows, CHAT)).collect()
