@@ -5,13 +5,15 @@ A text is lower-cased in A-Z and cut into words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-
 The automaton runs once over the words joined by single spaces, so a phrase is found
 wherever its words stand consecutively, whatever punctuation or line breaks separate
 them; overlapping places all count. Where the words of the tag ``SPDX-License-Identifier``
-stand, the raw text behind them, up to the end of the line, is parsed: identifiers,
-``AND``, ``OR``, ``WITH`` and parentheses (``WITH`` binds most, ``OR`` least). An
+stand, the raw text behind them is parsed, up to the end of the line, or further while a
+parenthesis or an operator is open: identifiers, ``AND``, ``OR``, ``WITH`` and parentheses
+(``WITH`` binds most, ``OR`` least). Of a malformed expression the front part counts,
+without operators and parentheses left open at its end, and with those around it closed. An
 expression is turned to postfix order and evaluated twice: for the labels it names, and
 for whether some choice of it uses permissive licences only.
 
 Defined cases: a null text counts as empty (no words, no places, null positions, empty
-label strings, score 0); an expression that doesn't parse gives no labels; repeated rows
+label strings, score 0); an expression without a front part gives no labels; repeated rows
 are scanned each; an empty table gives an empty result; result columns replace columns
 of the same name. Texts are scanned whole.
 """
@@ -121,6 +123,31 @@ def to_postfix(expression: str) -> list[tuple[str, str]] | None:
     return out
 
 
+def front(text: str, at: int) -> list[tuple[str, str]] | None:
+    """The longest front part of an expression that starts at this place, in postfix order;
+    None if there is none. A line's end ends it where nothing is open."""
+    taken: list[str] = []
+    deep, operand = 0, False
+    for m in _TOKEN.finditer(text, at):
+        if "\n" in text[at : m.start()] and (operand and not deep or not taken):
+            break
+        t, at = m.group(), m.end()
+        if t.lower() in _STRENGTH or t == ")":
+            if not operand or t == ")" and not deep:
+                break
+            operand = t == ")"
+            deep -= operand
+        elif operand:
+            break
+        else:
+            operand = t != "("
+            deep += not operand
+        taken.append(t)
+    while taken and (taken[-1] == "(" or taken[-1].lower() in _STRENGTH):
+        deep -= taken.pop() == "("
+    return to_postfix(" ".join(taken + [")"] * deep))
+
+
 def family(identifier: str) -> str:
     """Label of a licence identifier: the part before its version (``gpl-3.0-only``: gpl)."""
     return identifier if identifier in PERMISSIVE else identifier.split("-")[0].rstrip("+")
@@ -166,8 +193,7 @@ def expressions_at(text: str, word_ends: set[int]) -> Iterator[list[tuple[str, s
     """Parsed expressions behind the words with these numbers."""
     for k, m in enumerate(_WORD.finditer(text)):
         if k in word_ends:
-            line = text[m.end() :].lstrip(" \t:=\"'").partition("\n")[0]
-            if (postfix := to_postfix(line)) is not None:
+            if (postfix := front(text, m.end())) is not None:
                 yield postfix
 
 

@@ -65,6 +65,23 @@ def test_expressions():
         assert ev(bad) is None
 
 
+@pytest.mark.parametrize(
+    "text, shown, permissive",
+    [
+        ("# SPDX-License-Identifier: (MIT OR\n# Apache-2.0)\nimport os", "(mit or apache-2.0)", True),
+        ("SPDX-License-Identifier: MIT AND\n  GPL-2.0-only\nMore", "(mit and gpl-2.0-only)", False),
+        ("SPDX-License-Identifier: MIT and", "mit", True),
+        ("SPDX-License-Identifier: (MIT OR Apache-2.0", "(mit or apache-2.0)", True),
+        ("SPDX-License-Identifier: MIT AND (GPL-2.0 OR", "(mit and gpl-2.0)", False),
+        ("SPDX-License-Identifier: MIT\nOR else", "mit", True),
+        ("SPDX-License-Identifier:\nMIT", None, None),
+        ("SPDX-License-Identifier: AND MIT", None, None),
+    ],
+)
+def test_open_expressions(text, shown, permissive):
+    assert licenses.scan(text)[7:] == ([] if shown is None else [shown], permissive)
+
+
 def test_license_base_random():
     r = random.Random(5)
     parts = ["MIT", "mit", "license", "License", "apache", "general", "public", " ", "_", "-", "é", "1", "\x80", "\x7f", "gpl", "{", "\n"]
