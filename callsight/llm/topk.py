@@ -21,8 +21,10 @@ doubles where these are exact. A task holds one candidate block and up to ``PART
 blocks of bounded bytes. Ties go to the smaller id, so equal vectors in any number are
 no special case.
 
-Defined cases: vectors that are null or empty-handed (null or non-finite components, or
-components whose integer doesn't fit 31 bits) and rows without an id take no part;
+Defined cases: vectors that are null or hold null or non-finite components and rows
+without an id take no part; vectors with components beyond 31 bits are kept as doubles, in
+blocks of their own; components beyond 500 bits count as 2**500, and a score beyond 63 bits
+is given as the nearest such integer;
 vectors meet those of their own length only; rows with an id in common are one candidate
 with the best of their scores, and never candidates of their own id; an empty table
 gives an empty result; other columns are not read.
@@ -42,13 +44,15 @@ from pyspark.sql import types as T
 
 from callsight.session import materialize
 
-#: components in a packed candidate block and query block (4 bytes each)
+#: components in a packed candidate block and query block (4 bytes each, 8 in wide vectors)
 BLOCK, QUERY_BLOCK = 1 << 19, 1 << 16
 #: query blocks that meet a candidate block in one group
 PART = 64
 #: candidates between two updates of the thresholds
 STEP = 512
 MARGIN = 1e-9
+#: the largest component, and the largest score
+LARGEST, MOST = 2.0**500, 2**63 - 1
 
 VECTOR = T.StructType([T.StructField("id", T.LongType()), T.StructField("dim", T.IntegerType()), T.StructField("ints", T.BinaryType()), T.StructField("norm", T.DoubleType())])
 MOMENT = T.StructType([T.StructField("dim", T.IntegerType()), T.StructField("moment", T.BinaryType())])
@@ -77,24 +81,26 @@ def _vector_task(scale: float):
             flat = col.flatten().to_numpy(zero_copy_only=False).astype(np.float64)  # null: nan
             sizes = np.array([-1 if n is None else n for n in pc.list_value_length(col).to_pylist()], dtype=np.int64)
             at = np.concatenate([[0], np.cumsum(np.maximum(sizes, 0))])
-            whole = np.floor(flat * scale)
+            with np.errstate(over="ignore"):
+                whole = np.floor(flat * scale)
             out: list[tuple] = []
             for i, n in enumerate(sizes):
                 if n < 0 or ids[i] is None:
                     continue
                 x = whole[at[i] : at[i + 1]]
-                if not np.all(np.abs(x) < 2**31):  # false for nan and infinity
+                if not np.all(np.isfinite(flat[at[i] : at[i + 1]])):
                     continue
-                out.append((ids[i], int(n), x.astype("<i4").tobytes(), float(np.sqrt(x @ x))))
+                x = np.clip(x, -LARGEST, LARGEST)
+                ints = x.astype("<i4" if np.all(np.abs(x) < 2**31) else "<f8")
+                out.append((ids[i], int(n), ints.tobytes(), float(np.sqrt(x @ x))))
             cols = list(zip(*out)) if out else [[], [], [], []]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.binary(), pa.float64()))], names=VECTOR.names)
 
     return run
 
 
-def _ints(blob: bytes, dim: int) -> np.ndarray:
-    flat = np.frombuffer(blob, "<i4")
-    return flat.reshape(-1, dim) if dim else flat.reshape(-1, 0)
+def _ints(blob: bytes, rows: int, dim: int) -> np.ndarray:
+    return np.frombuffer(blob, "<i4" if len(blob) == 4 * rows * dim else "<f8").reshape(rows, dim)
 
 
 def _moment_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -102,7 +108,8 @@ def _moment_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         dims = batch.column(0).to_numpy()
         for dim in np.unique(dims):
-            blobs = [b for b, d in zip(batch.column(1).to_pylist(), dims) if d == dim]
+            # wide vectors would drown the others; any rotation is right for them
+            blobs = [b for b, d in zip(batch.column(1).to_pylist(), dims) if d == dim and len(b) == 4 * dim]
             x = np.frombuffer(b"".join(blobs), "<i4").reshape(len(blobs), dim).astype(np.float64)
             total[int(dim)] = total.get(int(dim), 0) + x.T @ x
     yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([m.tobytes() for m in total.values()], pa.binary())], names=MOMENT.names)
@@ -153,7 +160,7 @@ def _pack_task(most: int):
 
         for batch in batches:
             for r in zip(*[c.to_pylist() for c in batch.columns]):
-                if held and (held[0][1] != r[1] or (len(held) + 1) * max(r[1], 1) > most):
+                if held and (held[0][1] != r[1] or len(held[0][2]) != len(r[2]) or (len(held) + 1) * max(r[1], 1) > most):
                     yield block()
                 held.append(r)
         if held:
@@ -178,7 +185,7 @@ class Block:
 
     def __init__(self, ids: bytes, ints: bytes, dim: int, rotation: np.ndarray) -> None:
         self.ids = np.frombuffer(ids, "<i8")
-        self.ints = _ints(ints, dim).astype(np.float64) if dim else np.zeros((len(self.ids), 0))
+        self.ints = _ints(ints, len(self.ids), dim).astype(np.float64)
         self.rotated = self.ints @ rotation
         #: the first rotated components, and the length of the others
         self.head = max(1, dim // 4)
@@ -193,7 +200,15 @@ def exact(a: np.ndarray, b: np.ndarray, small: bool) -> np.ndarray:
     """Row-wise inner products as integers; ``small``: doubles hold every partial sum."""
     if small:
         return np.einsum("ij,ij->i", a, b).astype(np.int64)
-    return (a.astype(np.int64) * b.astype(np.int64)).sum(axis=1)
+    large = np.einsum("ij,ij->i", np.abs(a), np.abs(b)) >= 2.0**62
+    out = np.zeros(len(a), dtype=np.int64)
+    # beyond 64 bits is only what meets a zero
+    with np.errstate(invalid="ignore"):
+        out[~large] = (a[~large].astype(np.int64) * b[~large].astype(np.int64)).sum(axis=1)
+    for i in np.flatnonzero(large):
+        score = sum(int(x) * int(y) for x, y in zip(a[i], b[i]))
+        out[i] = max(-MOST, min(MOST, score))
+    return out
 
 
 def search(query: Block, threshold: np.ndarray, cand: Block, k: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -207,7 +222,7 @@ def search(query: Block, threshold: np.ndarray, cand: Block, k: int) -> Iterator
     for lo in range(0, len(cand.ids), STEP):
         part = slice(lo, lo + STEP)
         longest = cand.norm[lo]
-        low = threshold - MARGIN * (query.norm * longest + 1)
+        low = np.where(threshold > -float(MOST), threshold - MARGIN * (query.norm * longest + 1), -np.inf)
         active = np.flatnonzero(query.norm * longest >= low)
         if not len(active):
             break  # all that follow are shorter

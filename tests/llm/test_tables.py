@@ -281,6 +281,23 @@ def test_topk_odd_rows(llm, monkeypatch):
     assert [tuple(x) for x in sorted(few)] == brute.top_k(as_float[:3], lambda i: i % 50 == 0)
 
 
+def test_topk_keeps_wide_vectors(llm, monkeypatch):
+    """Components beyond 31 bits, as queries and as candidates, and scores beyond 63 bits."""
+    r = random.Random(7)
+    rows = [(i, [r.gauss(0, 1) for _ in range(8)]) for i in range(300)]
+    for i, (at, x) in {50: (0, 1e7), 51: (0, 9e6), 52: (0, -9e6), 100: (1, 1e12), 101: (2, 8388608.0)}.items():
+        rows[i][1][at] = x
+    want = brute.top_k([(i, [float(np.float32(x)) for x in v]) for i, v in rows], lambda i: i % 50 == 0)
+    assert {50, 51, 52, 100, 101} & {c for _, _, c, _ in want} and {q for q, *_ in want} >= {50, 100}
+    for name, value in (("BLOCK", 400), ("QUERY_BLOCK", 40)):
+        monkeypatch.setattr(topk, name, value)
+    got = topk.top_k(llm.createDataFrame([(*x, 0) for x in rows], VEC).repartition(5), F.col("vec_id") % 50 == 0)
+    assert sorted(tuple(x) for x in got.collect()) == want
+    top = 2**63 - 1
+    a, b = np.array([[2.0**100, 1.0], [0.0, 2.0**70], [2.0**62, 2.0**62]]), np.array([[2.0**30, 0.0], [2.0**90, 0.0], [-2.0, -2.0]])
+    assert topk.exact(a, b, False).tolist() == [top, 0, -top]
+
+
 def test_search_prunes_and_stays_exact():
     """Scores too large for doubles are computed in integers."""
     eye = np.eye(2)
