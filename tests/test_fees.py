@@ -186,7 +186,7 @@ def test_day_date_formats_to_day_label(spark, values):
 
 def test_compact_summary_equals_label_first_summary(spark):
     from callsight.plans import fixtures as FX
-    from conftest import SF_SMALL
+    from paths import SF_SMALL
 
     rows = [tx((i % 9 - 4) * 1250, ext=None if i % 4 == 0 else "e", flow=i % 2, pay=i % 5, TRANSFER_LOG_ID=str(i)) for i in range(40)]
     rows += [tx(None, pay=None, TRANSFER_LOG_ID="n"), tx(5000, pay=7, ms=DAY - 86_400_000 + 5)]

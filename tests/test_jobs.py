@@ -11,7 +11,7 @@ from callsight.plans import fixtures as FX
 from callsight.schemas import CDR_HOURLY_SCHEMA
 from callsight.sinks import read_published
 from callsight.sources.tables import read_files, read_table
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def rows_of(df):

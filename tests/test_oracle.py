@@ -4,7 +4,7 @@
 import pytest
 
 from callsight.plans.registry import ORACLE, QUERIES
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from oracle_check import compare, duck
 
 

@@ -13,7 +13,7 @@ from callsight.plans import fixtures as FX
 from callsight.plans import registry as R
 from callsight.schemas import TRANSFER_CODES
 from callsight.sources.tables import read_transfers
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def plan(df) -> str:

@@ -3,6 +3,8 @@ no Python UDFs, no hard-coded machine-local paths."""
 
 import pathlib
 import re
+import subprocess
+import sys
 
 LIB = pathlib.Path(__file__).resolve().parent.parent / "callsight"
 SOURCES = {p: p.read_text() for p in LIB.rglob("*.py")}
@@ -34,3 +36,14 @@ def test_no_machine_local_paths():
 def test_nothing_imports_the_training_data_subpackage():
     bad = offenders(r"callsight[./]llm|from callsight import llm|corpus_pipeline")
     assert [p for p in bad if pathlib.Path(p).parent.name != "llm"] == []
+
+
+def test_entry_works_without_the_training_data_subpackage():
+    # blocked, as if the folder, or a package it needs, were missing
+    code = (
+        "import sys; sys.modules['callsight.llm'] = None; sys.path.insert(0, sys.argv[1]); "
+        "import __spark_entry__ as e; from callsight.plans import registry as r; "
+        "assert e.queries() == r.QUERIES and e.oracle_sql() == r.ORACLE"
+    )
+    done = subprocess.run([sys.executable, "-c", code, str(LIB.parent)], capture_output=True, text=True, timeout=120)
+    assert done.returncode == 0, done.stderr

@@ -13,7 +13,7 @@ from callsight.plans import fixtures as FX
 from callsight.plans import registry as R
 from callsight.sinks import append_summary, overwrite, publish, read_published, write_batch, write_if_any, write_partitioned
 from callsight.sources.tables import read_table
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def test_guarded_write_skips_empty(spark, tmp_dir):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from callsight.operators import calls as C
 from callsight.plans import fixtures as FX
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from test_plans import plan
 
 

@@ -24,7 +24,7 @@ from callsight.streaming.snapshots import (
     committed_batch,
     committed_fold,
 )
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 NOW = {"availableNow": True}
 
