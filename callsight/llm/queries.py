@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callsight.llm import chat, dedup, licenses, lm, mixing, packing, pii, quality, tokens, topk
+from callsight.llm import chat, dedup, divergence, licenses, lm, mixing, packing, pii, quality, secrets, tokens, topk, trie
 from callsight.session import ship_package
 
 
@@ -70,6 +70,22 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.near_duplicates(_table(spark, sf_dir, "documents"), k=4, percent=80)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = trie.ordered(_table(spark, sf_dir, "conversations"), keep_text=False)
+    conv = F.col("conv_id")
+    turns, members = trie.rebuilt(turns, conv - conv % 20, F.crc32(conv.cast("string")) % 4)
+    return trie.prefix_trie(turns, members)
+
+
+def op12_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return secrets.find_secrets(docs, secrets.train(docs)).drop("text")
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf_dir, "documents"), min_docs=3, top=200)
+
+
 QUERIES = {
     "op1_quotation_linking": op1_quotation_linking,
     "op2_topk": op2_topk,
@@ -81,6 +97,9 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_quality": op9_quality,
     "op10_near_duplicates": op10_near_duplicates,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_secrets": op12_secrets,
+    "op13_divergence": op13_divergence,
 }
 
 # --------------------------------------------------------------------------- oracle
@@ -168,9 +187,83 @@ SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id, d.doc_id
 FROM d JOIN component ON d.doc_id = a LEFT JOIN n ON d.doc_id = n.doc_id
 """
 
+_TRIE = r"""
+WITH RECURSIVE steps(i, k, v) AS (
+  SELECT range, 0, range::BIGINT FROM range(256) UNION ALL
+  SELECT i, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384::BIGINT) ELSE v >> 1 END FROM steps WHERE k < 8
+), lookup AS (SELECT i, v FROM steps WHERE k = 8
+), crc(c, k, v) AS (
+  SELECT DISTINCT conv_id, 0, 4294967295::BIGINT FROM conversations WHERE conv_id IS NOT NULL UNION ALL
+  SELECT c, k + 1, xor(crc.v >> 8, lookup.v) FROM crc JOIN lookup ON lookup.i = xor(crc.v, ascii(substr(c::VARCHAR, k + 1, 1))::BIGINT) & 255
+  WHERE k < length(c::VARCHAR)
+), head AS (SELECT c, xor(v, 4294967295::BIGINT) % 4 AS h FROM crc WHERE k = length(c::VARCHAR)
+), original AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS place
+  FROM conversations WHERE conv_id IS NOT NULL
+), rebuilt AS (
+  SELECT c, place, role, text FROM head JOIN original ON conv_id = c - c % 20 AND place < h UNION ALL
+  SELECT c, place, role, text FROM head JOIN original ON conv_id = c AND place >= h
+), prefix AS (
+  SELECT c, row_number() OVER w AS d, list({'r': role, 't': text}) OVER w AS turns, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words
+  FROM rebuilt WINDOW w AS (PARTITION BY c ORDER BY place) UNION ALL
+  SELECT c, 0, [], 0 FROM head
+), member AS (
+  SELECT c, d, words, min(c) OVER n AS m, count(*) OVER n AS n_convs, max(d) OVER (PARTITION BY c) AS length
+  FROM prefix WINDOW n AS (PARTITION BY d, turns)
+), node AS (
+  SELECT *, lag(m) OVER (PARTITION BY c ORDER BY d) AS parent FROM member
+), own AS (SELECT m, d, n_convs, words, parent FROM node WHERE c = m
+), child AS (SELECT parent AS m, d - 1 AS d, count(*) AS n_children FROM own WHERE d > 0 GROUP BY ALL
+), below AS (
+  SELECT a.m, a.d, sum(CASE WHEN y.n_children IS NULL THEN 1 ELSE 0 END)::BIGINT AS n_leaves, sum((o.n_convs - 1) * o.words)::BIGINT AS saved_tokens
+  FROM own AS o LEFT JOIN child AS y ON o.m = y.m AND o.d = y.d JOIN member AS a ON a.c = o.m AND a.d <= o.d GROUP BY a.m, a.d
+), ends AS (SELECT m, d, string_agg(c::VARCHAR, ',' ORDER BY c) AS ids FROM member WHERE d = length GROUP BY m, d)
+SELECT o.m AS conv_id, o.d AS depth, parent AS parent_conv_id, n_convs, coalesce(n_children, 0) AS n_children, n_leaves, saved_tokens,
+  sha256(coalesce(ids, '')) AS ends_sha256
+FROM own AS o LEFT JOIN child AS y ON o.m = y.m AND o.d = y.d JOIN below AS b ON o.m = b.m AND o.d = b.d
+  LEFT JOIN ends AS e ON o.m = e.m AND o.d = e.d
+"""
+
+_DIVERGENCE = """
+WITH d AS (
+  SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents
+), kept AS (
+  SELECT lang, term, count(*)::HUGEINT AS n FROM d GROUP BY lang, term HAVING count(DISTINCT doc) >= 3
+), cell AS (SELECT lang, source, term, count(*)::HUGEINT AS n FROM d SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term
+), grp AS (SELECT DISTINCT coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents
+), whole AS (SELECT lang, sum(n)::HUGEINT AS total, count(*)::HUGEINT AS v FROM kept GROUP BY lang
+), own AS (SELECT lang, source, sum(n)::HUGEINT AS total FROM cell GROUP BY lang, source
+), every AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+    1 + (1000000000 * (coalesce(c.n, 0) + 1)) // (coalesce(o.total, 0) + w.v) AS p,
+    1 + (1000000000 * (k.n + 1)) // (w.total + w.v) AS q
+  FROM grp AS g JOIN kept AS k ON g.lang = k.lang JOIN whole AS w ON g.lang = w.lang
+    LEFT JOIN own AS o ON g.lang = o.lang AND g.source = o.source
+    LEFT JOIN cell AS c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), summed AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p)::BIGINT AS value
+  FROM every AS a JOIN every AS b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source
+), pair AS (
+  SELECT g.lang, g.source, 'pair' AS part, h.source AS item, coalesce(s.value, 0) AS value
+  FROM grp AS g JOIN grp AS h ON g.lang = h.lang AND g.source <> h.source
+    LEFT JOIN summed AS s ON s.lang = g.lang AND s.source = g.source AND s.item = h.source
+), apart AS (
+  SELECT lang, source, 'term' AS part, term AS item, (((p - q) * (p - q)) // q)::BIGINT AS value FROM every WHERE n > 0 AND p > q
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank
+  FROM (SELECT * FROM pair UNION ALL SELECT * FROM apart)
+)
+SELECT lang, source, part, item, value, rank FROM placed WHERE part = 'pair' OR rank <= 200
+"""
+
 ORACLE: dict[str, str] = {
     "op2_topk": _TOP_K,
     "op3_mixing": _MIX,
     "op6_lm_scores": _LM,
     "op10_near_duplicates": _NEAR,
+    "op11_prefix_trie": _TRIE,
+    "op13_divergence": _DIVERGENCE,
 }

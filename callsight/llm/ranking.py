@@ -18,13 +18,21 @@ from callsight.session import materialize
 _BITS = 33  # monotonically_increasing_id: partition number above, row number below
 
 
-def ranked(df: DataFrame, group: Sequence[str], order: Sequence[Column], name: str) -> DataFrame:
+def ranked(
+    df: DataFrame, group: Sequence[str], order: Sequence[Column], name: str, deal: Sequence[Column] | None = None, forget: Sequence[str] = ()
+) -> DataFrame:
     """``df`` with column ``name``: the row's rank (from 0) by ``order`` among the rows
     with the same values, null included, in ``group``. Rows equal in all order keys are
-    ranked in any order."""
+    ranked in any order.
+
+    Spark samples the keys that rows are dealt by and sends the sample to the driver. Where
+    an order key may be long, ``deal`` names short ones that never contradict ``order``
+    (such as the front of a text); rows equal in them meet in one task. Columns to
+    ``forget`` are needed for the order alone and not written."""
     group_keys = [F.col(c) for c in group]
-    placed = df.repartitionByRange(*group_keys, *order).sortWithinPartitions(*group_keys, *order)
-    placed = materialize(placed.withColumn("__at", F.monotonically_increasing_id()), "ranked")
+    placed = df.repartitionByRange(*group_keys, *(order if deal is None else deal)).sortWithinPartitions(*group_keys, *order)
+    df = df.drop(*forget)
+    placed = materialize(placed.drop(*forget).withColumn("__at", F.monotonically_increasing_id()), "ranked")
     task = F.shiftright("__at", _BITS)
     row = F.col("__at").bitwiseAND(F.lit((1 << _BITS) - 1))
     counts = placed.groupBy(task.alias("__task"), *group_keys).agg(F.count(F.lit(1)).alias("__n"), F.min(row).alias("__first"))
