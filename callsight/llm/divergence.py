@@ -34,6 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -167,7 +168,7 @@ def _joint(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         change = np.zeros(table.num_rows - 1, dtype=bool)
         for k in keys:
             k = k.combine_chunks()
-            change |= pa.compute.not_equal(k[1:], k[:-1]).to_numpy(zero_copy_only=False)
+            change |= pc.not_equal(k[1:], k[:-1]).to_numpy(zero_copy_only=False)
         cuts = [0, *(np.flatnonzero(change) + 1).tolist(), table.num_rows]
         for lo, hi in zip(cuts[:-1], cuts[1:]):
             key = tuple(k[lo].as_py() for k in keys[:3])
