@@ -37,7 +37,6 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from callsight.llm.ranking import ranked
 from callsight.llm.text import give_back
@@ -81,30 +80,33 @@ def _handed(held: dict[tuple[str, str], dict[bytes, int]]) -> Iterator[pa.Record
             yield pa.record_batch([*same, text, pa.array(part % _DOCS), pa.array(part // _DOCS)], names=["lang", "source", "term", "n", "docs"])
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: dict[tuple[str, str], dict[bytes, int]] = {}
-    entries = 0
-    for batch in batches:
-        langs, sources = batch.column("lang").to_pylist(), batch.column("source").to_pylist()
-        texts = batch.column("text").cast(pa.large_binary())
-        for k, group in enumerate(zip(langs, sources)):
-            counts = held.setdefault(group, {})
-            before = len(counts)
-            for term, n in terms_of(texts[k].as_py()).items():
-                counts[term] = counts.get(term, 0) + n + _DOCS
-            entries += len(counts) - before
-            if entries >= HELD:
-                yield from _handed(held)
-                held, entries = {}, 0
-    yield from _handed(held)
-    give_back()
+def _count(most: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple[str, str], dict[bytes, int]] = {}
+        entries = 0
+        for batch in batches:
+            langs, sources = batch.column("lang").to_pylist(), batch.column("source").to_pylist()
+            texts = batch.column("text").cast(pa.large_binary())
+            for k, group in enumerate(zip(langs, sources)):
+                counts = held.setdefault(group, {})
+                before = len(counts)
+                for term, n in terms_of(texts[k].as_py()).items():
+                    counts[term] = counts.get(term, 0) + n + _DOCS
+                entries += len(counts) - before
+                if entries >= most:
+                    yield from _handed(held)
+                    held, entries = {}, 0
+        yield from _handed(held)
+        give_back()
+
+    return run
 
 
 def term_counts(docs: DataFrame, lang: str = "lang", source: str = "source", text: str = "text") -> DataFrame:
     """(``lang``, ``source``, ``term``, ``n``, ``docs``): occurrences of every term in
     every group, and documents of the group that have it."""
     read = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(n) for c, n in ((lang, "lang"), (source, "source"), (text, "text"))])
-    counted = read.mapInArrow(_count, _COUNTED)
+    counted = read.mapInArrow(_count(HELD), _COUNTED)
     return counted.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
 
@@ -119,43 +121,47 @@ def _f(p: np.ndarray, q: np.ndarray) -> np.ndarray:
 class _Words:
     """Sums of joint cells, word by word of one pair of blocks."""
 
-    def __init__(self) -> None:
+    def __init__(self, first: int, second: int) -> None:
+        self.first, self.second = first, second
         self.total: dict[tuple[int, int], int] = {}
 
-    def add(self, no: np.ndarray, p: np.ndarray, zero: np.ndarray, bits: np.ndarray, here: np.ndarray) -> None:
+    def add(self, no: np.ndarray, block: np.ndarray, p: np.ndarray, zero: np.ndarray, bits: np.ndarray) -> None:
         """``no``, ``p``, ``zero``: a set's source and its p for the set's count and for
-        none; ``here``: whether the source is of the first block. Within one block every
-        two sets meet once."""
-        x, y = (np.flatnonzero(here), np.flatnonzero(~here)) if not here.all() else (np.arange(len(no)),) * 2
+        none. Within one block every two sets meet once."""
+        x, y = (np.flatnonzero(block == b) for b in (self.first, self.second))
         if not len(x) or not len(y):
             return
         cells = np.bitwise_count(bits[x][:, None] & bits[y][None, :])
-        if here.all():
+        if self.first == self.second:
             cells = np.triu(cells, 1)  # sets of one source have no term in common
         at = np.nonzero(cells)
+        if not len(at[0]):
+            return
         n = cells[at].astype(np.int64)
+        low, span = int(no.min()), int(no.max() - no.min()) + 1
         i, j = x[at[0]], y[at[1]]
         for a, b in ((i, j), (j, i)):
             value = n * (_f(p[a], p[b]) - _f(p[a], zero[b]) - _f(zero[a], p[b]) + _f(zero[a], zero[b]))
-            pairs, where = np.unique(np.stack([no[a], no[b]]), axis=1, return_inverse=True)
-            sums = np.zeros(pairs.shape[1], dtype=np.int64)
-            np.add.at(sums, where.ravel(), value)
-            for g, h, v in zip(*pairs.tolist(), sums.tolist()):
+            pair = (no[a] - low) * span + no[b] - low
+            order = np.argsort(pair, kind="stable")
+            pair, value = pair[order], value[order]
+            at = np.flatnonzero(np.diff(pair, prepend=-1))
+            for g, h, v in zip((pair[at] // span + low).tolist(), (pair[at] % span + low).tolist(), np.add.reduceat(value, at).tolist()):
                 self.total[g, h] = self.total.get((g, h), 0) + v
 
 
 def _joint(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (lang, blocks, word); a word's rows may go on in the next batch."""
-    words, current, rest = _Words(), None, None
+    words, current, rest = None, None, None
 
     def emitted() -> Iterator[pa.RecordBatch]:
-        if current is not None and words.total:
+        if words is not None and words.total:
             a, b = zip(*words.total)
             yield pa.record_batch([pa.array([current[0]] * len(a), pa.string()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(list(words.total.values()), pa.int64())], names=["lang", "a", "b", "value"])
 
     def work(table: pa.Table) -> None:
-        no, p, zero, bits, block = (table.column(c).to_numpy().astype(np.int64) for c in ("no", "p", "zero", "bits", "first"))
-        words.add(no, p, zero, bits.view(np.uint64), no // BLOCK == block)
+        no, block, p, zero, bits = (table.column(c).to_numpy().astype(np.int64) for c in ("no", "block", "p", "zero", "bits"))
+        words.add(no, block, p, zero, bits.view(np.uint64))
 
     for batch in batches:
         table = pa.Table.from_batches([batch])
@@ -174,7 +180,7 @@ def _joint(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             key = tuple(k[lo].as_py() for k in keys[:3])
             if key != current:
                 yield from emitted()
-                words, current = _Words(), key
+                words, current = _Words(*key[1:]), key
             if hi == table.num_rows:  # perhaps not all of the word
                 rest = table.slice(lo)
             else:
@@ -231,7 +237,7 @@ class Audit:
         blocks = self.groups.groupBy("lang").agg(F.floor(F.max("no") / BLOCK).alias("last"))
         own = F.floor(F.col("no") / BLOCK)
         spread = sets.join(blocks, "lang").withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("last"))))
-        spread = spread.select("lang", F.least(own, "other").alias("first"), F.greatest(own, "other").alias("second"), "word", "no", "p", "zero", "bits")
+        spread = spread.select("lang", F.least(own, "other").alias("first"), F.greatest(own, "other").alias("second"), "word", "no", own.alias("block"), "p", "zero", "bits")
         key = ["lang", "first", "second", "word"]
         joint = spread.repartition(*key).sortWithinPartitions(*key).mapInArrow(_joint, _JOINT)
 

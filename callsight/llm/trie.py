@@ -223,7 +223,7 @@ def _batch(level: dict[str, np.ndarray], base: int) -> pa.RecordBatch:
     return pa.record_batch([pa.array(level[c]) for c in _NAMES], names=_NAMES)
 
 
-def _peel(base: int):
+def _peel(base: int, piece: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows by task and place in it; the first and last may be fences (``n`` = 0)."""
         held: list[pa.Table] = []
@@ -273,7 +273,7 @@ def _peel(base: int):
                 held.append(part)
                 seg = part.column("seg").combine_chunks()
                 size += len(seg) + (seg.offsets[-1].as_py() - seg.offsets[0].as_py()) // 3
-                if size >= PIECE:
+                if size >= piece:
                     yield from flush(False)
         yield from flush(True)
 
@@ -298,7 +298,7 @@ def _peel_band(paths: DataFrame, base: int) -> DataFrame:
     behind = edge.filter(F.col("place") == F.col("__lo")).filter(F.col("__previous").isNotNull()).withColumns({"task": F.col("__previous"), "place": F.lit(1 << 62), "n": F.lit(0).cast("long")})
     rows = placed.unionByName(fence.select(*columns)).unionByName(behind.select(*columns))
     rows = rows.repartition("task").sortWithinPartitions("task", "place")
-    return materialize(rows.mapInArrow(_peel(base), _PEELED), "peeled")
+    return materialize(rows.mapInArrow(_peel(base, PIECE), _PEELED), "peeled")
 
 
 def _merged(parts: DataFrame) -> DataFrame:
@@ -310,22 +310,22 @@ def _merged(parts: DataFrame) -> DataFrame:
 # --- ids of ended conversations ------------------------------------------------------
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted (node, id) rows to blocks of comma-joined ids of one node."""
-    key, first, ids = None, 0, bytearray()
-
-    def block() -> pa.RecordBatch:
-        return pa.record_batch([[v] for v in (*key, first, bytes(ids))], schema=pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("first", pa.int64()), ("ids", pa.binary())]))
+def _blocks(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Sorted (node, id) rows to blocks of comma-joined ids of one node."""
+        key, first, ids = None, 0, bytearray()
+        schema = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("first", pa.int64()), ("ids", pa.binary())])
+        for batch in batches:
+            for k1, k2, conv in zip(*(batch.column(c).to_pylist() for c in ("k1", "k2", "conv_id"))):
+                if (k1, k2) != key or len(ids) >= size:
+                    if key is not None:
+                        yield pa.record_batch([[key[0]], [key[1]], [first], [bytes(ids)]], schema=schema)
+                    key, first, ids = (k1, k2), conv, bytearray()
+                ids += b"%d" % conv if not ids else b",%d" % conv
+        if key is not None:
+            yield pa.record_batch([[key[0]], [key[1]], [first], [bytes(ids)]], schema=schema)
 
-    for batch in batches:
-        for k1, k2, conv in zip(*(batch.column(c).to_pylist() for c in ("k1", "k2", "conv_id"))):
-            if (k1, k2) != key or len(ids) >= BLOCK:
-                if key is not None:
-                    yield block()
-                key, first, ids = (k1, k2), conv, bytearray()
-            ids += b"%d" % conv if not ids else b",%d" % conv
-    if key is not None:
-        yield block()
+    return run
 
 
 def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -357,7 +357,7 @@ def end_hashes(ends: DataFrame) -> DataFrame:
     """(``k1``, ``k2``, ``ends_sha256``) of (``k1``, ``k2``, ``conv_id``) rows: the SHA-256 of a
     node's ids, ascending and comma-joined."""
     key = ["k1", "k2", "conv_id"]
-    blocks = ends.select(*key).repartitionByRange(*key).sortWithinPartitions(*key).mapInArrow(_blocks, "k1 long, k2 long, first long, ids binary")
+    blocks = ends.select(*key).repartitionByRange(*key).sortWithinPartitions(*key).mapInArrow(_blocks(BLOCK), "k1 long, k2 long, first long, ids binary")
     blocks = blocks.repartition("k1", "k2").sortWithinPartitions("k1", "k2", "first")
     return blocks.mapInArrow(_hashed, "k1 long, k2 long, ends_sha256 string")
 
