@@ -5,9 +5,10 @@
     python -m callsight.jobs hourly-stream --input s3://…/cdr --hourly … --profiles … \\
         --checkpoint s3://…/ckpt/hourly
 
-Jobs: ``fee-summary``, ``fee-exceptions``, ``total-stream``, ``hourly-stream``, ``files-stream``,
-``top-callers`` (one run of the detection rule; schedule it externally),
-``compact-hourly``, ``compact-totals`` and ``compact-profiles``. The session comes from ``SparkSession.builder.getOrCreate()``, so
+Jobs: ``fee-summary``, ``fee-exceptions``, ``total-stream``, ``hourly-stream``,
+``hourly-window-stream``, ``files-stream``, ``top-callers`` (one run of the detection rule;
+schedule it externally), ``compact-hourly``, ``compact-totals`` and ``compact-profiles``, each of
+which also removes old folds with ``--keep``, and folded partials with ``--expire-partials``. The session comes from ``SparkSession.builder.getOrCreate()``, so
 cluster settings are the submitter's.
 """
 
@@ -22,16 +23,22 @@ from callsight.functions.time import day_window
 from callsight.operators import calls as C
 from callsight.operators import fees as FE
 from callsight.schemas import CDR_HOURLY_SCHEMA, CDR_SCHEMA
-from callsight.session import remove, scratch_path
+from callsight.session import scratch
 from callsight.sinks import FILE_FORMATS, append_summary, overwrite, write_if_any
 from callsight.sources.tables import read_cdr_stream, read_transfers
-from callsight.streaming.jobs import files_stream, hourly_stream, total_stream
+from callsight.streaming.jobs import files_stream, hourly_stream, hourly_window_stream, total_stream
 from callsight.streaming.snapshots import (
+    HOURLY,
+    PROFILES,
+    TOTALS,
     compact_hourly,
     compact_profiles,
     compact_totals,
     current_hourly,
     current_profile_partials,
+    expire_folds,
+    expire_partials,
+    last_whole_batch,
 )
 
 
@@ -95,6 +102,12 @@ def hourly_stream_job(spark, a) -> None:
     q.awaitTermination()
 
 
+def hourly_window_stream_job(spark, a) -> None:
+    src = read_cdr_stream(spark, a.input, CDR_HOURLY_SCHEMA, a.files_per_trigger)
+    q = hourly_window_stream(src, a.hourly, a.checkpoint, delay=a.delay, key=a.key, offset=a.offset, fmt=a.format, trigger=_trigger(a))
+    q.awaitTermination()
+
+
 def files_stream_job(spark, a) -> None:
     src = read_cdr_stream(spark, a.input, CDR_SCHEMA, a.files_per_trigger)
     q = files_stream(src, a.out, a.checkpoint, column=a.key, fmt=a.format, trigger=_trigger(a))
@@ -102,28 +115,34 @@ def files_stream_job(spark, a) -> None:
 
 
 def top_callers_job(spark, a) -> None:
-    hourly = current_hourly(spark, a.hourly, a.folded, a.format, missing_ok=a.nothing_folded)
+    upto = last_whole_batch(spark, checkpoint=a.checkpoint)  # one bound for counts and profiles
+    hourly = current_hourly(spark, a.hourly, a.folded, a.format, missing_ok=a.nothing_folded, upto=upto)
     partials = current_profile_partials(
         spark, None if a.profiles in ("", "-") else a.profiles, a.snapshots, a.profiles_format or a.format,
-        options=_options(a.profiles_option), missing_ok=a.nothing_folded,
+        options=_options(a.profiles_option), missing_ok=a.nothing_folded, upto=upto,
     )
-    winners = scratch_path(spark, "winners")
-    found = C.detections(C.daily_totals(hourly, a.start_date, a.end_date), partials, k=a.k, ties=a.ties, scratch=winners)
-    overwrite(found, _out(a), fmt=a.out_format, options=_options(a.out_option))
-    remove(spark, winners)
+    with scratch(spark, "top-callers"):
+        found = C.detections(C.daily_totals(hourly, a.start_date, a.end_date), partials, k=a.k, ties=a.ties)
+        overwrite(found, _out(a), fmt=a.out_format, options=_options(a.out_option))
 
 
-def _fold(compact, source: str, target: str, what: str):
+def _fold(compact, spec, source: str, target: str, what: str):
     def job(spark, a) -> None:
-        upto = compact(spark, getattr(a, source), getattr(a, target), upto=a.upto, checkpoint=a.checkpoint, fmt=a.format, first=a.first)
+        parts, folded = getattr(a, source), getattr(a, target)
+        before = spec.table(spark, folded).manifest()
+        upto = compact(spark, parts, folded, upto=a.upto, checkpoint=a.checkpoint, fmt=a.format, first=a.first)
         print(f"{what} folded up to batch {upto}")
+        if a.keep:
+            print(f"{expire_folds(spark, spec, folded, a.keep)} parts of older folds removed")
+        if a.expire_partials and before is not None:  # readers of the fold before still need what came after it
+            print(f"{expire_partials(spark, spec, parts, folded, before.n)} folders of folded batches removed")
 
     return job
 
 
-compact_hourly_job = _fold(compact_hourly, "hourly", "folded", "hourly counts")
-compact_totals_job = _fold(compact_totals, "totals", "folded", "running totals")
-compact_profiles_job = _fold(compact_profiles, "profiles", "snapshots", "profiles")
+compact_hourly_job = _fold(compact_hourly, HOURLY, "hourly", "folded", "hourly counts")
+compact_totals_job = _fold(compact_totals, TOTALS, "totals", "folded", "running totals")
+compact_profiles_job = _fold(compact_profiles, PROFILES, "profiles", "snapshots", "profiles")
 
 
 def parser() -> argparse.ArgumentParser:
@@ -165,12 +184,16 @@ def parser() -> argparse.ArgumentParser:
     t = stream("total-stream", total_stream_job, "running MOC count per subscriber", "served_imsi")
     t.add_argument("--out", required=True, help="output path ('-' for a document store)")
     t.add_argument("--out-option", action="append", metavar="KEY=VALUE", help="connector option, repeatable")
-    t.add_argument("--output", choices=["complete", "partials"], default="partials")
+    t.add_argument("--output", choices=["complete", "update", "partials"], default="partials")
     h = stream("hourly-stream", hourly_stream_job, "hourly MOC partials and profile partials", "served_phone_number")
     h.add_argument("--hourly", required=True)
     h.add_argument("--profiles", required=True, help="profile partials path ('-' for a document store)")
     h.add_argument("--profiles-format", help="format of the profile output; default: --format")
     h.add_argument("--profiles-option", action="append", metavar="KEY=VALUE", help="connector option, repeatable")
+    w = stream("hourly-window-stream", hourly_window_stream_job, "final hourly MOC counts, each hour once", "served_phone_number")
+    w.add_argument("--hourly", required=True)
+    w.add_argument("--delay", default="24 hours", help="how late a record may be")
+    w.add_argument("--offset", help="start of hours, for time zones that differ by parts of an hour, e.g. '30 minutes'")
     f = stream("files-stream", files_stream_job, "distinct processed file names", "filename")
     f.add_argument("--out", required=True)
 
@@ -179,6 +202,7 @@ def parser() -> argparse.ArgumentParser:
     r.add_argument("--profiles", required=True, help="profile partials path ('-' for a store named by --profiles-option)")
     r.add_argument("--snapshots", help="profile snapshot folder (see compact-profiles)")
     r.add_argument("--folded", help="hourly fold folder (see compact-hourly)")
+    r.add_argument("--checkpoint", help="the stream's checkpoint: take batches that it has committed, no others")
     r.add_argument("--nothing-folded", action="store_true", help="accept fold folders without a committed fold")
     r.add_argument("--profiles-format", help="format of the stored profiles; default: --format")
     r.add_argument("--profiles-option", action="append", metavar="KEY=VALUE", help="connector option, repeatable")
@@ -203,6 +227,8 @@ def parser() -> argparse.ArgumentParser:
         c.add_argument("--upto", type=int, help="last batch to fold")
         c.add_argument("--checkpoint", help="the stream's checkpoint: fold up to its last committed batch")
         c.add_argument("--first", action="store_true", help="there is no fold yet")
+        c.add_argument("--keep", type=int, default=0, help="remove all but the newest so many folds (at least 2 where readers are under way); 0: none")
+        c.add_argument("--expire-partials", action="store_true", help="remove batches that the fold before this one has")
         c.add_argument("--format", default="parquet", help="format of the partials")
         c.set_defaults(fn=fn)
     return p

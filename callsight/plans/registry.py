@@ -33,8 +33,8 @@ from callsight.sources.tables import (
     read_transfers,
     register_view,
 )
-from callsight.streaming.jobs import files_stream, hourly_stream, total_stream
-from callsight.streaming.snapshots import compact_hourly, compact_profiles, current_hourly, current_profile_partials
+from callsight.streaming.jobs import files_stream, hourly_stream, hourly_window_stream, total_stream
+from callsight.streaming.snapshots import compact_hourly, compact_profiles, current_hourly, current_profile_partials, read_changed_totals
 
 # Windows (UTC wall clock). "All" covers every generated ship date.
 WINDOW = ("1997-01-01", "1998-01-01")
@@ -147,6 +147,36 @@ def stream_total_partials(spark, d):
     return read_totals(spark, f"{base}/totals", partials=True)
 
 
+def stream_total_changed(spark, d):
+    """Totals of which each trigger rewrites only the buckets that changed."""
+    base = _landed(spark, d, "stream-total-changed")
+    src = read_cdr_stream(spark, f"{base}/in", max_files_per_trigger=FILES_PER_BATCH)
+    q = total_stream(src, f"{base}/totals", f"{base}/ckpt", view="xdr_changed", output="update", trigger={"availableNow": True})
+    q.awaitTermination()
+    return read_changed_totals(spark, f"{base}/totals")
+
+
+def stream_hourly_windows(spark, d):
+    """Hourly counts from event-time windows. The feed's files are in no order of time, so the
+    delay covers all of it; a closing record long after the last call, in a file that lands
+    later, then closes every hour before."""
+    base = _landed(spark, d, "stream-windows", CDR_HOURLY_SCHEMA)
+    delay = "20000 days"
+
+    def run():
+        src = read_cdr_stream(spark, f"{base}/in", schema=CDR_HOURLY_SCHEMA, max_files_per_trigger=FILES_PER_BATCH)
+        hourly_window_stream(src, f"{base}/hourly", f"{base}/ckpt", delay=delay, trigger={"availableNow": True}).awaitTermination()
+
+    run()
+    closing = FX.cdr(spark, d, columns=set(CDR_HOURLY_SCHEMA.fieldNames()))
+    latest = closing.agg(F.max("xdr_start_datetime").alias("t")).select((F.col("t") + F.expr("INTERVAL '20001' DAY")).alias("t"))
+    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in CDR_HOURLY_SCHEMA.fields if f.name not in ("xdr_type", "xdr_start_datetime", "filename")]
+    closing = latest.select(F.lit(C.MOC).alias("xdr_type"), F.col("t").alias("xdr_start_datetime"), F.lit("closing").alias("filename"), *nulls)
+    closing.write.mode("append").partitionBy("filename").parquet(f"{base}/in")
+    run()
+    return read_hourly(spark, f"{base}/hourly").drop("batch_id")
+
+
 def stream_distinct_files(spark, d):
     base = _landed(spark, d, "stream-files")
     src = read_cdr_stream(spark, f"{base}/in", max_files_per_trigger=FILES_PER_BATCH)
@@ -178,7 +208,7 @@ def stream_hourly_compacted(spark, d):
     base = _run_hourly(spark, d)
     compact_hourly(spark, f"{base}/hourly", f"{base}/folded", upto=1, first=True)
     return (
-        current_hourly(spark, f"{base}/hourly", f"{base}/folded")
+        current_hourly(spark, f"{base}/hourly", f"{base}/folded", checkpoint=f"{base}/ckpt")
         .groupBy("event_date", "event_hour", "msisdn")
         .agg(F.sum("outgoing_calls_count").cast("bigint").alias("outgoing_calls_count"))
     )
@@ -194,7 +224,7 @@ def stream_profile_compacted(spark, d):
     takes the snapshot plus the later partials."""
     base = _run_hourly(spark, d)
     compact_profiles(spark, f"{base}/profile", f"{base}/snapshots", upto=1, first=True)
-    parts = current_profile_partials(spark, f"{base}/profile", f"{base}/snapshots")
+    parts = current_profile_partials(spark, f"{base}/profile", f"{base}/snapshots", checkpoint=f"{base}/ckpt")
     return C.finish_profile(C.merge_profiles(parts))
 
 
@@ -262,8 +292,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "distinct_files_recharge": distinct_files_recharge,
     "stream_total_moc": stream_total_moc,
     "stream_total_partials": stream_total_partials,
+    "stream_total_changed": stream_total_changed,
     "stream_distinct_files": stream_distinct_files,
     "stream_hourly_moc": stream_hourly_moc,
+    "stream_hourly_windows": stream_hourly_windows,
     "stream_hourly_compacted": stream_hourly_compacted,
     "stream_profile": stream_profile,
     "stream_profile_compacted": stream_profile_compacted,
@@ -382,8 +414,10 @@ ORACLE: dict[str, str] = {
     "distinct_files_recharge": f"WITH {FX.duck_recharge_cte()} SELECT DISTINCT filename FROM recharge",
     "stream_total_moc": _TOTAL,
     "stream_total_partials": _TOTAL,
+    "stream_total_changed": _TOTAL,
     "stream_distinct_files": f"WITH {FX.duck_cdr_cte()} SELECT DISTINCT filename FROM cdr",
     "stream_hourly_moc": _HOURLY,
+    "stream_hourly_windows": _HOURLY,
     "stream_hourly_compacted": _HOURLY,
     "stream_profile": _PROFILE,
     "stream_profile_compacted": _PROFILE,

@@ -13,7 +13,11 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -68,9 +72,32 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/")
 
 
+_scratch: ContextVar[str | None] = ContextVar("callsight-scratch", default=None)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder name under the shared folder."""
-    return f"{shared_dir(spark)}/work/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique folder name under the shared folder, or inside :func:`scratch`
+    under its folder."""
+    return f"{_scratch.get() or shared_dir(spark) + '/work'}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+@contextmanager
+def scratch(spark: SparkSession, name: str = "run") -> Iterator[str]:
+    """Gathers the intermediate tables that operators write inside the block below one
+    folder, and removes it when the block is left::
+
+        with scratch(spark):
+            operator(df).write.parquet(out)
+
+    Results have to be written before that: a frame that reads intermediates can't be
+    read any more."""
+    folder = scratch_path(spark, name)
+    token = _scratch.set(folder)
+    try:
+        yield folder
+    finally:
+        _scratch.reset(token)
+        remove(spark, folder)
 
 
 def materialize(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
@@ -85,10 +112,35 @@ def materialize(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _located(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder the library itself has written, in whatever store it is."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    target, store = _located(spark, path)
+    store.delete(target, True)
+
+
+def create_new(spark: SparkSession, path: str) -> bool:
+    """Make an empty file, unless there is one: of several callers one gets True (as far
+    as the store creates files atomically, as HDFS does)."""
+    target, store = _located(spark, path)
+    try:
+        store.create(target, False).close()
+    except Py4JJavaError as e:
+        if "AlreadyExists" in e.java_exception.getClass().getName():
+            return False
+        raise
+    return True
+
+
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths of files and folders that match a glob pattern; none if nothing does."""
+    target, store = _located(spark, pattern)
+    found = store.globStatus(target)
+    return [] if found is None else [f.getPath().toString() for f in found]
 
 
 _shipped: set[str] = set()

@@ -9,12 +9,12 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from callsight.session import remove
-from callsight.sinks.markers import content, mark, newest
+from callsight.sinks.markers import claim, content, expire, mark, newest
 
 FILE_FORMATS = {"parquet", "orc", "json", "csv", "avro", "delta"}
 VERSION = T.StructType([T.StructField("folder", T.StringType())])
@@ -47,26 +47,39 @@ def write_partitioned(
     w.save(path)
 
 
+def document_id(batch_id: int, keys: Sequence[str]) -> Column:
+    """The identity of a batch's row in a document store: the batch, and a hash of the
+    row's ``keys`` by name and value (so a null is no empty text, and keys can't run into
+    each other). The same row of the same batch always gets the same one."""
+    key = F.to_json(F.struct(*keys), {"ignoreNullFields": "true"})
+    return F.concat(F.lit(f"{int(batch_id)}-"), F.md5(key))
+
+
 def write_batch(
     df: DataFrame,
-    path: str,
+    path: str | None,
     batch_id: int,
     partition_by: Sequence[str] = (),
     fmt: str = "parquet",
     options: dict[str, str] | None = None,
+    keys: Sequence[str] = (),
 ) -> None:
     """Replay-safe append of one micro-batch's output, tagged with ``batch_id``.
 
     Files: partitioned by ``(*partition_by, batch_id)`` with dynamic overwrite, so a
     replay replaces exactly what the first attempt wrote. Other formats (document
-    stores) are appended through the connector with ``options``; configure them as
-    upserts keyed on the row key and ``batch_id`` to keep replays idempotent.
+    stores) are appended through the connector with ``options``. ``keys``, one row's in the
+    batch, give each document an ``_id`` (:func:`document_id`): a store that replaces
+    documents of the same ``_id``, as document stores do, has the same documents after a
+    replay as before.
     """
     out = df.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
     if fmt in FILE_FORMATS:
         # batch_id is one value per call: lay files out by the other columns only
         write_partitioned(out, path, [*partition_by, "batch_id"], fmt=fmt, replace=True, rebalance_by=partition_by)
         return
+    if keys:
+        out = out.withColumn("_id", document_id(batch_id, keys))
     w = out.write.format(fmt).mode("append")
     if options:
         w = w.options(**options)
@@ -80,18 +93,20 @@ def _versions(path: str) -> str:
 def publish(df: DataFrame, path: str, fmt: str = "parquet", options: dict[str, str] | None = None, keep: int = 2) -> None:
     """Replace the table published at ``path`` without a moment at which it is missing or
     in part: ``df`` is written to a fresh version folder below ``path``, then a marker
-    names that folder. Read it with :func:`read_published`. The newest ``keep`` versions
-    stay, for readers that are under way."""
+    names that folder. Read it with :func:`read_published`. The newest ``keep`` versions and
+    their markers stay, for readers that are under way; older ones go. Of writers at the
+    same time each has a number of its own, and the largest counts."""
     spark = df.sparkSession
-    last = newest(spark, _versions(path))
-    n = 0 if last is None else last + 1
+    n = claim(spark, _versions(path))
     folder = f"version={n}-{uuid.uuid4().hex[:12]}"
     df.write.format(fmt).options(**(options or {})).save(f"{path.rstrip('/')}/{folder}")
     mark(spark.range(1).select(F.lit(folder).alias("folder")), _versions(path), n)
-    if n >= keep:
-        old = content(spark, _versions(path), n - keep, VERSION).first()
-        if old is not None:
-            remove(spark, f"{path.rstrip('/')}/{old['folder']}")
+
+    def drop(gone: list[int], kept: list[int]) -> None:
+        for old in gone:
+            remove(spark, f"{path.rstrip('/')}/{content(spark, _versions(path), old, VERSION).first()['folder']}")
+
+    expire(spark, _versions(path), keep, drop)
 
 
 def read_published(spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType | None = None) -> DataFrame:

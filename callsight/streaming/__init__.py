@@ -1,4 +1,4 @@
-from callsight.streaming.jobs import files_stream, hourly_stream, process_hourly_batch, total_stream
+from callsight.streaming.jobs import files_stream, hourly_stream, hourly_window_stream, process_hourly_batch, total_stream
 from callsight.streaming.snapshots import (
     committed_batch,
     compact_hourly,
@@ -7,6 +7,10 @@ from callsight.streaming.snapshots import (
     current_hourly,
     current_profile_partials,
     current_totals,
+    expire_folds,
+    expire_partials,
+    last_whole_batch,
+    read_changed_totals,
 )
 
 __all__ = [
@@ -17,8 +21,13 @@ __all__ = [
     "current_hourly",
     "current_profile_partials",
     "current_totals",
+    "expire_folds",
+    "expire_partials",
     "files_stream",
     "hourly_stream",
+    "hourly_window_stream",
+    "last_whole_batch",
     "process_hourly_batch",
+    "read_changed_totals",
     "total_stream",
 ]
