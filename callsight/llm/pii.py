@@ -44,7 +44,7 @@ _DOTTED = re.compile(r"[0-9.]+")
 _CHAIN = re.compile(r"[0-9](?:[ -]?[0-9])*")
 _PHONE_RUN = re.compile(r"[ ().0-9-]*")
 _SCHEME_BEFORE = re.compile(r"[A-Za-z][A-Za-z0-9+.-]*\Z")
-_URL_REST = re.compile(r"(?:[^\s/?#@<>\"'`\\]{1,256}@)?(\[[0-9A-Fa-f:.]+\]|[^\s/?#@:<>\"'`\\()\[\]{}|,;]+)(?::[0-9]{1,5})?(?:[/?#][^\s<>\"'`\\{}|]*)?")
+_URL_REST = re.compile(r"(?:[^\s/?#@<>\"'`\\]++@)?(\[[0-9A-Fa-f:.]+\]|[^\s/?#@:<>\"'`\\()\[\]{}|,;]+)(?::[0-9]{1,5})?(?:[/?#][^\s<>\"'`\\{}|]*)?")
 _ACCOUNT = re.compile(r"(?:\s{0,3}(?:no|nr|number|num|id|#|is)\b\.?)?[\s.:#=-]{1,4}([A-Z]{0,4}[0-9](?:[ -]?[0-9]){5,29})(?![A-Za-z0-9])", re.I)
 _IBAN = re.compile(r"[\s.:#=-]{0,4}([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30})(?![A-Za-z0-9])")
 _SCHEMES = frozenset(("http", "https", "ftp", "ftps", "ws", "wss", "ssh", "git", "sftp", "ldap", "ldaps"))
