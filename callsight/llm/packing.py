@@ -130,16 +130,15 @@ def _first_pass(tokenizer: Tokenizer, size: int, windows: int, end_id: int, keep
             for lo, hi in by_bytes(col, PART_BYTES):
                 for tokens in encoder.ids(col.slice(lo, hi - lo)):
                     tokens += end
-                    piece: Piece = (ids[row], 0, tokens, len(tokens) // 4)
-                    row += 1
-                    while len(piece[2]) >= 4 * size:
-                        whole, piece = cut(piece, size)
-                        rows.add(base + done, [whole])
-                        done += 1
-                    if piece[2]:
-                        for full in space.put(piece):
+                    total, start = len(tokens) // 4, 0
+                    while total - start >= size:
+                        rows.add(base + done, [(ids[row], start, tokens[4 * start : 4 * (start + size)], total)])
+                        done, start = done + 1, start + size
+                    if start < total:
+                        for full in space.put((ids[row], start, tokens[4 * start :], total)):
                             rows.add(base + done, full)
                             done += 1
+                    row += 1
                 yield rows.take()
             give_back()
         for left in space.rest():
