@@ -4,10 +4,12 @@ shunting-yard parser evaluates the licence expression behind each tag.
 A text is lower-cased in A-Z and cut into words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+``.
 The automaton runs once over the words joined by single spaces, so a phrase is found
 wherever its words stand consecutively, whatever punctuation or line breaks separate
-them; overlapping places all count. Where the words of the tag ``SPDX-License-Identifier``
-stand, the raw text behind them is parsed, up to the end of the line, or further while a
-parenthesis or an operator is open: identifiers, ``AND``, ``OR``, ``WITH`` and parentheses
-(``WITH`` binds most, ``OR`` least). Of a malformed expression the front part counts,
+them; overlapping places all count. Where the tag ``SPDX-License-Identifier:`` stands, hyphens
+and colon included, the raw text behind it is parsed, up to the end of the line, or further while
+a parenthesis or an operator is open: identifiers, ``AND``, ``OR``, ``WITH`` and parentheses
+(``WITH`` binds most, ``OR`` least). Identifiers are those of the public list, by their stems
+with any version, ``LicenseRef-`` and ``DocumentRef-`` names, and exceptions behind ``WITH``;
+another word is prose and ends the expression. Of a malformed expression the front part counts,
 without operators and parentheses left open at its end, and with those around it closed. An
 expression is turned to postfix order and evaluated twice: for the labels it names, and
 for whether some choice of it uses permissive licences only.
@@ -25,6 +27,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -56,6 +59,14 @@ NOTICE_PHRASES = {
     "boost software license": ("bsl", 0.6),
     "all rights reserved": ("all-rights-reserved", 0.3),
 }
+# --- fixed values: stems of the licence identifiers on the public list ---------------
+STEMS = (
+    "0BSD AAL AFL AGPL Apache APSL Artistic Beerware BitTorrent BlueOak BSD BSL BUSL bzip2 CAL CC CC0 CDDL CDLA CECILL "
+    "CERN-OHL ClArtistic CNRI CPAL CPL curl ECL EFL EPL EUDatagrid EUPL Fair FSFAP FTL GFDL GPL HPND ICU IJG IPL ISC JSON "
+    "LAL Latex2e LGPL Libpng libtiff LPL LPPL MirOS MIT MPL MS-PL MS-RL MulanPSL NASA NCSA NGPL NIST NLPL NPL NTP OCLC "
+    "ODbL ODC-By OFL OGL OLDAP OpenSSL OSET-PL OSL PDDL PHP PostgreSQL PSF Python QPL Ruby SGI-B SISSL Sleepycat SPL SSPL "
+    "TCL Unicode Unlicense UPL Vim VSL W3C WTFPL X11 Xnet Zend Zlib ZPL"
+).split()
 TAG = "spdx license identifier"
 BASE_WEIGHT, TAG_WEIGHT = 0.6, 0.95
 PERMISSIVE = {"mit", "apache", "bsd", "isc", "zlib", "bsl", "unlicense", "cc0", "0bsd", "public-domain"}
@@ -63,6 +74,10 @@ PERMISSIVE = {"mit", "apache", "bsd", "isc", "zlib", "bsl", "unlicense", "cc0",
 _KEEP = bytes(b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else b + 32 if 0x41 <= b <= 0x5A else 0x20 for b in range(256))
 _TOKEN = re.compile(r"\(|\)|[A-Za-z0-9][A-Za-z0-9.+:-]*")
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+_TAG_COLON = re.compile(r"[ \t]*:")
+#: a stem, perhaps with parts behind hyphens and a plus; or a reference
+_IDENTIFIER = re.compile(rf"(?:{'|'.join(map(re.escape, STEMS))})(?:-[a-z0-9.]+)*\+?|(?:licenseref|documentref)-[a-z0-9.:-]+", re.I)
+_EXCEPTION = re.compile(r"[a-z0-9.-]*(?:exception|syscall-note|linking)[a-z0-9.-]*", re.I)
 _STRENGTH = {"or": 1, "and": 2, "with": 3}
 
 RESULT = T.StructType(
@@ -86,6 +101,11 @@ _ARROW = pa.struct(
 # --- expressions -------------------------------------------------------------------
 
 
+def is_operand(token: str, before: str) -> bool:
+    """Whether a token is a licence, or behind ``WITH`` an exception."""
+    return bool((_EXCEPTION if before.lower() == "with" else _IDENTIFIER).fullmatch(token.rstrip(".:")))
+
+
 def to_postfix(expression: str) -> list[tuple[str, str]] | None:
     """Shunting-yard: the tokens in postfix order as ("id"|"op", text), or None if the
     expression is malformed. Stops in front of what can't belong to an expression."""
@@ -137,7 +157,7 @@ def front(text: str, at: int) -> list[tuple[str, str]] | None:
                 break
             operand = t == ")"
             deep -= operand
-        elif operand:
+        elif operand or t != "(" and not is_operand(t, taken[-1] if taken else ""):
             break
         else:
             operand = t != "("
@@ -184,16 +204,17 @@ def automaton() -> ahocorasick.Automaton:
         a.add_word(f" {phrase} ", ("base", phrase, label, BASE_WEIGHT))
     for phrase, (label, weight) in NOTICE_PHRASES.items():
         a.add_word(f" {phrase} ", ("notice", phrase, label, weight))
-    a.add_word(f" {TAG} ", ("tag", TAG, "", TAG_WEIGHT))
+    a.add_word(f" {TAG} ", ("tag", TAG, "", 0.0))
     a.make_automaton()
     return a
 
 
 def expressions_at(text: str, word_ends: set[int]) -> Iterator[list[tuple[str, str]]]:
-    """Parsed expressions behind the words with these numbers."""
+    """Parsed expressions behind the tags that end with the words of these numbers."""
+    raw = TAG.replace(" ", "-")
     for k, m in enumerate(_WORD.finditer(text)):
-        if k in word_ends:
-            if (postfix := front(text, m.end())) is not None:
+        if k in word_ends and text[max(0, m.end() - len(raw)) : m.end()].lower() == raw:
+            if (colon := _TAG_COLON.match(text, m.end())) and (postfix := front(text, colon.end())) is not None:
                 yield postfix
 
 
@@ -202,15 +223,19 @@ def scan(text: str) -> tuple:
     words = [w for w in words if w]
     # one character per byte: places are the same, and matching needs no decoding
     joined = (b" " + b" ".join(words) + b" ").decode("latin-1")
+    spaces: np.ndarray | None = None
     starts: list[int] = []
     base, found, miss, tags = set(), set(), 1.0, set()
     for end, (kind, phrase, label, weight) in automaton().iter(joined):
-        at = joined.count(" ", 0, end - len(phrase) - 1)  # words before the phrase
-        miss *= 1.0 - weight
+        if spaces is None:
+            spaces = np.flatnonzero(np.frombuffer(joined.encode("latin-1"), np.uint8) == 0x20)
+        at = int(np.searchsorted(spaces, end - len(phrase) - 1))  # words before the phrase
         if kind == "base":
+            miss *= 1.0 - weight
             starts.append(at)
             base.add(label)
         elif kind == "notice":
+            miss *= 1.0 - weight
             found.add(label)
         else:
             tags.add(at + TAG.count(" "))
@@ -219,6 +244,7 @@ def scan(text: str) -> tuple:
         for postfix in expressions_at(text, tags):
             labels, ok, text_form = evaluate(postfix)
             found |= labels
+            miss *= 1.0 - TAG_WEIGHT
             shown.append(text_form)
             permissive = ok if permissive is None else permissive and ok
     return (
