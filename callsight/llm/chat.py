@@ -8,8 +8,9 @@
    as a whole and by sentence, and so is each of its lines, so re-wrapped and partial
    quotes are found again. A quote's longest match inside its level counts.
 3. *Link.* Hashes of quoted passages are joined to those of own text: to the first
-   message of the same conversation that has the passage, if that is earlier, else to the
-   first message (by conversation and turn) of another one. A message replies to the
+   message of the same conversation that has the passage, if that is earlier, else, from
+   ``AWAY`` characters on, to the first message (by conversation and turn) of another one:
+   thanks and rules of dashes stand in many conversations. A message replies to the
    original of its least deep linked quote. Originals are cut to hashes that are quoted
    and reduced to one row per hash (and conversation) before the join, so a passage that
    very many messages have or quote makes no pairs between them.
@@ -19,7 +20,8 @@
    hold any share of the rows.
 
 Defined cases: a null text counts as empty; rows with a null conversation or turn are
-neither linked nor linked to, and are kept; repeated rows are kept and linked each; a
+neither linked nor linked to, and are kept; repeated rows are kept and linked each; a very
+long text is parsed whole, line by line, in one task, and travels with its row only; a
 quote without an original leaves its message unlinked; white space at the ends of the own
 text goes; an empty table gives an empty result; of other columns, those that aren't
 result columns are kept.
@@ -61,6 +63,10 @@ _ARROW = [
     pa.field("own", pa.list_(pa.int64())),
     pa.field("lines", _QUOTES),
 ]
+#: characters of normalised text that a quote needs for a link to another conversation
+AWAY = 24
+#: characters of a text that rows of equal turn are dealt by
+FRONT = 32
 RESULT = ("quoted_conv_id", "quoted_turn", "thread_turn", "depth", "n_quotes", "position")
 
 
@@ -151,7 +157,7 @@ def quotation_links(parsed: DataFrame) -> DataFrame:
     found = quotes.join(here, ["conv_id", "hash"], "left").join(anywhere, "hash", "left")
     inside = F.col("here") < F.col("turn")
     away = F.when(F.col("first.conv_id") != F.col("conv_id"), F.col("first")).otherwise(F.col("second"))
-    target = F.when(inside, F.struct(F.col("conv_id"), F.col("here"))).otherwise(away)
+    target = F.when(inside, F.struct(F.col("conv_id"), F.col("here"))).when(F.col("size") >= F.lit(AWAY), away)
     found = found.withColumn("__to", target).filter(F.col("__to.here").isNotNull())
     best = F.min(F.struct("level", F.coalesce(~inside, F.lit(True)).alias("away"), (-F.col("size")).alias("size"), F.col("__to.conv_id").alias("c"), F.col("__to.here").alias("t")))
     picked = found.groupBy("conv_id", "turn").agg(best.alias("best"))
@@ -193,5 +199,7 @@ def link_quotes(messages: DataFrame, text: str = "text") -> DataFrame:
     out = parsed.select(*keep, F.size("__quotes").cast("long").alias("n_quotes"))
     out = out.join(links, ["conv_id", "turn"], "left").join(threads(links), ["conv_id", "turn"], "left")
     out = out.withColumn("thread_turn", F.coalesce("thread_turn", "turn")).withColumn("depth", F.coalesce("depth", F.lit(0).cast("long")))
-    rank_of = [F.col("thread_turn").asc_nulls_last(), F.col("turn").asc_nulls_last(), F.col(text)]
-    return ranked(out, ["conv_id"], rank_of, "position").select(*keep, *RESULT)
+    place = [F.col("thread_turn").asc_nulls_last(), F.col("turn").asc_nulls_last()]
+    # rows of equal turn are ordered by text, but dealt by its front: what they are dealt by goes to the driver
+    out = ranked(out, ["conv_id"], [*place, F.col(text)], "position", deal=[*place, F.left(F.col(text).cast("string"), F.lit(FRONT))])
+    return out.select(*keep, *RESULT)
