@@ -1,6 +1,7 @@
 """Mixing, near-duplicates, language-model scores, top-k, quotation links and the
 pipeline against plain versions, on the smallest tables and on odd rows."""
 
+import os
 import random
 from collections import Counter
 
@@ -381,6 +382,46 @@ def test_short_and_partial_quotes(llm):
     assert {k: got[k] for k in want} == want and sum(t is not None for t in want.values()) > 100
 
 
+def test_links_between_conversations(llm):
+    """Whole passages link to another conversation; thanks, rules and short lines don't,
+    though they link inside their own."""
+    said = "This is the passage that somebody else quotes later on.\nThanks!\n---"
+    rows = [
+        (1, 0, "user", said),
+        (2, 0, "user", "> Thanks!\nwelcome"),
+        (2, 1, "user", "> ---\nyes"),
+        (2, 2, "user", "> This is the passage that somebody else quotes later on.\nso it is"),
+        (2, 3, "user", "> welcome\nshort, but of this conversation"),
+        (3, 0, "user", "> " + said.replace("\n", "\n> ") + "\nall of it"),
+    ]
+    got = {(r["conv_id"], r["turn"]): (r["quoted_conv_id"], r["quoted_turn"]) for r in chat.link_quotes(llm.createDataFrame(rows, CHAT)).collect()}
+    none = (None, None)
+    assert got == {(1, 0): none, (2, 0): none, (2, 1): none, (2, 2): (1, 0), (2, 3): (2, 0), (3, 0): (1, 0)}
+
+
+def test_texts_stay_off_the_driver(tmp_path):
+    """Long messages in a session whose driver takes few bytes."""
+    import subprocess
+    import sys
+
+    code = """
+import sys
+sys.path.insert(0, sys.argv[1])
+from callsight.session import local_session, ship_package
+from callsight.llm import chat, trie
+spark = local_session(4, extra={"spark.driver.maxResultSize": "4m"})
+ship_package(spark)
+rows = spark.range(60, numPartitions=6).selectExpr("id DIV 4 AS conv_id", "id % 4 AS turn", "'user' AS role", "repeat(concat('word', id, ' '), 60000) AS text")
+rows.write.parquet(sys.argv[2])
+rows = spark.read.parquet(sys.argv[2])
+assert chat.link_quotes(rows).selectExpr("max(position) AS p", "count(*) AS n").first() == (3, 60)
+assert trie.ordered(rows, keep_text=False).selectExpr("max(at)", "count(*)").first() == (3, 60)
+"""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    done = subprocess.run([sys.executable, "-c", code, root, str(tmp_path / "messages")], capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-3000:]
+
+
 def test_hot_passage_makes_no_pairs(llm):
     rows = [(1, t, "u", "the same words again and again" if t % 2 else "> the same words again and again\nyes") for t in range(1000)]
     got = chat.link_quotes(llm.createDataFrame(rows, CHAT)).collect()

@@ -60,7 +60,7 @@ def test_expressions():
     assert ev("MIT AND GPL-2.0-only")[:2] == ({"mit", "gpl"}, False)
     assert ev("GPL-2.0 WITH Classpath-exception-2.0 OR MIT AND Apache-2.0")[2] == "((gpl-2.0 with classpath-exception-2.0) or (mit and apache-2.0))"
     assert ev("(MIT OR GPL-2.0) AND BSD-3-Clause")[1] and not ev("MIT OR GPL-2.0 AND X")[0] == set()
-    assert ev("MIT and then prose follows")[0] == {"mit", "then"}
+    assert licenses.evaluate(licenses.front("MIT and then prose follows", 0))[0] == {"mit"}
     for bad in ("", "AND MIT", "(MIT", "MIT OR", "OR"):
         assert ev(bad) is None
 
@@ -76,12 +76,42 @@ def test_expressions():
         ("SPDX-License-Identifier: MIT\nOR else", "mit", True),
         ("SPDX-License-Identifier:\nMIT", None, None),
         ("SPDX-License-Identifier: AND MIT", None, None),
+        ("SPDX-License-Identifier: see the LICENSE file", None, None),
+        ("The SPDX license identifier must be given", None, None),
+        ("SPDX license identifier: MIT", None, None),
+        ("SPDX-License-Identifier: MIT AND\nThis file is free", "mit", True),
+        ("SPDX-License-Identifier: LicenseRef-Acme-1.0 OR GPL-2.0+ WITH Classpath-exception-2.0", "(licenseref-acme-1.0 or (gpl-2.0+ with classpath-exception-2.0))", False),
+        ("spdx-license-identifier : BSD-3-Clause.", "bsd-3-clause", True),
     ],
 )
 def test_open_expressions(text, shown, permissive):
     assert licenses.scan(text)[7:] == ([] if shown is None else [shown], permissive)
 
 
+def test_prose_names_no_licence():
+    for text in ("SPDX-License-Identifier: see the LICENSE file", "The SPDX license identifier must be MIT"):
+        *_, base, labels, score, shown, permissive = licenses.scan(text)
+        assert (base, labels, score, shown, permissive) == ("", "", 0.0, [], None)
+
+
+def best_of(run, times=3):
+    import time
+
+    took = []
+    for _ in range(times):
+        t = time.perf_counter()
+        run()
+        took.append(time.perf_counter() - t)
+    return min(took)
+
+
+def test_many_phrases_take_linear_time():
+    once = "MIT license, words in between and more. "
+    few, many = (once * n for n in (20_000, 40_000))
+    assert licenses.scan(many)[1:4] == (40_000, 0, 7 * 39_999)
+    assert best_of(lambda: licenses.scan(many)) < 2.5 * best_of(lambda: licenses.scan(few)) + 0.05
+
+
 def test_license_base_random():
     r = random.Random(5)
     parts = ["MIT", "mit", "license", "License", "apache", "general", "public", " ", "_", "-", "é", "1", "\x80", "\x7f", "gpl", "{", "\n"]
@@ -325,3 +355,43 @@ def test_quality_query(llm, docs, odd_docs):
     for i, t in docs:
         assert tuple(got[i])[1:7] == brute.quality_base(t)
         assert not (got[i]["kept"] and got[i]["base_failed"])
+
+
+def test_many_windows_take_linear_time(llm, monkeypatch):
+    """A document of very many windows is cut by offsets, not by copying what is left."""
+
+    class Context:
+        @staticmethod
+        def get():
+            return Context
+
+        @staticmethod
+        def partitionId():
+            return 0
+
+    class Ids:
+        def __init__(self, n):
+            self.n = n
+
+        def encoder(self):
+            return self
+
+        def ids(self, col):
+            yield bytes(4 * self.n)
+
+    monkeypatch.setattr(packing, "TaskContext", Context)
+    batch = pa.record_batch([pa.array([1]), pa.array(["x"])], names=["doc_id", "text"])
+
+    def run(n):
+        out = [b for b in packing._first_pass(Ids(n), 64, 64, 0, False)(iter([batch]))]
+        assert sum(b.num_rows for b in out) == -(-(n + 1) // 64)
+
+    few, many = best_of(lambda: run(2_500_000), 2), best_of(lambda: run(5_000_000), 2)
+    assert many < 2.5 * few + 0.05
+
+
+def test_url_with_a_very_long_user():
+    text = f"see https://{'u' * 300}@host.example/path, end"
+    spans = [(a, pii.KINDS[k], b) for a, k, b in pii.find_spans(text) if pii.KINDS[k] == "url"]
+    assert spans == [(4, "url", text.index(", end"))]
+    assert pii.redacted(text, pii.find_spans(text)) == "see [URL], end"
