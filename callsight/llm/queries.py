@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from callsight.llm import chat, dedup, divergence, licenses, lm, mixing, packing, pii, quality, secrets, tokens, topk, trie
-from callsight.session import ship_package
+from callsight.session import materialize, ship_package
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,7 +27,8 @@ def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    docs = docs.select("doc_id", "source", mixing.n_words(F.col("text")).alias("n_words"))
+    # written: the words are counted once, not again for the ranges of the order
+    docs = materialize(docs.select("doc_id", "source", mixing.n_words(F.col("text")).alias("n_words")), "sizes")
     weights = mixing.cycle_weights(docs)
     mixed = mixing.mix(docs, weights, size=F.col("n_words"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
@@ -126,7 +127,7 @@ WITH d AS (
 ), r AS (
   SELECT *, row_number() OVER (PARTITION BY source ORDER BY size DESC, k, doc_id) - 1 AS place FROM d
 ), w AS (
-  SELECT source, sum(size)::BIGINT AS source_size, 3.0::DOUBLE * sum(size)::DOUBLE AS cap,
+  SELECT source, count(*) AS n, sum(size)::BIGINT AS source_size, 3.0::DOUBLE * sum(size)::DOUBLE AS cap,
     [5.0, 2.0, 1.0][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INTEGER]::DOUBLE AS weight
   FROM d GROUP BY source
 ), o AS (
@@ -137,18 +138,16 @@ WITH d AS (
 ), c AS (SELECT *, (total - cap_before) * weight > cap * open AS capped FROM o
 ), t AS (
   SELECT *, CASE WHEN capped THEN cap ELSE least(cap, (total - coalesce(sum(cap) FILTER (capped) OVER (), 0)) / sum(weight) FILTER (NOT capped) OVER () * weight) END AS target FROM c
-), e AS (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END AS expected FROM t
-), draws AS (
-  SELECT source, j, ('0x' || substr(md5('0:' || j || ':' || coalesce('s' || source, 'null')), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS u
-  FROM e, (SELECT unnest(range(16)) AS j)
-), tried AS (
-  SELECT r.source, j, u, any_value(target) AS target, sum((floor((place + 1) * expected + u) - floor(place * expected + u)) * size) AS taken
-  FROM r JOIN e ON r.source IS NOT DISTINCT FROM e.source JOIN draws ON r.source IS NOT DISTINCT FROM draws.source GROUP BY r.source, j, u
-), chosen AS (
-  SELECT source, u FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY abs(taken - target), j) AS n FROM tried) WHERE n = 1
+), e AS (
+  SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END AS expected,
+    ('0x' || substr(md5('0:' || coalesce('s' || source, 'null')), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS u
+  FROM t
+), p AS (
+  SELECT doc_id, size, source_size, target, r.source, expected, u,
+    CASE WHEN place % 2 = 0 THEN n // 2 + place // 2 ELSE n // 2 - (place + 1) // 2 END AS place
+  FROM r JOIN e ON r.source IS NOT DISTINCT FROM e.source
 ), f AS (
-  SELECT doc_id, size, source_size, target, r.source, (floor((place + 1) * expected + u) - floor(place * expected + u))::BIGINT AS copies
-  FROM r JOIN e ON r.source IS NOT DISTINCT FROM e.source JOIN chosen ON r.source IS NOT DISTINCT FROM chosen.source
+  SELECT *, (floor((place + 1) * expected + u) - floor(place * expected + u))::BIGINT AS copies FROM p
 )
 SELECT doc_id, size, source_size, target, copies * size AS taken, source, copies FROM f
 """
