@@ -474,3 +474,48 @@ def test_pipeline(llm, docs):
     ids = list(copies)
     for i, x in zip(ids, library([before[i] for i in ids])):
         assert total[i] == copies[i] * (len(x) + 1)
+
+
+ODD = "doc_id long, text string, lang string, source string, n_chars long, size long, target string, copies int, taken long, source_size long, copy int, kept boolean, family long, __n long"
+
+
+def test_stages_on_odd_rows(llm):
+    """Clashing columns, nulls, repeated rows and ids, empty tables: every stage."""
+    import corpus_pipeline
+
+    def prose(seed, n=60):
+        rng = random.Random(seed)
+        return " ".join("".join(rng.choices("abcdefghij", k=5)) for _ in range(n))
+
+    rest = (99, "t", 7, 8, 9, 10, True, 11, 12)
+    rows = [
+        (1, prose(1), "en", "a", 5, *rest),
+        (1, prose(1), "en", "a", 5, *rest),  # a repeated row
+        (2, prose(1), "en", "a", 5, *rest),  # a copy under another id
+        (3, prose(2), "en", "b", 5, *rest),
+        (3, prose(1), "en", "b", 5, *rest),  # an id with two texts, of which one goes
+        (None, prose(3), None, None, None, *rest),
+        (None, prose(1), None, None, None, *rest),
+        (4, None, "en", "b", None, *rest),
+        (5, "", "en", "b", 0, *rest),
+        (6, "mail me@host.example " + prose(4), "en", None, 5, *rest),
+    ]
+    df = llm.createDataFrame(rows, ODD)
+    plain = lambda out: Counter((r["doc_id"], r["text"], r["source"]) for r in out.collect())
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(llm, df, SF)
+        assert out.columns == df.columns, name
+        assert {tuple(r)[5:] for r in out.collect()} <= {rest}, name  # columns handed on
+        none = stage(llm, df.limit(0), SF)
+        assert none.columns == df.columns and none.count() == 0, name
+    got = plain(corpus_pipeline.near_duplicates(llm, df, SF))
+    assert got == Counter([(1, prose(1), "a"), (3, prose(2), "b"), (None, prose(3), None), (4, None, "b"), (5, "", "b"), (6, rows[-1][1], None)])
+    good = plain(corpus_pipeline.quality_rules(llm, df, SF))
+    assert all(t and len(t.split()) >= 10 for _, t, _ in good)
+    hidden = corpus_pipeline.personal_data(llm, df, SF).collect()
+    assert sum("[EMAIL]" in (r["text"] or "") for r in hidden) == 1 and sum(r["text"] is None for r in hidden) == 1
+    mixed = corpus_pipeline.source_mix(llm, df, SF)
+    assert {r["source"] for r in mixed.collect()} <= {"a", "b", None} and max(plain(mixed).values()) <= 6
+    pieces = corpus_pipeline.packed(llm, df, SF).collect()
+    assert Counter(r["doc_id"] for r in pieces if r["start"] == 0) == Counter(r[0] for r in rows)
+    assert corpus_pipeline.packed(llm, df.limit(0), SF).count() == 0
