@@ -5,12 +5,15 @@ Vectors become integer vectors ``floor(scale * x)``; scores are their exact inne
 products. Candidates are dealt by ranges of descending length and packed into blocks.
 The rotation comes from the singular vectors of all vectors (the eigenvectors of their
 second moments, which are summed in the tasks), so the first rotated components hold most
-of a vector's length.
+of a vector's length. A block is rotated once; what travels with it are the first rotated
+components and the lengths of the others.
 
 1. Every query meets the block of the longest candidates; its k-th best score there is a
    first threshold.
-2. Queries are packed anew by threshold over length. A candidate block whose longest
-   vector cannot reach the least such ratio of a query block isn't sent to it.
+2. Queries are packed anew by threshold over length, the least such ratio being the block's
+   need. Candidate blocks whose longest vector cannot reach it aren't sent to it: by distributed
+   ranks of needs among lengths, a query block knows how many of the candidate blocks, the
+   longest first, it has to meet, and is joined to those numbers.
 3. Inside a pair of blocks candidates are taken by descending length. A pair of vectors
    is dropped once the partial sum over the first rotated components, plus the product
    of both residual lengths, stays below the query's threshold; the others get their
@@ -42,6 +45,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from callsight.llm.ranking import ranked
 from callsight.session import materialize
 
 #: components in a packed candidate block and query block (4 bytes each, 8 in wide vectors)
@@ -68,6 +72,7 @@ PACKED = T.StructType(
         T.StructField("thresholds", T.BinaryType()),
     ]
 )
+ROTATED = T.StructType([*PACKED.fields, T.StructField("head", T.BinaryType()), T.StructField("residual", T.BinaryType())])
 SCORED = T.StructType([T.StructField("query_id", T.LongType()), T.StructField("vec_id", T.LongType()), T.StructField("score", T.LongType())])
 
 
@@ -169,28 +174,51 @@ def _pack_task(most: int):
     return run
 
 
-def pack(rows: DataFrame, by: Column, most: int) -> DataFrame:
-    """Blocks of at most ``most`` components, in ranges of descending ``by``."""
+def _turn_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks with their dimension's rotation, to blocks with what the bounds need."""
+    for batch in batches:
+        for row in range(batch.num_rows):
+            one = batch.slice(row, 1)
+            r = {n: one.column(n)[0].as_py() for n in ("dim", "rows", "ints", "moment")}
+            turned = _ints(r["ints"], r["rows"], r["dim"]).astype(np.float64) @ np.frombuffer(r["moment"], np.float64).reshape(r["dim"], r["dim"])
+            head, residual = parted(turned)
+            cols = [one.column(n) for n in PACKED.names] + [pa.array([head.tobytes()], pa.binary()), pa.array([residual.tobytes()], pa.binary())]
+            yield pa.RecordBatch.from_arrays(cols, names=ROTATED.names)
+
+
+def parted(rotated: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first rotated components, a quarter of them, and the length of the others."""
+    h = max(1, rotated.shape[1] // 4)
+    return np.ascontiguousarray(rotated[:, :h]), np.sqrt((rotated[:, h:] ** 2).sum(axis=1))
+
+
+def pack(rows: DataFrame, by: Column, most: int, turn: DataFrame) -> DataFrame:
+    """Blocks of at most ``most`` components, in ranges of descending ``by``, rotated by
+    ``turn`` (:func:`rotations`)."""
     size = rows.agg(F.sum(F.greatest("dim", F.lit(1)))).first()[0] or 0
     order = [F.col("dim"), by.desc(), F.col("id")]
     rows = rows.repartitionByRange(max(1, -(-size // most)), *order).sortWithinPartitions(*order)
-    return materialize(rows.select("id", "dim", "ints", "norm", "threshold").mapInArrow(_pack_task(most), PACKED), "blocks")
+    # written before the join: block numbers hang on the partitions
+    blocks = materialize(rows.select("id", "dim", "ints", "norm", "threshold").mapInArrow(_pack_task(most), PACKED), "blocks")
+    return materialize(blocks.join(turn, "dim").select(*PACKED.names, "moment").mapInArrow(_turn_task, ROTATED), "rotated")
 
 
 # --- pairs of blocks ---------------------------------------------------------------
 
 
 class Block:
-    """A packed block: ids, integers, rotated coordinates and lengths."""
+    """A packed block: ids, integers, lengths, and of the rotated coordinates the first
+    ones and the length of the others (from ``rotation`` where they aren't given)."""
 
-    def __init__(self, ids: bytes, ints: bytes, dim: int, rotation: np.ndarray) -> None:
+    def __init__(self, ids: bytes, ints: bytes, dim: int, rotation: np.ndarray | None = None, head: bytes = b"", residual: bytes = b"") -> None:
         self.ids = np.frombuffer(ids, "<i8")
-        self.ints = _ints(ints, len(self.ids), dim).astype(np.float64)
-        self.rotated = self.ints @ rotation
-        #: the first rotated components, and the length of the others
-        self.head = max(1, dim // 4)
+        n = len(self.ids)
+        self.ints = _ints(ints, n, dim).astype(np.float64)
         self.norm = np.sqrt((self.ints**2).sum(axis=1))
-        self.residual = np.sqrt((self.rotated[:, self.head :] ** 2).sum(axis=1))
+        if rotation is not None:
+            self.head, self.residual = parted(self.ints @ rotation)
+        else:
+            self.head, self.residual = np.frombuffer(head, np.float64).reshape(n, -1 if head else 0), np.frombuffer(residual, np.float64)
 
     def largest(self) -> float:
         return float(np.abs(self.ints).max()) if self.ints.size else 0.0
@@ -218,7 +246,6 @@ def search(query: Block, threshold: np.ndarray, cand: Block, k: int) -> Iterator
     best: dict[int, list[tuple[int, int]]] = {}  # query row: (-score, id), ascending
     dim = query.ints.shape[1]
     small = query.largest() * cand.largest() * max(dim, 1) < 2**53
-    h = cand.head
     for lo in range(0, len(cand.ids), STEP):
         part = slice(lo, lo + STEP)
         longest = cand.norm[lo]
@@ -226,7 +253,7 @@ def search(query: Block, threshold: np.ndarray, cand: Block, k: int) -> Iterator
         active = np.flatnonzero(query.norm * longest >= low)
         if not len(active):
             break  # all that follow are shorter
-        bound = query.rotated[active, :h] @ cand.rotated[part, :h].T + np.outer(query.residual[active], cand.residual[part])
+        bound = query.head[active] @ cand.head[part].T + np.outer(query.residual[active], cand.residual[part])
         qi, ci = np.nonzero(bound >= low[active][:, None])
         qi, ci = active[qi], ci + lo
         other = query.ids[qi] != cand.ids[ci]
@@ -259,17 +286,15 @@ def search(query: Block, threshold: np.ndarray, cand: Block, k: int) -> Iterator
 
 def _search_task(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cand, rotation, dim = None, None, 0
+        cand = None
         for batch in batches:
             for row in range(batch.num_rows):
                 r = {n: batch.column(i)[row].as_py() for i, n in enumerate(batch.schema.names)}
+                block = Block(r["ids"], r["ints"], r["dim"], head=r["head"], residual=r["residual"])
                 if not r["is_query"]:
-                    dim = r["dim"]
-                    rotation = np.frombuffer(r["moment"], np.float64).reshape(dim, dim)
-                    cand = Block(r["ids"], r["ints"], dim, rotation)
+                    cand = block
                     continue
-                query = Block(r["ids"], r["ints"], dim, rotation)
-                found = list(search(query, np.frombuffer(r["thresholds"], np.float64), cand, k))
+                found = list(search(block, np.frombuffer(r["thresholds"], np.float64), cand, k))
                 if found:
                     cols = [np.concatenate(c) for c in zip(*found)]
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=SCORED.names)
@@ -282,14 +307,32 @@ def meet(pairs: DataFrame, queries: DataFrame, cands: DataFrame, k: int) -> Data
     query blocks, in parts, are dealt to one task and read one after another."""
     parts = max(1, -(-queries.count() // PART))
     pairs = pairs.select("cand", "query", F.pmod(F.xxhash64("query"), F.lit(parts)).alias("part"))
-    cols = ["dim", "ids", "ints"]
-    asked = pairs.join(queries, F.col("query") == F.col("block")).select("cand", "part", F.lit(True).alias("is_query"), "query", *cols, "thresholds", F.lit(None).cast("binary").alias("moment"))
+    cols = ["dim", "ids", "ints", "head", "residual"]
+    asked = pairs.join(queries, F.col("query") == F.col("block")).select("cand", "part", F.lit(True).alias("is_query"), "query", *cols, "thresholds")
     given = pairs.select("cand", "part").distinct().join(cands, F.col("cand") == F.col("block"))
-    given = given.select("cand", "part", F.lit(False).alias("is_query"), F.lit(0).cast("long").alias("query"), *cols, F.lit(None).cast("binary").alias("thresholds"), "moment")
+    given = given.select("cand", "part", F.lit(False).alias("is_query"), F.lit(0).cast("long").alias("query"), *cols, F.lit(None).cast("binary").alias("thresholds"))
     rows = asked.unionByName(given).repartition("cand", "part").sortWithinPartitions("cand", "part", "is_query", "query")
     return rows.mapInArrow(_search_task(k), SCORED)
 
 
+def reached(queries: DataFrame, cands: DataFrame) -> DataFrame:
+    """(``query``, ``cand``): the candidate blocks that hold a vector long enough for some
+    vector of a query block. Needs and lengths are ranked together, the greatest first and
+    lengths before equal needs; a need's rank, less the needs before it, is the number of
+    candidate blocks to meet."""
+    need = F.when(F.isnan("need"), F.lit(float("-inf"))).otherwise(F.col("need") - MARGIN * (F.abs("need") + 1))
+    asked = queries.select("dim", F.col("block").alias("query"), need.alias("at"))
+    given = cands.select("dim", F.col("block").alias("cand"), F.col("longest").alias("at"))
+    none = F.lit(None).cast("long")
+    both = asked.withColumn("cand", none).unionByName(given.withColumn("query", none))
+    both = ranked(both, ["dim"], [F.col("at").desc(), F.col("cand").asc_nulls_last(), F.col("query")], "place")
+    asked = ranked(both.filter("query IS NOT NULL"), ["dim"], [F.col("place")], "before")
+    given = ranked(both.filter("cand IS NOT NULL"), ["dim"], [F.col("place")], "number")
+    upto = F.col("place") - F.col("before")
+    wanted = asked.filter(upto > 0).select("dim", "query", F.explode(F.sequence(F.lit(0).cast("long"), upto - 1)).alias("number"))
+    return wanted.join(given.select("dim", "number", "cand"), ["dim", "number"]).select("query", "cand")
+
+
 def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: float = 256.0, id_col: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """(``query_id``, ``rank`` from 1, ``vec_id``, ``score``): the k candidates with the
     highest score for each row that fulfils ``is_query`` (a condition on the id)."""
@@ -298,20 +341,17 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: float = 256.0
     asked = ints.withColumn(id_col, F.col("id")).filter(is_query).drop(id_col)
     turn = materialize(rotations(ints), "rotations")
     none = F.lit(None).cast("double")
-    cands = pack(ints.withColumn("threshold", none), F.col("norm"), BLOCK).join(turn, "dim")
+    cands = pack(ints.withColumn("threshold", none), F.col("norm"), BLOCK, turn)
     first = cands.groupBy("dim").agg(F.min("block").alias("cand"))
 
-    queries = pack(asked.withColumn("threshold", none), F.col("norm"), QUERY_BLOCK)
+    queries = pack(asked.withColumn("threshold", none), F.col("norm"), QUERY_BLOCK, turn)
     pairs = queries.select("dim", F.col("block").alias("query")).join(first, "dim")
     seeds = materialize(meet(pairs, queries, cands, k), "seeds")
 
     kth = seeds.groupBy("query_id").agg(F.min("score").cast("double").alias("threshold"), F.count(F.lit(1)).alias("n")).filter(F.col("n") >= k)
     asked = asked.join(kth.select(F.col("query_id").alias("id"), "threshold"), "id", "left").select("id", "dim", "ints", "norm", "threshold")
-    queries = pack(asked, F.when(F.col("norm") > 0, F.col("threshold") / F.col("norm")), QUERY_BLOCK)
-    wanted = queries.select("dim", F.col("block").alias("query"), "need").repartition("query")
-    blocks = cands.select("dim", F.col("block").alias("cand"), "longest").join(first, ["dim", "cand"], "left_anti")
-    reach = F.col("longest") >= F.col("need") - MARGIN * (F.abs("need") + 1)
-    more = meet(wanted.join(blocks, "dim").filter(reach | F.isnan("need")), queries, cands, k)
+    queries = pack(asked, F.when(F.col("norm") > 0, F.col("threshold") / F.col("norm")), QUERY_BLOCK, turn)
+    more = meet(reached(queries, cands.join(first, F.col("block") == F.col("cand"), "left_anti")), queries, cands, k)
 
     scored = seeds.unionByName(more).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id"))
