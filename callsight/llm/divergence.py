@@ -107,7 +107,9 @@ def term_counts(docs: DataFrame, lang: str = "lang", source: str = "source", tex
     every group, and documents of the group that have it."""
     read = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(n) for c, n in ((lang, "lang"), (source, "source"), (text, "text"))])
     counted = read.mapInArrow(_count(HELD), _COUNTED)
-    return counted.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    # tasks have combined their own counts: another combination pays behind the shuffle only
+    key = ("lang", "source", "term")
+    return counted.repartition(*key).groupBy(*key).agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
 
 # --- joint cells -------------------------------------------------------------------
