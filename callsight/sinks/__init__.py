@@ -104,7 +104,11 @@ def publish(df: DataFrame, path: str, fmt: str = "parquet", options: dict[str, s
 
     def drop(gone: list[int], kept: list[int]) -> None:
         for old in gone:
-            remove(spark, f"{path.rstrip('/')}/{content(spark, _versions(path), old, VERSION).first()['folder']}")
+            try:
+                named = content(spark, _versions(path), old, VERSION).first()
+            except FileNotFoundError:  # another writer is removing it
+                continue
+            remove(spark, f"{path.rstrip('/')}/{named['folder']}")
 
     expire(spark, _versions(path), keep, drop)
 

@@ -181,6 +181,22 @@ def test_writers_at_the_same_time_have_numbers_of_their_own(spark, tmp_dir):
         content(spark, base, 7, one("").schema)
 
 
+def test_publish_goes_on_where_another_writer_cleans_up(spark, tmp_dir, monkeypatch):
+    import callsight.sinks as S
+
+    path = f"{tmp_dir}/t"
+    for n in range(3):
+        publish(spark.range(n), path)
+
+    def gone(*_):
+        raise FileNotFoundError
+
+    monkeypatch.setattr(S, "content", gone)  # old markers vanish between listing and reading
+    publish(spark.range(7), path)
+    monkeypatch.undo()
+    assert read_published(spark, path).count() == 7
+
+
 def test_scratch_goes_in_one_call(spark):
     with scratch(spark, "test") as folder:
         df = materialize(spark.range(5), "inner")
