@@ -18,9 +18,15 @@
    compares full sets, exactly: ``100 * intersection >= percent * union``; it returns a
    spanning forest of the links it finds.
 5. Where a cut family is still in several components, the classes outside its largest
-   one meet all others, chunk by chunk. A large group of near copies hangs together by
-   its pivots, so it costs its strays alone.
-6. *Components* of the links give every row its class id.
+   one, its strays, meet all others, chunk by chunk, if they fill one chunk only. A large
+   group of near copies hangs together by its pivots, so it costs its strays alone.
+6. *Loose families*, with more strays than that (texts off one template, say), are split
+   first, by their rare shingles, those of at most ``RARE`` classes of the family. Two
+   classes either share rare shingles; then they are a pair that is looked at one by one.
+   Or they don't; then all their rare shingles lie outside the intersection, and a class
+   with many can't be linked with another one that has many. What the sizes and the rare
+   shingles allow, and no more, is compared on full sets.
+7. *Components* of the links give every row its class id.
 
 No bucket, partner or candidate is capped. What can be missed is what the trees and the
 sketch margin miss. Classes with equal labels in some tree are always compared, in however
@@ -41,7 +47,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -57,6 +63,10 @@ REGION = 256
 SKETCH, POSSIBLE = 64, 36
 #: classes, and shingles, in a chunk of a family; pivots that every chunk of one meets
 CHUNK, CHUNK_SHINGLES, PIVOTS = 1024, 1 << 20, 32
+#: a shingle of at most so many classes of a loose family is rare there
+RARE = 16
+#: bands of classes by the share of their shingles that isn't rare
+BANDS = 4
 TEXT_PART = 2 << 20
 #: rows of one tree held at once, unless one region has more
 HELD = 50_000
@@ -78,6 +88,7 @@ SKETCHED = T.StructType(
     ]
 )
 PAIR = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
+GRAM = T.StructType([T.StructField("family", T.LongType()), T.StructField("id", T.LongType()), T.StructField("n", T.LongType()), T.StructField("gram", T.LongType())])
 
 
 # --- sketches ----------------------------------------------------------------------
@@ -295,28 +306,112 @@ def first_blocks(members: DataFrame, sizes: DataFrame) -> DataFrame:
     return own.union(pivots.select("family", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("part"), "id"))
 
 
-def second_blocks(members: DataFrame, sizes: DataFrame, found: DataFrame) -> DataFrame:
-    """Blocks for families of several chunks that are still in several components: chunks
-    of the classes outside the largest one, with each other and with chunks of it."""
+def second_blocks(members: DataFrame, sizes: DataFrame, found: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """Blocks for families of several chunks that are still in several components: the
+    classes outside the largest one with each other and with chunks of it; in loose
+    families only where :func:`loose_blocks` finds that a link is possible."""
     rows = members.join(sizes.filter("chunks > 1").select("family"), "family").join(found, F.col("id") == F.col("node"), "left")
     rows = materialize(rows.select("family", "id", "n_shingles", F.coalesce("component", "id").alias("component")), "cut")
     parts = rows.groupBy("family", "component").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("s"))
     main = F.max(F.struct("n", (-F.col("component")).alias("c"), "s")).alias("main")
     of = parts.groupBy("family").agg(F.count(F.lit(1)).alias("components"), main, F.sum("n").alias("n"), F.sum("s").alias("s")).filter("components > 1")
     of = of.select("family", (-F.col("main.c")).alias("main"), F.col("main.n").alias("mn"), F.col("main.s").alias("ms"), (F.col("n") - F.col("main.n")).alias("sn"), (F.col("s") - F.col("main.s")).alias("ss"))
-    of = of.select("family", "main", chunks("mn", "ms").alias("mains"), chunks("sn", "ss").alias("strays"))
-    rows = rows.join(of, "family")
-    upto = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
-    is_main = F.col("component") == F.col("main")
-    main = rows.filter(is_main).select("family", "id", "strays", "mains", F.pmod(F.xxhash64("id"), "mains").alias("m"), F.explode(upto("strays")).alias("s"))
-    stray = rows.filter(~is_main).select("family", "id", "strays", "mains", F.pmod(F.xxhash64("id"), "strays").alias("s"))
-    with_main = stray.select("family", "id", "strays", "mains", "s", F.explode(upto("mains")).alias("m")).unionByName(main)
-    with_stray = stray.select("family", "id", "strays", "mains", "s", F.explode(upto("strays")).alias("o"))
-    # parts are numbered: strays with mains first, then strays with strays
-    a = with_main.select("family", (F.col("s") * F.col("mains") + F.col("m")).alias("part"), "id")
-    pair = F.least("s", "o") * F.col("strays") + F.greatest("s", "o")
-    b = with_stray.select("family", (F.col("strays") * F.col("mains") + pair).alias("part"), "id")
-    return a.union(b)
+    of = materialize(of.select("family", "main", chunks("mn", "ms").alias("mains"), chunks("sn", "ss").alias("strays")), "strays")
+    loose = rows.join(of.filter("strays > 1").select("family", "main"), "family")
+    blocks = stray_blocks(rows.join(of.filter("strays = 1"), "family"))
+    return blocks if loose.isEmpty() else blocks.union(loose_blocks(loose, docs, k, percent))
+
+
+def stray_blocks(rows: DataFrame) -> DataFrame:
+    """The strays of a family, which fill one chunk, with each chunk of its largest
+    component."""
+    main = rows.filter(F.col("component") == F.col("main")).select("family", F.pmod(F.xxhash64("id"), "mains").alias("part"), "id")
+    upto = F.sequence(F.lit(0).cast("long"), F.col("mains") - 1)
+    stray = rows.filter(F.col("component") != F.col("main")).select("family", F.explode(upto).alias("part"), "id")
+    return main.union(stray)
+
+
+# --- loose families ----------------------------------------------------------------
+
+
+def _gram_task(k: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi in by_bytes(batch.column(2), TEXT_PART):
+                part = batch.slice(lo, hi - lo)
+                sets = list(shingle_sets(part.column(2), k))
+                size = np.array([len(x) for x in sets], dtype=np.int64)
+                owner = pa.array(np.repeat(np.arange(len(sets)), size))
+                grams = np.concatenate(sets).view(np.int64) if sets else np.empty(0, np.int64)
+                cols = [part.column(0).take(owner), part.column(1).take(owner), pa.array(np.repeat(size, size)), pa.array(grams)]
+                yield pa.RecordBatch.from_arrays(cols, names=GRAM.names)
+            give_back()
+
+    return run
+
+
+def loose_blocks(rows: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """Blocks that hold every pair of ``rows`` (``family``, ``id``, ``component``,
+    ``main``) that may be a link between components of a family.
+
+    For a class of ``n`` shingles of which ``rest`` aren't rare, and another one that
+    shares ``c`` rare shingles with it, the intersection is at most ``rest + c`` on either
+    side, and has to reach ``percent / (100 + percent)`` of both sizes together. So without
+    a common rare shingle ``n / rest`` of both may add up to ``(100 + percent) / percent``
+    at most: a linked pair has a class with few rare shingles in it. Pairs with common
+    ones come out of the rare shingles' short lists, each with its ``c``.
+
+    A common shingle reaches the lists' tasks cut to ``RARE + 1`` classes per task already
+    (the window's group limit). An id with several texts is taken to have no rare ones."""
+    texts = rows.select("family", "id").join(docs.hint("merge"), F.col("id") == F.col("doc_id")).select("family", "id", "text")
+    grams = materialize(texts.mapInArrow(_gram_task(k), GRAM), "grams")
+    place = F.row_number().over(Window.partitionBy("family", "gram").orderBy("id"))
+    lists = grams.select("family", "gram", "id", place.alias("place")).filter(F.col("place") <= RARE + 1)
+    lists = lists.groupBy("family", "gram").agg(F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_set("id")).alias("ids")).filter(F.col("n") <= RARE)
+    lists = materialize(lists.select("family", "ids"), "rare")
+
+    rare = lists.select("family", F.explode("ids").alias("id")).groupBy("family", "id").agg(F.count(F.lit(1)).alias("rare"))
+    own = grams.groupBy("family", "id").agg(F.count(F.lit(1)).alias("grams"), F.min("n").alias("n"), F.max("n").alias("most"))
+    own = rows.select("family", "id", "component", "main").distinct().join(own, ["family", "id"]).join(rare, ["family", "id"], "left")
+    rest = F.when(F.col("grams") == F.col("n"), F.col("n") - F.coalesce("rare", F.lit(0))).otherwise(F.col("most"))
+    own = materialize(own.select("family", "id", "component", (F.col("component") == F.col("main")).alias("in_main"), "n", rest.alias("rest")), "rests")
+
+    # without common rare shingles
+    own = own.withColumn("x", F.when(F.col("rest") > 0, F.greatest(F.col("n") / F.col("rest"), F.lit(1.0))))
+    apart = own.filter("x is not null").select("family", "id", "n", "in_main", "x")
+    blocks = meeting_blocks(apart, (100 + percent) / percent, 0)
+
+    # with some
+    pairs = lists.select("family", "ids", F.explode("ids").alias("a")).select("family", "a", F.explode(F.filter("ids", lambda b: b > F.col("a"))).alias("b"))
+    pairs = pairs.groupBy("family", "a", "b").agg(F.count(F.lit(1)).alias("c"))
+    side = lambda v: own.select("family", F.col("id").alias(v), F.col("component").alias(f"{v}_component"), F.col("n").alias(f"{v}_n"), F.col("rest").alias(f"{v}_rest"))
+    pairs = pairs.join(side("a"), ["family", "a"]).join(side("b"), ["family", "b"]).filter("a_component <> b_component")
+    most = F.least("a_rest", "b_rest") + F.col("c")
+    pairs = pairs.filter(most * (100 + percent) >= percent * (F.col("a_n") + F.col("b_n"))).select("a", "b")
+    groups = own.select("id", "n").join(components(pairs), F.col("id") == F.col("node")).select(F.col("component").alias("family"), "id", "n", F.lit(False).alias("in_main"), F.lit(1.0).alias("x"))
+    return blocks.union(meeting_blocks(groups, 2.0, 1))
+
+
+def meeting_blocks(rows: DataFrame, limit: float, salt: int) -> DataFrame:
+    """Blocks in which all of ``rows`` (``family``, ``id``, ``n``, ``in_main``, ``x`` >= 1)
+    meet whose ``x`` add up to ``limit`` at most, but for two of the largest component.
+
+    Rows are cut into cells of a chunk's size by the band of their ``x``; a block is a pair
+    of cells whose smallest ``x`` are small enough."""
+    rows = rows.filter(F.col("x") <= limit - 1 + 1e-9)
+    band = F.floor((F.col("x") - 1) / (limit - 2) * BANDS) if limit > 2 else F.lit(0).cast("long")
+    rows = rows.withColumn("band", band)
+    sizes = rows.groupBy("family", "in_main", "band").agg(F.count(F.lit(1)).alias("classes"), F.sum("n").alias("s"))
+    sizes = sizes.select("family", "in_main", "band", chunks("classes", "s").alias("chunks"))
+    chunk = F.pmod(F.xxhash64("id"), "chunks")
+    cell = (chunk * (BANDS + 1) + F.col("band")) * 2 + F.col("in_main").cast("long")
+    rows = materialize(rows.join(sizes, ["family", "in_main", "band"]).select("family", "id", "in_main", "x", cell.alias("cell")), "cells")
+    cells = rows.groupBy("family", "cell", "in_main").agg(F.min("x").alias("x"))
+    one, two = (cells.select("family", F.col("cell").alias(f"cell{i}"), F.col("in_main").alias(f"main{i}"), F.col("x").alias(f"x{i}")) for i in (1, 2))
+    met = one.join(two, "family").filter((F.col("cell1") <= F.col("cell2")) & ~(F.col("main1") & F.col("main2")) & (F.col("x1") + F.col("x2") <= limit + 1e-9))
+    part = F.xxhash64(F.lit(salt), "cell1", "cell2").alias("part")
+    met = met.select("family", part, F.explode(F.array_distinct(F.array("cell1", "cell2"))).alias("cell"))
+    return rows.join(met, ["family", "cell"]).select("family", "part", "id")
 
 
 # --- operator ----------------------------------------------------------------------
@@ -343,7 +438,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     dealt = first_blocks(members, sizes).distinct().hint("merge")
     link = materialize(find_links(dealt, docs, k, percent), "links")
     found = materialize(components(link), "components")
-    blocks = materialize(second_blocks(members, sizes, found), "blocks")
+    blocks = materialize(second_blocks(members, sizes, found, docs, k, percent), "blocks")
     if not blocks.isEmpty():
         more = find_links(blocks.distinct(), docs, k, percent)
         found = materialize(components(more.union(found.select("component", "node"))), "components")

@@ -153,6 +153,63 @@ def test_near_duplicates_in_cut_families(llm, monkeypatch):
     assert got == brute.near_duplicates(rows, 4, 80)
 
 
+def loose(groups, of, seed=5):
+    """Texts off one template of 200 words, 9 of them changed: in each group one such text
+    and copies of it with one more word changed. Texts of different groups aren't linked."""
+    r = random.Random(seed)
+    template, rows = [f"t{i}" for i in range(200)], []
+    for _ in range(groups):
+        w = list(template)
+        for at in r.sample(range(200), 9):
+            w[at] = f"c{r.randint(0, 999)}"
+        for _ in range(of):
+            copy = list(w)
+            copy[r.randint(0, 199)] = f"d{r.randint(0, 10**6)}"
+            rows.append((len(rows), " ".join(copy)))
+    return rows
+
+
+def block_rows(llm, monkeypatch, rows):
+    """Rows of the second pass, and the operator's result."""
+    seen, write = {}, dedup.materialize
+
+    def watched(df, name, path=None):
+        df = write(df, name, path)
+        seen[name] = df
+        return df
+
+    monkeypatch.setattr(dedup, "materialize", watched)
+    got = {x["doc_id"]: (x["n_shingles"], x["component_id"]) for x in dedup.near_duplicates(llm.createDataFrame(rows, DOCS).repartition(6), k=4).collect()}
+    monkeypatch.setattr(dedup, "materialize", write)
+    return seen["blocks"].count(), "grams" in seen, got
+
+
+@pytest.mark.parametrize("of", [1, 3])
+def test_loose_families_keep_their_links_and_their_size(llm, monkeypatch, of):
+    """Second-pass rows a class don't grow with a loose family."""
+    for name, value in (("CHUNK", 32), ("PIVOTS", 2)):
+        monkeypatch.setattr(dedup, name, value)
+    each = []
+    for groups in (150, 1200):
+        rows = loose(groups // of, of)
+        n, split, got = block_rows(llm, monkeypatch, rows)
+        assert split and got == brute.near_duplicates(rows, 4, 80)
+        each.append(n / len(rows))
+    assert each[1] < 1.5 * each[0] + 0.5 and each[1] < 4
+
+
+def test_loose_family_with_repeated_ids(llm, monkeypatch):
+    """Rows of one id with other texts are one document: links of either stay."""
+    for name, value in (("CHUNK", 12), ("PIVOTS", 1)):
+        monkeypatch.setattr(dedup, name, value)
+    rows = loose(60, 2)
+    joined = rows + [(7, rows[50][1]), (7, rows[7][1])]  # the group of 7 and that of 50 become one
+    got = {x["doc_id"]: x["component_id"] for x in dedup.near_duplicates(llm.createDataFrame(joined, DOCS), k=4).collect()}
+    want = {i: c for i, (_, c) in brute.near_duplicates(rows, 4, 80).items()}
+    assert {i for i, c in got.items() if c == got[7]} >= {i for i, c in want.items() if c == want[7]}
+    assert all(got[i] == c for i, c in want.items() if want[50] != c != want[7])
+
+
 def crowded(pairs, seed=6):
     """Classes that take their shingles from one passage, little more than half of it each.
     They come in pairs of a similarity of little more than 0.8; strangers have about 0.38."""
