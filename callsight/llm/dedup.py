@@ -18,7 +18,7 @@
    compares full sets, exactly: ``100 * intersection >= percent * union``; it returns a
    spanning forest of the links it finds.
 5. Where a cut family is still in several components, the classes outside its largest
-   one, its strays, meet all others, chunk by chunk, if they fill one chunk only. A large
+   one, its strays, meet all others, chunk by chunk, if they fill few chunks. A large
    group of near copies hangs together by its pivots, so it costs its strays alone.
 6. *Loose families*, with more strays than that (texts off one template, say), are split
    first, by their rare shingles, those of at most ``RARE`` classes of the family. Two
@@ -63,6 +63,9 @@ REGION = 256
 SKETCH, POSSIBLE = 64, 36
 #: classes, and shingles, in a chunk of a family; pivots that every chunk of one meets
 CHUNK, CHUNK_SHINGLES, PIVOTS = 1024, 1 << 20, 32
+#: a family is loose if its strays fill more chunks than this; below, comparing them outright
+#: takes less than splitting them, with the same result
+LOOSE = 4
 #: a shingle of at most so many classes of a loose family is rare there
 RARE = 16
 #: bands of classes by the share of their shingles that isn't rare
@@ -317,18 +320,24 @@ def second_blocks(members: DataFrame, sizes: DataFrame, found: DataFrame, docs:
     of = parts.groupBy("family").agg(F.count(F.lit(1)).alias("components"), main, F.sum("n").alias("n"), F.sum("s").alias("s")).filter("components > 1")
     of = of.select("family", (-F.col("main.c")).alias("main"), F.col("main.n").alias("mn"), F.col("main.s").alias("ms"), (F.col("n") - F.col("main.n")).alias("sn"), (F.col("s") - F.col("main.s")).alias("ss"))
     of = materialize(of.select("family", "main", chunks("mn", "ms").alias("mains"), chunks("sn", "ss").alias("strays")), "strays")
-    loose = rows.join(of.filter("strays > 1").select("family", "main"), "family")
-    blocks = stray_blocks(rows.join(of.filter("strays = 1"), "family"))
+    loose = rows.join(of.filter(F.col("strays") > LOOSE).select("family", "main"), "family")
+    blocks = stray_blocks(rows.join(of.filter(F.col("strays") <= LOOSE), "family"))
     return blocks if loose.isEmpty() else blocks.union(loose_blocks(loose, docs, k, percent))
 
 
 def stray_blocks(rows: DataFrame) -> DataFrame:
-    """The strays of a family, which fill one chunk, with each chunk of its largest
-    component."""
-    main = rows.filter(F.col("component") == F.col("main")).select("family", F.pmod(F.xxhash64("id"), "mains").alias("part"), "id")
-    upto = F.sequence(F.lit(0).cast("long"), F.col("mains") - 1)
-    stray = rows.filter(F.col("component") != F.col("main")).select("family", F.explode(upto).alias("part"), "id")
-    return main.union(stray)
+    """The strays of a family, ``LOOSE`` chunks at most, with each other and with each chunk
+    of its largest component: so many rows a class at most, however large the family."""
+    upto = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
+    m, s = F.pmod(F.xxhash64("id"), "mains"), F.pmod(F.xxhash64("id"), "strays")
+    in_main = F.col("component") == F.col("main")
+    main = rows.filter(in_main).select("family", "id", "mains", m.alias("m"), F.explode(upto("strays")).alias("s"))
+    stray = rows.filter(~in_main).select("family", "id", "mains", "strays", s.alias("s"))
+    met = stray.select("family", "id", "mains", F.explode(upto("mains")).alias("m"), "s").union(main)
+    # parts are numbered: strays with chunks of the largest component, below 0 with strays
+    met = met.select("family", (F.col("s") * F.col("mains") + F.col("m")).alias("part"), "id")
+    other = stray.select("family", "id", "strays", "s", F.explode(upto("strays")).alias("o"))
+    return met.union(other.select("family", (-1 - F.least("s", "o") * F.col("strays") - F.greatest("s", "o")).alias("part"), "id"))
 
 
 # --- loose families ----------------------------------------------------------------

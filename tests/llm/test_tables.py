@@ -187,7 +187,7 @@ def block_rows(llm, monkeypatch, rows):
 @pytest.mark.parametrize("of", [1, 3])
 def test_loose_families_keep_their_links_and_their_size(llm, monkeypatch, of):
     """Second-pass rows a class don't grow with a loose family."""
-    for name, value in (("CHUNK", 32), ("PIVOTS", 2)):
+    for name, value in (("CHUNK", 24), ("PIVOTS", 2)):
         monkeypatch.setattr(dedup, name, value)
     each = []
     for groups in (150, 1200):
