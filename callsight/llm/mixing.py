@@ -7,16 +7,17 @@ weight, a source is capped exactly if its share of what the ones before leave ov
 above its cap.
 
 Sampling: each document of a source has the same expected number of copies, target over
-size. Documents are put in an order, the prefix sum of expected copies up to place r is
-``r * expected``, one random offset per source is added (a seeded draw from its name), and a
-document is emitted once per integer boundary its interval crosses. The order has the largest
-document in the middle and smaller ones to both sides in turn (equal sizes by a hash of the id):
-neighbours are of nearly the same size, so copies above and below expectation cancel between
-them, and the ends are small. What a source takes differs from its target by less than its
-largest document, whatever the offset, and by far less in a source of many documents.
+size. Documents are ranked inside their source by descending size (then by a hash of
+their id), the prefix sum of expected copies up to rank r is ``r * expected``, one random
+offset per source is added, and a document is emitted once per integer boundary its
+interval crosses. In that order the copies above and below expectation cancel between
+documents of nearly the same size, so what a source takes differs from its target by less
+than its largest document, whatever the offset. The offset is the one of ``trials`` seeded
+draws from the source's name (rejective sampling) whose taken size, over all of the source's
+documents, comes nearest to the target.
 
 A source may hold any share of the rows: ranks come from a range partitioning (see
-``ranking``), sizes are aggregated before they are shuffled. Only tables with
+``ranking``), sizes and trials are aggregated before they are shuffled. Only tables with
 one row per source are joined back; there the choice of a broadcast is Spark's, by size.
 
 Defined cases: a null text has size 0; the null source is a source of its own; a source
@@ -68,19 +69,12 @@ def targets(sizes: DataFrame, max_copies: int) -> DataFrame:
     return df.withColumn("target", F.when(F.col("__capped"), cap).otherwise(F.least(cap, level * weight)))
 
 
-def draw(source: Column, seed: int) -> Column:
-    """The seeded number in [0, 1) of a source."""
-    text = F.concat(F.lit(f"{seed}:"), F.coalesce(F.concat(F.lit("s"), source), F.lit("null")))
+def draw(source: Column, k: int, seed: int) -> Column:
+    """The k-th seeded number in [0, 1) of a source."""
+    text = F.concat(F.lit(f"{seed}:{k}:"), F.coalesce(F.concat(F.lit("s"), source), F.lit("null")))
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
 
 
-def middle_out(rank: Column, n: Column) -> Column:
-    """Place, of ``n``, of the row with this rank by descending size: the largest in the
-    middle, the next ones to its left and right in turn."""
-    half = F.call_function("div", n, F.lit(2))
-    return F.when(rank % 2 == 0, half + F.call_function("div", rank, F.lit(2))).otherwise(half - F.call_function("div", rank + 1, F.lit(2)))
-
-
 def mix(
     docs: DataFrame,
     weights: DataFrame,
@@ -90,6 +84,7 @@ def mix(
     text: str = "text",
     max_copies: int = 3,
     seed: int = 0,
+    trials: int = 16,
 ) -> DataFrame:
     """``docs`` with ``size``, ``source_size``, ``target``, ``copies`` and ``taken``
     (copies times size). ``weights`` has one row per source: ``source``, ``weight``."""
@@ -97,18 +92,26 @@ def mix(
     sized = docs.select(*keep, (n_words(F.col(text)) if size is None else size).cast("long").alias("size"))
     sized = sized.withColumn("__key", F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit("null")))))
     rows = ranked(sized, [source], [F.col("size").desc(), F.col("__key"), F.col(id_col)], "__rank")
-    sizes = rows.groupBy(F.col(source).alias("source")).agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("__n"))
+    sizes = rows.groupBy(F.col(source).alias("source")).agg(F.sum("size").alias("source_size"))
     given = weights.select(F.col(weights.columns[0]).alias("__source"), F.col("weight").cast("double").alias("weight"))
     sizes = sizes.join(given, F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
     plan = targets(sizes, max_copies)
     plan = plan.withColumn("__expected", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0))
-    plan = plan.withColumn("__offset", draw(F.col("source"), seed))
-    plan = materialize(plan.select(F.col("source").alias("__source"), "source_size", "target", "__expected", "__offset", "__n"), "targets")
-    rows = rows.join(plan, F.col(source).eqNullSafe(F.col("__source"))).withColumn("__place", middle_out(F.col("__rank"), F.col("__n")))
-    upto = F.col("__place") * F.col("__expected") + F.col("__offset")
-    past = (F.col("__place") + 1) * F.col("__expected") + F.col("__offset")
+    # drawn once per source, not again for each of its rows
+    plan = plan.withColumn("__draws", F.array(*[draw(F.col("source"), k, seed) for k in range(trials)]))
+    plan = materialize(plan.select(F.col("source").alias("__source"), "source_size", "target", "__expected", "__draws"), "targets")
+    rows = rows.join(plan, F.col(source).eqNullSafe(F.col("__source")))
+
+    def copies(offset: Column) -> Column:
+        return F.floor((F.col("__rank") + 1) * F.col("__expected") + offset) - F.floor(F.col("__rank") * F.col("__expected") + offset)
+
+    tried = rows.groupBy("__source").agg(*[F.sum(copies(F.col("__draws")[k]) * F.col("size")).alias(f"__t{k}") for k in range(trials)])
+    tried = tried.withColumnRenamed("__source", "__tried").join(plan, F.col("__tried").eqNullSafe(F.col("__source")))
+    nearest = F.array_min(F.array(*[F.struct(F.abs(F.col(f"__t{k}") - F.col("target")).alias("off"), F.lit(k).alias("k"), F.col("__draws")[k].alias("u")) for k in range(trials)]))
+    chosen = materialize(tried.select(F.col("__source").alias("__chosen"), nearest["u"].alias("__offset")), "offsets")
+    rows = rows.join(chosen, F.col("__source").eqNullSafe(F.col("__chosen")))
     # the order of the columns is that of docs, then the result columns
-    out = rows.withColumn("copies", (F.floor(past) - F.floor(upto)).cast("long"))
+    out = rows.withColumn("copies", copies(F.col("__offset")).cast("long"))
     return out.select(*keep, "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
 
 

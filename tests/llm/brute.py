@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import re
 from collections import Counter
+from math import floor
 
 
 def lower(t):
@@ -112,6 +113,18 @@ def targets(sizes, weights, most=3):
         capped |= over
 
 
+def taken_by_draw(source, sizes, target, trials=16, seed=0):
+    """What one source takes, for each of its draws, by systematic sampling of its
+    documents by descending size."""
+    expected = target / sum(sizes) if sum(sizes) else 0.0
+    name = "null" if source is None else f"s{source}"
+    out = []
+    for k in range(trials):
+        u = int(hashlib.md5(f"{seed}:{k}:{name}".encode()).hexdigest()[:8], 16) / 2**32
+        out.append(sum((floor((r + 1) * expected + u) - floor(r * expected + u)) * n for r, n in enumerate(sorted(sizes, reverse=True))))
+    return out
+
+
 def lm_scores(rows, order=3, min_count=2, backoff=0.4):
     from math import log10
 

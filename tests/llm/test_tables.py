@@ -72,6 +72,22 @@ def test_mix(llm):
     assert [r["taken"] for r in only_empty] == [0, 0]
 
 
+def test_mix_takes_the_nearest_of_all_draws(llm):
+    r = random.Random(6)
+    sources = [f"s{k}" for k in range(12)] + [None]
+    rows = [(i, r.choice(sources), "w " * int(5 * r.paretovariate(1.1)), 1) for i in range(160)]
+    rows += [(5, "s3", "twice " * 70, 1), (5, "s3", "twice " * 70, 1), (None, "s4", "null id", 1), (500, "s5", None, 1), (501, "none", None, 1)]
+    own, taken, target = {}, Counter(), {}
+    for x in mixed(llm, rows).collect():
+        own.setdefault(x["source"], []).append(x["size"])
+        taken[x["source"]] += x["taken"]
+        target[x["source"]] = x["target"]
+    assert sum(map(len, own.values())) == len(rows) and set(own) == {*sources, "none"}
+    for s, sizes in own.items():
+        draws = brute.taken_by_draw(s, sizes, target[s])
+        assert taken[s] == min(draws, key=lambda t: abs(t - target[s])), s
+
+
 def test_mix_query_and_emit(llm, docs):
     got = queries.op3_mixing(llm, SF).collect()
     texts = dict(docs)
